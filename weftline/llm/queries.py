@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import quality_rules
+from weftline.llm import packing, quality_rules, token_counts
 from weftline.llm.common import table
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counts(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op5_token_counts": op5_token_counts,
     "op9_quality_rules": op9_quality_rules,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL = {
