@@ -4,14 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import packing, quality_rules, token_counts
+from weftline.llm import chat_format, packing, quality_rules, token_counts, url_filter, warc
 from weftline.llm.common import table
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(chat_format.ADDED, rows.schema))
+    return chat_format.digests(chat_format.segments(chat_format.of_rows(rows)))
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame([(k,) for k in url_filter.LISTED], "key string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.RULES, listed)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
@@ -21,11 +36,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_warc": op4_warc,
     "op5_token_counts": op5_token_counts,
+    "op6_chat_formatting": op6_chat_formatting,
+    "op7_url_filters": op7_url_filters,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
 
 ORACLE_SQL = {
+    "op7_url_filters": url_filter.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
 }
