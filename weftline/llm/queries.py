@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import chat_format, packing, quality_rules, token_counts, url_filter, warc
+from weftline.llm import chat_format, ngram_join, packing, quality_rules, token_counts, url_filter, warc
 from weftline.llm.common import table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -36,6 +40,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op4_warc": op4_warc,
     "op5_token_counts": op5_token_counts,
     "op6_chat_formatting": op6_chat_formatting,
