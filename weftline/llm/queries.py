@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import chat_format, ngram_join, packing, quality_rules, token_counts, url_filter, warc
+from weftline.llm import chat_format, ngram_join, packing, quality_rules, token_counts, toxicity, url_filter, warc
 from weftline.llm.common import table
 
 
@@ -12,6 +12,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -41,6 +46,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_toxicity": op2_toxicity,
     "op4_warc": op4_warc,
     "op5_token_counts": op5_token_counts,
     "op6_chat_formatting": op6_chat_formatting,
