@@ -15,7 +15,7 @@ similarity of 0.8 or more. The join is exact; nothing is sampled or capped.
    class is a point: its shingles are hashed into GROUPS groups, and the group
    counts are the coordinates. An R-tree over the points of a block is searched
    with the bound that the sum of the coordinate minima puts on the overlap,
-   for points of other components. Blocks of more than TILE classes are split
+   for points of other components; pairs must then be found in s blocks. Blocks of more than TILE classes are split
    into tiles, and pairs of tiles are searched in tasks of their own.
 5. Pairs that pass the bound are verified on the shingles of the whole texts, and
    the components are joined on.
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -47,6 +47,8 @@ LEAF = 16
 TILE = 4096
 #: Shingles that are counted at once, the share of documents that makes one frequent, and the most that are kept as such.
 COUNTED = 1 << 21
+#: A pair must share one key, and one more for each PER_KEY shingles of the smaller set.
+PER_KEY = 50
 FREQUENT = 1000
 MOST_FREQUENT = 100_000
 
@@ -119,8 +121,8 @@ def block_keys(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
                 order = np.lexsort((sets, is_late, owner))
                 rank = np.arange(len(sets)) - np.repeat(first[:-1], n)  # the place in the order
                 size = np.repeat(n, n)
-                probe = size - -(-size * NUMERATOR // DENOMINATOR) + 1
-                index = size - -(-size * 2 * NUMERATOR // (NUMERATOR + DENOMINATOR)) + 1
+                probe = size - -(-size * NUMERATOR // DENOMINATOR) + 1 + size // PER_KEY
+                index = size - -(-size * 2 * NUMERATOR // (NUMERATOR + DENOMINATOR)) + 1 + size // PER_KEY
                 keep = np.flatnonzero(rank < probe)
                 yield _batch([sets[order[keep]].view(np.int64), ids[a:b][owner[keep]], size[keep], (rank < index)[keep]], _KEY)
 
@@ -167,17 +169,18 @@ class Tree:
         return self.order[at]
 
 
-_PAIR = [("a", pa.int64()), ("b", pa.int64())]
+_PAIR = [("a", pa.int64()), ("b", pa.int64()), ("least", pa.int64()), ("shared", pa.int64())]
+_NONE = np.zeros((0, 3), np.int64)
 
 
 def tree_pairs(rows: DataFrame) -> DataFrame:
-    """rows (key, left, right, tile, id, n, index, component, counts), sorted by key, left, right within partitions, to candidate pairs (a, b)."""
+    """rows (key, left, right, tile, id, n, index, component, counts), sorted by key, left, right within partitions, to candidate pairs (a, b), with the size of the smaller set and the number of blocks they were found in (shared)."""
 
     def of_block(tile, left, right, ids, n, index, component, counts) -> np.ndarray:
         """Pairs of one block: within a tile, or between the tiles left and right."""
         own, other = np.flatnonzero(tile == left), np.flatnonzero(tile == right)
         if not len(own) or not len(other):
-            return np.zeros((0, 2), np.int64)
+            return _NONE
         tree, out = Tree(counts[other], n[other]), []
         for i in own:
             j = other[tree.search(counts[i], int(n[i]))]
@@ -185,12 +188,12 @@ def tree_pairs(rows: DataFrame) -> DataFrame:
             if left == right:
                 j = j[ids[j] > ids[i]]
             if len(j):
-                out.append(np.column_stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
-        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+                out.append(np.column_stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), np.minimum(n[i], n[j])]))
+        return np.concatenate(out) if out else _NONE
 
     def of_small(start, ids, n, index, component, counts) -> np.ndarray:
         """Pairs of all blocks that are a single leaf: start marks the first row of each row's block."""
-        out = [np.zeros((0, 2), np.int64)]
+        out = [_NONE]
         for d in range(1, LEAF):
             i = np.flatnonzero(start[d:] == start[:-d])
             if not len(i):
@@ -201,7 +204,7 @@ def tree_pairs(rows: DataFrame) -> DataFrame:
             close = may_link(n[i], n[j], np.minimum(n[i], n[j]))
             i, j = i[close], j[close]
             near = may_link(n[i], n[j], overlap_bound(counts[i], counts[j]))
-            out.append(np.column_stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])])[near])
+            out.append(np.column_stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), np.minimum(n[i], n[j])])[near])
         return np.concatenate(out)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,8 +223,8 @@ def tree_pairs(rows: DataFrame) -> DataFrame:
                 if not small[a]:
                     s = slice(a, a + size)
                     out.append(of_block(tile[s], left[a], right[a], ids[s], n[s], index[s], component[s], counts[s]))
-            every = np.unique(np.concatenate(out), axis=0)
-            return _batch([every[:, 0], every[:, 1]], _PAIR)
+            every, shared = np.unique(np.concatenate(out), axis=0, return_counts=True)
+            return _batch([*every.T, shared], _PAIR)
 
         for batch in batches:
             if not batch.num_rows:
@@ -235,7 +238,12 @@ def tree_pairs(rows: DataFrame) -> DataFrame:
         if rest:
             yield found(pa.Table.from_batches(rest).combine_chunks())
 
-    return rows.mapInArrow(pairs, "a long, b long")
+    return rows.mapInArrow(pairs, "a long, b long, least long, shared long")
+
+
+def enough(least: Column, shared: Column) -> Column:
+    """Whether a pair shares as many keys as its smaller set asks for."""
+    return shared > F.floor(least / PER_KEY)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -280,9 +288,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     keys = stored(keys.filter("size > 1 AND indexed").drop("indexed"), "blocks")
 
     point = classes.select(F.col("class_id").alias("id"), "n", "counts")
-    stars = keys.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    stars = keys.filter("id <> least").groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     stars = stars.join(point.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("c_a")), "a").join(point.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("c_b")), "b")
-    links = stored(verified(stored(bounded(stars), "star-pairs"), rows), "star-links")
+    links = stored(verified(stored(bounded(stars.filter(enough(F.least("n_a", "n_b"), F.col("shared")))), "star-pairs"), rows), "star-links")
     first = stored(components(links), "star-components")
 
     named = keys.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -292,7 +300,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     left = left.withColumn("left", F.least("tile", "other")).withColumn("right", F.greatest("tile", "other"))
     left = left.join(point.select("id", "counts"), "id").select("key", "left", "right", "tile", "id", "n", "index", "component", "counts")
     left = left.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "id")
-    pairs = stored(tree_pairs(left).distinct(), "pairs")
+    pairs = tree_pairs(left).groupBy("a", "b").agg(F.min("least").alias("least"), F.sum("shared").alias("shared"))
+    pairs = stored(pairs.filter(enough(F.col("least"), F.col("shared"))).select("a", "b"), "pairs")
     more = verified(pairs, rows)
     linked = components(links.unionByName(more))
 
