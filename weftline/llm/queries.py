@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import chat_format, ngram_join, packing, quality_rules, token_counts, toxicity, url_filter, warc
+from weftline.llm import chat_format, decontamination, ngram_join, packing, quality_rules, token_counts, toxicity, url_filter, warc
 from weftline.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -47,6 +51,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
+    "op3_decontamination": op3_decontamination,
     "op4_warc": op4_warc,
     "op5_token_counts": op5_token_counts,
     "op6_chat_formatting": op6_chat_formatting,
