@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import chat_format, decontamination, ngram_join, packing, quality_rules, token_counts, toxicity, url_filter, warc
+from weftline.llm import chat_format, decontamination, ngram_join, packing, quality_model, quality_rules, token_counts, toxicity, url_filter, warc
 from weftline.llm.common import table
 
 
@@ -40,6 +40,11 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.RULES, listed)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_model.score(docs, *quality_model.train(docs))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_url_filters": op7_url_filters,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
