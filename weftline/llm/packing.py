@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.segments import Arcs, as_bytes, default_tokenizer, runs_of, token_ids
+from weftline.llm.segments import arcs, as_bytes, default_tokenizer
 
 #: Limits of a sequence, and pieces that are at hand at once.
 MAX_TOKENS = 2048
@@ -143,7 +143,7 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     fields = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arcs, packer = Arcs(token_ids(path), as_bytes), Packer(tokens, segments, loss)
+        machine, packer = arcs(path, as_bytes), Packer(tokens, segments, loss)
         number = TaskContext.get().partitionId() << 36
         end, rows = as_bytes([END]), []
 
@@ -165,12 +165,12 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         id_type = pa.int64()
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                runs = [runs_of(x) for x in part.column(1).to_pylist()]
-                emitted = arcs.compile(r for x in runs for r in x).__getitem__
-                for example, own in zip(part.column(0).to_pylist(), runs, strict=True):
-                    ids = np.frombuffer(b"".join([*map(emitted, own), end]), "<u4")
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                runs = [machine.runs(x) for x in part.column(1).to_pylist()]
+                for example, emitted in zip(part.column(0).to_pylist(), machine.read(runs), strict=True):
+                    emitted.append(end)
+                    ids = np.frombuffer(b"".join(emitted), "<u4")
                     for sequence in packer.add(Piece(example, 0, len(ids), len(ids), ids, len(ids))):
                         keep(sequence)
                 if len(rows) >= 5000 or with_ids and rows:

@@ -12,13 +12,16 @@ again if they come back, so memory is bounded and results are not affected.
 
 from __future__ import annotations
 
+import gc
+import json
 import os
-from collections.abc import Callable, Iterable
-
-import numpy as np
+import re
+from array import array
+from collections import ChainMap
+from collections.abc import Callable
 
 #: Arcs in a generation; runs longer than LONG bytes are given to the tokenizer each time.
-GENERATION = 200_000
+GENERATION = 500_000
 LONG = 64
 
 
@@ -28,55 +31,165 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def token_ids(path: str) -> Callable[[list[str]], list[list[int]]]:
-    """ids of each text as the tokenizers library gives them, without special tokens being added."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+#: The pattern of the tokenizer's pre-tokenizer, and the same for the characters of PLAIN.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+PLAIN = re.compile(f"[!-@\\[-`{{-~{_LETTERS}]+").fullmatch
+_PLAIN_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+").findall
+
+
+def _byte_letters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write for the two UTF-8 bytes of the letters of PLAIN."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    shown = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0xDF, 0x100) if c != 0xF7}
+
+
+class Tokens:
+    """Token ids of runs, as the tokenizers library gives them without adding special tokens.
+
+    Runs of lower-case Latin-1 letters, digits and ASCII marks are not changed by the normaliser; they are cut into the
+    pre-tokenizer's pieces here, and the library's BPE model is asked for each new piece. All others go through the whole
+    tokenizer. splits says whether the tokenizer is of the kind that the module is about; if not, a text is one run.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as file:
+            config = json.load(file)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        steps = (config.get("normalizer") or {}).get("normalizers", [])
+        pre = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.splits = (
+            [x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"]
+            and [x["type"] for x in pre] == ["Split", "ByteLevel"]
+            and pre[0]["pattern"] == {"Regex": PATTERN}
+            and not any(x["lstrip"] or x["rstrip"] or x["normalized"] or set(" \t\n\x0b\x0c\r") & set(x["content"]) or "<|" not in x["content"] for x in config["added_tokens"])
+        )
+        self.letters = _byte_letters()
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
+
+    def runs(self, text: bytes) -> list[bytes]:
+        return runs_of(text) if self.splits else [text]
+
+    def ids(self, runs: list[bytes]) -> list[list[int]]:
+        out: list[list[int]] = []
+        whole: list[tuple[int, str]] = []
+        young, old, tokenize, letters = self.young, self.old, self.tokenizer.model.tokenize, self.letters
+        for run in runs:
+            text = run.decode("utf-8", "replace")
+            if self.splits and run.isalpha() and run.islower():  # a single piece
+                out.append([t.id for t in tokenize(text)])
+                continue
+            if not self.splits or "<|" in text or not PLAIN(text):
+                whole.append((len(out), text))
+                out.append([])
+                continue
+            own: list[int] = []
+            for piece in _PLAIN_PIECES(text):
+                ids = young.get(piece)
+                if ids is None:
+                    ids = old.get(piece)
+                    if ids is None:
+                        ids = [t.id for t in tokenize(piece if piece.isascii() else piece.translate(letters))]
+                    young[piece] = ids
+                own = own + ids if own else ids
+            out.append(own)
+        for (at, _), e in zip(whole, getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)([t for _, t in whole], add_special_tokens=False) if whole else [], strict=True):
+            out[at] = e.ids
+        if len(young) > GENERATION:
+            self.young, self.old = {}, young
+        return out
+
+
+_KEPT: dict[tuple[str, str], Arcs] = {}
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-    return lambda texts: [e.ids for e in encode(texts, add_special_tokens=False)]
+
+def arcs(path: str, emit: Callable[[list[int]], object]) -> Arcs:
+    """The machine of a tokenizer, kept in the worker process from one task to the next."""
+    key = (path, emit.__name__)
+    if key not in _KEPT:
+        tokens = Tokens(path)
+        _KEPT[key] = Arcs(tokens.ids, emit, tokens.runs)
+        _KEPT[key].splits = tokens.splits
+    return _KEPT[key]
 
 
 class Arcs:
     """run -> what is emitted for it; emit turns token ids into that."""
 
-    def __init__(self, ids: Callable[[list[str]], list[list[int]]], emit: Callable[[list[int]], object], size: int = GENERATION):
-        self.ids, self.emit, self.size = ids, emit, size
+    splits = True
+
+    def __init__(self, ids: Callable[[list[bytes]], list[list[int]]], emit: Callable[[list[int]], object], runs: Callable[[bytes], list[bytes]] | None = None, size: int = GENERATION):
+        self.ids, self.emit, self.size, self.runs = ids, emit, size, runs or runs_of
         self.young: dict[bytes, object] = {}
         self.old: dict[bytes, object] = {}
 
-    def compile(self, runs: Iterable[bytes]) -> dict[bytes, object]:
-        """The arcs of these runs; the mapping holds for the runs given, until the next call."""
+    def read(self, texts: list[list[bytes]]) -> list[list]:
+        """What is emitted for the runs of each text, in order; arcs that are missing are compiled first."""
         young, old = self.young, self.old
-        wanted = set(runs)
-        wanted.difference_update(young)
-        fresh = []
-        for run in wanted:
+        out = [list(map(young.get, own)) for own in texts]
+        holes, missing = [], {}
+        for own, emitted in zip(texts, out, strict=True):
+            if None in emitted:
+                at = [i for i, x in enumerate(emitted) if x is None]
+                holes.append((own, emitted, at))
+                for i in at:
+                    missing[own[i]] = None
+        fresh, marked = {}, []
+        for run in missing:
             found = old.get(run)
-            if found is None:
-                fresh.append(run)
+            if found is not None:
+                young[run] = missing[run] = found
+            elif run[-1:] in _MARKS and self.splits and len(run) > 1 and 97 <= run[-2] <= 122 and b"<|" not in run:
+                marked.append(run)
+                if run[:-1] not in young:
+                    found = old.get(run[:-1])
+                    if found is None:
+                        fresh[run[:-1]] = None
+                    else:
+                        young[run[:-1]] = found
             else:
-                young[run] = found
+                fresh[run] = None
+        for mark in _MARKS:
+            if marked and mark not in young:
+                fresh[mark] = None
+        collecting = gc.isenabled()
+        gc.disable()  # many small lists, and no cycles
         passing = {}
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            for run, ids in zip(part, self.ids([r.decode("utf-8", "replace") for r in part]), strict=True):
-                (young if len(run) <= LONG else passing)[run] = self.emit(ids)
-        arcs = young
-        if passing:
-            arcs = young | passing
+        for run, ids in zip(fresh, self.ids(list(fresh)), strict=True):
+            (young if len(run) <= LONG else passing)[run] = self.emit(ids)
+        if collecting:
+            gc.enable()
+        known = ChainMap(young, passing) if passing else young
+        for run in marked:
+            known[run] = known[run[:-1]] + known[run[-1:]]
+        for run in missing:
+            if missing[run] is None:
+                missing[run] = known[run]
+        for own, emitted, at in holes:
+            for i in at:
+                emitted[i] = missing[own[i]]
         if len(young) > self.size:
             self.young, self.old = {}, young
-        return arcs
+        return out
+
+
+#: A mark after one of a-z is a piece of its own for the pre-tokenizer.
+_MARKS = (b".", b",")
 
 
 def runs_of(text: bytes) -> list[bytes]:
     """The runs between ASCII white space, A-Z lower-cased unless the text may hold a special token's string."""
-    return (text if b"<|" in text else text.lower()).split()
+    return text.split() if b"<|" in text else text.lower().split()
 
 
 def as_bytes(ids: list[int]) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
+    """Little-endian unsigned 32-bit ids."""
+    return array("I", ids).tobytes()

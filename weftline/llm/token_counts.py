@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.segments import Arcs, default_tokenizer, runs_of, token_ids
+from weftline.llm.segments import arcs, default_tokenizer, runs_of
 
 #: Bytes of a chunk, and the count above which a text is over the limit.
 CHUNK = 1 << 16
@@ -74,7 +74,7 @@ def runs_by_chunks(text: bytes, size: int = CHUNK) -> list[bytes]:
     """The runs of a text through the maps of its chunks."""
     if len(text) <= size:
         return runs_of(text)
-    text = text if b"<|" in text else text.lower()
+    text = text if b"<|" in text else text.lower()  # the maps need no more than the separators
     whole = combined([chunk_map(text[i : i + size]) for i in range(0, len(text), size)])
     return [x for x in (whole.head, *whole.runs, whole.tail) if x]
 
@@ -85,14 +85,13 @@ def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arcs = Arcs(token_ids(path), len)
+        machine = arcs(path, len)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             n_tokens = []
-            for i in range(0, len(texts), 256):
-                runs = [runs_by_chunks(x, chunk) for x in texts[i : i + 256]]
-                emitted = arcs.compile(r for x in runs for r in x).__getitem__
-                n_tokens += [sum(map(emitted, x)) for x in runs]
+            for i in range(0, len(texts), 512):
+                runs = [runs_by_chunks(x, chunk) if machine.splits else [x] for x in texts[i : i + 512]]
+                n_tokens += map(sum, machine.read(runs))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) for x in texts], pa.int64()), pa.array(n_tokens, pa.int64()), pa.array([n > limit for n in n_tokens], pa.bool_())],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
