@@ -102,9 +102,9 @@ def repeated_words(tokens: Column) -> Column:
     )
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with a struct column _rules: the counts, base_failed, kept and the cleaned text."""
-    raw = F.coalesce(F.col(text).cast("string"), F.lit(""))
+def judge(text: Column) -> Column:
+    """A struct of a text's counts, base_failed, kept and the cleaned text."""
+    raw = F.coalesce(text.cast("string"), F.lit(""))
     size = F.length(raw)
     n_symbols = size - F.length(F.translate(raw, SYMBOLS, ""))
     word_chars = F.length(F.translate(raw, " \t\n\x0b\x0c\r", ""))
@@ -131,36 +131,39 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     def by_word(tokens: Column) -> Column:
         return F.struct(F.size(tokens).cast("long").alias("n_words"), repeated_words(tokens).alias("n_repeat_words"))
 
-    counted = docs.withColumn("_l", let(lines, by_line)).withColumn("_w", let(words(raw), by_word))
-    failed = (F.col("_w.n_words") < LEAST_WORDS) | (100 * F.col("_w.n_repeat_words") > MOST_REPEATED * F.col("_w.n_words"))
-    loses = 2 * F.col("_l.good_chars") < F.col("_l.line_chars")
-    rules = F.struct(
-        F.col("_w.n_words").alias("n_words"),
-        word_chars.cast("long").alias("word_chars"),
-        n_symbols.cast("long").alias("n_symbols"),
-        F.col("_l.n_dup_lines").alias("n_dup_lines"),
-        F.col("_w.n_repeat_words").alias("n_repeat_words"),
-        F.col("_l.n_failed_lines").alias("n_failed_lines"),
-        failed.alias("base_failed"),
-        (~failed & ~loses).alias("kept"),
-        F.col("_l.cleaned").alias("cleaned"),
-    )
-    return counted.withColumn("_rules", rules).drop("_l", "_w")
+    def verdict(x: Column) -> Column:
+        failed = (x["w"]["n_words"] < LEAST_WORDS) | (100 * x["w"]["n_repeat_words"] > MOST_REPEATED * x["w"]["n_words"])
+        loses = 2 * x["l"]["good_chars"] < x["l"]["line_chars"]
+        return F.struct(
+            x["w"]["n_words"].alias("n_words"),
+            word_chars.cast("long").alias("word_chars"),
+            n_symbols.cast("long").alias("n_symbols"),
+            x["l"]["n_dup_lines"].alias("n_dup_lines"),
+            x["w"]["n_repeat_words"].alias("n_repeat_words"),
+            x["l"]["n_failed_lines"].alias("n_failed_lines"),
+            failed.alias("base_failed"),
+            (~failed & ~loses).alias("kept"),
+            x["l"]["cleaned"].alias("cleaned"),
+        )
+
+    return let(F.struct(let(lines, by_line).alias("l"), let(words(raw), by_word).alias("w")), verdict)
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: its counts and the verdict."""
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_failed_lines", "base_failed", "kept")
-    judged = judge(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
-    return judged.select("doc_id", *(F.col(f"_rules.{x}").alias(x) for x in fields))
+    judged = docs.select(docs[doc_id].alias("doc_id"), judge(docs[text]).alias("rules"))
+    return judged.select("doc_id", *(F.col(f"rules.{x}").alias(x) for x in fields))
 
 
 def clean(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are kept, with their cleaned text; n_chars follows the text where there is such a column."""
-    kept = judge(docs, text).filter("_rules.kept").withColumn(text, F.col("_rules.cleaned"))
+    kept = F.filter(F.array(judge(docs[text])), lambda rules: rules["kept"])  # a filter after the projection would judge twice
+    both = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), F.explode(kept).alias("rules"))
+    changed = {text: F.col("rules.cleaned")}
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        changed["n_chars"] = F.length("rules.cleaned").cast(docs.schema["n_chars"].dataType)
+    return both.select(*(changed.get(c, F.col("doc")[c]).alias(c) for c in docs.columns))
 
 
 _LINE_FAILS = f"""(
