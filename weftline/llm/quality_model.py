@@ -36,7 +36,7 @@ ROUNDS, SPEED, DECAY = 150, 0.1, 1e-4
 EM_ROUNDS = 200
 #: A labeller is taken to be better than chance: a bad vote is this much (in log odds) for bad at least, a good vote for
 #: good; no vote says nothing.
-LEAST_ODDS = 2.0
+LEAST_ODDS = 0.1
 THRESHOLD = 0.5
 
 LABELLERS = ("symbols", "marks", "endings", "capitals", "variety", "repeats", "lines", "prose")
