@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,3 +48,15 @@ def let(value: Column, body) -> Column:
 def text_of(docs: DataFrame, column: str = "text") -> Column:
     """The text column as it is, null as empty."""
     return F.coalesce(docs[column].cast("string"), F.lit(""))
+
+
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While it is open, what is executed sends this many rows at most to Python at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -9,8 +9,10 @@ similarity of 0.8 or more. The join is exact; nothing is sampled or capped.
    which only makes blocks small, and has no effect on the result. Of linked
    sets, the smaller has one of its first n - ceil(8n/9) + 1 shingles among the
    first n - ceil(4n/5) + 1 of the other. These are the keys of blocks.
-3. Each class of a block is first paired with the block's smallest id, so that
-   groups of near copies come together without all their pairs.
+   A document with fewer keys in common with others than s is done.
+3. In a few turns, each class of a block is paired with one of them, another in
+   each turn, and those that are linked are joined to components: groups of
+   near copies come together without all their pairs.
 4. What is left are blocks with classes of several components. There, each
    class is a point: its shingles are hashed into GROUPS groups, and the group
    counts are the coordinates. An R-tree over the points of a block is searched
@@ -36,19 +38,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from weftline.llm.common import stored
+from weftline.llm.common import batches_of, stored
 from weftline.llm.components import components
 from weftline.llm.shingles import in_steps, mix, shingle_sets
 
 #: Similarity as a fraction, groups of the count vectors, points of a leaf and of a tile.
 NUMERATOR, DENOMINATOR = 4, 5
-GROUPS = 64
+GROUPS = 512
 LEAF = 16
 TILE = 4096
-#: Shingles that are counted at once, the share of documents that makes one frequent, and the most that are kept as such.
-COUNTED = 1 << 21
+#: Counts are single bytes; this one stands for any higher count.
+MOST = 255
+#: Turns in which a block's classes are paired with one of them.
+STARS = 2
+#: Shingles that are counted at once, the share of documents that makes one frequent there, and the most that are kept as such.
+COUNTED = 1 << 20
 #: A pair must share one key, and one more for each PER_KEY shingles of the smaller set.
-PER_KEY = 50
+PER_KEY = 10
+#: Rows that a Python worker holds at once.
+ROWS = 1500
+#: Ids that are sent to all tasks at most (8 bytes each).
+MOST_SENT = 500_000
 FREQUENT = 1000
 MOST_FREQUENT = 100_000
 
@@ -73,7 +83,7 @@ def sketches(rows: DataFrame) -> DataFrame:
 
         def frequent() -> pa.RecordBatch:
             shingle, seen = np.unique(np.concatenate(held), return_counts=True)
-            often = seen >= max(8, n_docs / FREQUENT)
+            often = seen >= max(6, n_docs / FREQUENT)
             m = int(often.sum())
             return _batch([[None] * m, [None] * m, [None] * m, [None] * m, [None] * m, shingle[often].view(np.int64), seen[often]], _SKETCH)
 
@@ -83,12 +93,12 @@ def sketches(rows: DataFrame) -> DataFrame:
                 sets, first = shingle_sets(texts[a:b])
                 n = np.diff(first)
                 owner = np.repeat(np.arange(b - a), n)
-                counts = np.bincount(owner * GROUPS + (sets & np.uint64(GROUPS - 1)).astype(np.int64), minlength=(b - a) * GROUPS).astype(np.uint16 if n.max(initial=0) < 1 << 16 else np.uint32)
-                counts = np.minimum(counts, 65535).astype("<u2").tobytes()  # 65535 stands for any higher count
+                counts = np.bincount(owner * GROUPS + (sets & np.uint64(GROUPS - 1)).astype(np.int64), minlength=(b - a) * GROUPS)
+                counts = np.minimum(counts, MOST).astype(np.uint8).tobytes()
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(sets ^ np.uint64(0x5BF03635)))])
                 xors = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(mix(sets + np.uint64(0x2F0B4C47)))])
                 s1, s2 = sums[first[1:]] - sums[first[:-1]], xors[first[1:]] ^ xors[first[:-1]]
-                size = GROUPS * 2
+                size = GROUPS
                 yield _batch([ids[a:b], n, s1.view(np.int64), s2.view(np.int64), [counts[i * size : (i + 1) * size] for i in range(b - a)], [None] * (b - a), [None] * (b - a)], _SKETCH)
                 held.append(sets)
                 n_held, n_docs = n_held + len(sets), n_docs + b - a
@@ -135,8 +145,8 @@ def may_link(n_a, n_b, overlap):
 
 
 def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The sum of coordinate minima; a count of 65535 may be higher, so that it takes the other's size."""
-    return np.minimum(a, b).sum(axis=-1, dtype=np.int64) + ((a == 65535) & (b == 65535)).any(axis=-1) * (1 << 40)
+    """The sum of coordinate minima; without bound where both have a count of MOST, which may be higher."""
+    return np.minimum(a, b).sum(axis=-1, dtype=np.int64) + ((a == MOST) & (b == MOST)).any(axis=-1) * (1 << 40)
 
 
 class Tree:
@@ -213,7 +223,7 @@ def tree_pairs(rows: DataFrame) -> DataFrame:
         def found(table: pa.Table) -> pa.RecordBatch:
             key, left, right, tile, ids, n, component = (table.column(c).to_numpy() for c in ("key", "left", "right", "tile", "id", "n", "component"))
             index = table.column("index").to_numpy(zero_copy_only=False).astype(bool)
-            counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u2").reshape(-1, GROUPS)
+            counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, GROUPS)
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])]))
             length = np.diff(np.append(new, len(key)))
             start = np.repeat(new, length)
@@ -249,15 +259,17 @@ def enough(least: Column, shared: Column) -> Column:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar; texts has doc_id and text."""
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    own = stored(texts.join(wanted, "doc_id", "left_semi"), "texts")
+    wanted = stored(wanted, "wanted")
+    few = wanted.count() <= MOST_SENT  # else both sides are shuffled
+    own = stored(texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi"), "texts")
     both = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(own.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                m = part.num_rows
-                sets, first = shingle_sets(part.column(2).to_pylist() + part.column(3).to_pylist())
+            texts_a, texts_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for at, end in in_steps([a + b for a, b in zip(texts_a, texts_b, strict=True)]):
+                part, m = batch.slice(at, end - at), end - at
+                sets, first = shingle_sets(texts_a[at:end] + texts_b[at:end])
                 good = []
                 for i in range(m):
                     x, y = sets[first[i] : first[i + 1]], sets[first[m + i] : first[m + i + 1]]
@@ -271,41 +283,50 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and class_id (the smallest id with an equal set) of each row."""
-    spark = docs.sparkSession
+    with batches_of(docs.sparkSession, ROWS):
+        return _join(docs, doc_id, text)
+
+
+def _join(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     rows = _texts(docs, doc_id, text)
     sketch = stored(sketches(rows), "sketches")
     sets = sketch.filter("n IS NOT NULL").drop("shingle", "seen")
-    n_docs = sets.count()
-    often = sketch.filter("seen IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= max(8, n_docs / FREQUENT))
-    frequent = np.array([r.shingle for r in often.orderBy(F.desc("seen"), "shingle").limit(MOST_FREQUENT).collect()], np.int64).view(np.uint64)
+    often = sketch.filter("seen IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "shingle").limit(MOST_FREQUENT)
+    frequent = np.array([r.shingle for r in often.collect()], np.int64).view(np.uint64)
 
     filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = filled.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"), F.max("counts").alias("counts"))
-    classes = stored(classes, "classes")
-    own = rows.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    classes = stored(filled.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"), F.max("counts").alias("counts")), "classes")
+    members = stored(sets.drop("counts").join(classes.drop("counts"), ["n", "s1", "s2"], "left").select("doc_id", "n", "class_id"), "members")
+    copies = members.filter("doc_id <> class_id").select(F.col("doc_id").alias("id"), "class_id").distinct()
+
+    # blocks with two documents or more, then with two classes that may have enough keys in common
     block = W.partitionBy("key")
-    keys = block_keys(own, frequent).repartition("key").withColumns({"size": F.count(F.lit(1)).over(block), "least": F.min("id").over(block), "indexed": F.max("index").over(block)})
-    keys = stored(keys.filter("size > 1 AND indexed").drop("indexed"), "blocks")
+    in_block = {"size": F.count(F.lit(1)).over(block), "indexed": F.max("index").over(block)}
+    keys = block_keys(rows.filter("doc_id IS NOT NULL"), frequent).repartition("key").withColumns(in_block)
+    keys = stored(keys.filter("size > 1 AND indexed").select("key", "id", "n", "index"), "keys")
+    keys = keys.join(copies, "id", "left").select("key", F.coalesce("class_id", "id").alias("id"), "n", "index").distinct()
+    smallest = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
+    busy = keys.groupBy("id").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n")).filter(enough(smallest, F.col("shared")))
+    keys = keys.join(busy.select("id"), "id", "left_semi").repartition("key").withColumns(in_block)
+    keys = stored(keys.filter("size > 1 AND indexed").drop("indexed", "size"), "blocks")
 
     point = classes.select(F.col("class_id").alias("id"), "n", "counts")
-    stars = keys.filter("id <> least").groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    stars = stars.join(point.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("c_a")), "a").join(point.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("c_b")), "b")
-    links = stored(verified(stored(bounded(stars.filter(enough(F.least("n_a", "n_b"), F.col("shared")))), "star-pairs"), rows), "star-links")
-    first = stored(components(links), "star-components")
-
-    named = keys.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+    blocks, links = keys.withColumn("component", F.col("id")), None
+    for turn in range(STARS):
+        found = verified(stored(bounded(_star_pairs(blocks, point, turn)), "star-pairs"), rows)
+        links = stored(found if links is None else links.unionByName(found), "star-links")
+        named = keys.join(stored(components(links), "star-components"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        blocks = stored(_between(_between(named)), "mixed")
     tiles = F.ceil(F.col("size") / TILE).cast("int")
-    left = named.join(mixed, "key", "left_semi").withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+    left = blocks.withColumn("size", F.count(F.lit(1)).over(block)).withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
     left = left.withColumn("left", F.least("tile", "other")).withColumn("right", F.greatest("tile", "other"))
     left = left.join(point.select("id", "counts"), "id").select("key", "left", "right", "tile", "id", "n", "index", "component", "counts")
     left = left.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "id")
     pairs = tree_pairs(left).groupBy("a", "b").agg(F.min("least").alias("least"), F.sum("shared").alias("shared"))
     pairs = stored(pairs.filter(enough(F.col("least"), F.col("shared"))).select("a", "b"), "pairs")
-    more = verified(pairs, rows)
-    linked = components(links.unionByName(more))
+    linked = components(links.unionByName(verified(pairs, rows)))
 
-    named = sets.join(classes.select("n", "s1", "s2", "class_id"), ["n", "s1", "s2"], "left").join(linked.withColumnRenamed("id", "class_id"), "class_id", "left")
+    named = members.join(linked.withColumnRenamed("id", "class_id"), "class_id", "left")
     kind = docs.schema[doc_id].dataType
     of_class = F.coalesce("component", "class_id")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
@@ -317,14 +338,42 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     )
 
 
+def _star_pairs(blocks: DataFrame, point: DataFrame, turn: int) -> DataFrame:
+    """Pairs of one class of each block, the same in all of its blocks, with the block's classes of other components."""
+    place = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
+    star = F.min(F.struct(place.alias("o"), "id", "n", "component")).over(W.partitionBy("key"))
+    own = blocks.withColumn("star", star).filter("component <> star.component")
+    pairs = own.groupBy(F.least("star.id", "id").alias("a"), F.greatest("star.id", "id").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("star.n", "n")).alias("least"))
+    pairs = pairs.filter(enough(F.col("least"), F.col("shared"))).select("a", "b")
+    for x in "ab":
+        pairs = pairs.join(point.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("counts").alias(f"c_{x}")), x)
+    return pairs
+
+
+def _between(rows: DataFrame) -> DataFrame:
+    """Rows (key, id, n, component and others) of blocks with several components, of documents with enough such keys."""
+    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    own = rows.join(mixed.select("key"), "key", "left_semi")
+    smallest = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
+    busy = own.groupBy("id").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n")).filter(enough(smallest, F.col("shared")))
+    return own.join(busy.select("id"), "id", "left_semi")
+
+
 def bounded(pairs: DataFrame) -> DataFrame:
     """Pairs (a, b, n_a, c_a, n_b, c_b) that the sum of coordinate minima doesn't rule out."""
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, GROUPS) for c in ("c_a", "c_b"))
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, GROUPS) for c in ("c_a", "c_b"))
             n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
             fits = may_link(n_a, n_b, np.minimum(overlap_bound(a, b), np.minimum(n_a, n_b)))
             yield batch.select(["a", "b"]).filter(pa.array(fits))
 
     return pairs.mapInArrow(bound, "a long, b long")
+
+
+def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each group of linked ones, that with the smallest id; of rows that repeat an id, one. Rows without an id stay."""
+    kept = join(docs, doc_id, text).filter("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    named = docs.filter(F.col(doc_id).isNotNull()).join(kept, doc_id, "left_semi").dropDuplicates([doc_id])
+    return named.unionByName(docs.filter(F.col(doc_id).isNull())).select(*docs.columns)
