@@ -39,7 +39,7 @@ LENGTHS = (3, 4, 5)
 PAD = 50
 THRESHOLD = 0.3
 #: The bound of the training sample, the texts that a subword must be in, and how it is trained.
-MOST_TOXIC, MOST_CLEAN = 2500, 4500
+MOST_TOXIC, MOST_CLEAN = 2000, 3500
 LEAST_TEXTS = 10
 EPOCHS, BATCH, RATE, DECAY, START = 14, 250, 0.05, 1e-4, 0.01
 
@@ -217,3 +217,16 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     rows = docs.select(docs[doc_id].alias("doc_id"), held_out(docs[doc_id]).alias("held_out"), F.coalesce(docs[text], F.lit("")).cast("binary").alias("text"))
     return rows.mapInArrow(scores, f"doc_id {kind}, held_out boolean, score double, predicted int")
+
+
+def clean(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that score below the threshold. The score is taken row by row, so repeated ids need no join."""
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, doc_id, text))
+    at = docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = model.value.scores([b"" if x is None else x.encode() for x in batch.column(at).to_pylist()])
+            yield batch.filter(pa.array(own < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
