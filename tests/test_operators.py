@@ -178,11 +178,11 @@ BLOCKS = "volume int, page int, block_no int, x0 double, y0 double, text string,
 
 
 def test_paragraphs(spark):
-    texts = [("before", 50.0, "Lost? no, kept."), ("s", 50.0, "Section One"), ("p", 50.0, "Adi Parva"), ("c", 300.0, "1 (1)"), ("a", 50.0, "He conquer-\ned all"), ("b", 50.0, "foes. Then"), ("d", 50.0, "Rest came."), ("e", 50.0, "New one."), ("h", 50.0, "The Mahabharata 12"), ("c2", 300.0, "2 (2)"), ("f", 50.0, "End-"), ("g", 50.0, "ing.")]
+    texts = [("before", 50.0, "Lost? no, kept."), ("s", 50.0, "Section One"), ("p", 50.0, "Adi Parva"), ("c", 300.0, "1 (1)"), ("a", 50.0, "He conquer-\ned all"), ("b", 50.0, "foes. Then"), ("d", 50.0, "Rest came."), ("e", 50.0, "New one."), ("h", 50.0, "The Chronicle 12"), ("c2", 300.0, "2 (2)"), ("f", 50.0, "End-"), ("g", 50.0, "ing.")]
     blocks = spark.createDataFrame([(1, 1, i, x, 100.0 * i, t, 0) for i, (_, x, t) in enumerate(texts)], BLOCKS)
-    out = docparse.paragraphs(docparse.body_blocks(blocks)).orderBy("ord").collect()
+    out = docparse.paragraphs(docparse.body_blocks(blocks, "chronicle")).orderBy("ord").collect()
     assert [(r.marker, r.text) for r in out] == [(None, "Lost? no, kept."), ("1(1)", None), (None, "He conquered all foes. Then Rest came."), (None, "New one."), ("2(2)", None), (None, "Ending.")]
-    clean = docparse.cleaned(docparse.paragraphs(docparse.body_blocks(blocks))).orderBy("ord").collect()
+    clean = docparse.cleaned(docparse.paragraphs(docparse.body_blocks(blocks, "chronicle"))).orderBy("ord").collect()
     assert [r.marker for r in clean] == ["1(1)", None, None, "2(2)", None]
 
 
@@ -195,7 +195,7 @@ def test_notes_numbering(spark):
     lines = ["Footnotes", "Chapter 1", "1 First one. 2 Second here", "goes on", "3 Third", "900 years later", "1 Again", "Chapter 9"]
     blocks = spark.createDataFrame([(1, 5, i, 0.0, float(i), t, 0) for i, t in enumerate(lines)], BLOCKS)
     pages = spark.createDataFrame([(1, 5, "\n".join(lines))], "volume int, page int, text string")
-    got = [r.line for r in docparse.notes(docparse.notes_lines(blocks, pages)).orderBy("ord").collect()]
+    got = [r.line for r in docparse.notes(docparse.notes_lines(blocks, pages, "chronicle")).orderBy("ord").collect()]
     assert got == ["--- Chapter 1 ---", "1 First one.", "2 Second here goes on", "3 Third 900 years later", "--- Chapter 9 ---", "1 Again"]
 
 

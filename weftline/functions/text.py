@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Quotation marks and the marks that may close a sentence.
+#: Fixed values, here and in the patterns of this module: quotation marks, and the marks that may close a sentence.
 QUOTES = "‘’“”'\""
 CLOSERS = ".!?’”'\"):"
 #: A run of letters and digits; a name is a run of one capital and two or more small letters.

@@ -31,6 +31,7 @@ class Rule(NamedTuple):
     least: int = 1
 
 
+#: Fixed values, from here to DUTIES: patterns of names and relations, in the order in which they are believed.
 #: Names in chapters, with the number of times that a name must be found.
 CHAPTER_NAMES = (
     Rule("speech", rf"[‘’']{_N}\s+(?:said|spoke|asked|replied|answered|told|addressed|continued|recounted)"),
@@ -39,7 +40,7 @@ CHAPTER_NAMES = (
     Rule("kin", rf"{_N}’s\s+{_KIN}", least=3),
     Rule("frequent", r"\b([A-Z][a-z]{3,})\b", least=50),
 )
-#: Relations in chapters, in the order in which they are believed.
+#: Relations in chapters.
 CHAPTER_RELATIONS = (
     Rule("son of", rf"{_N},?\s+(?:the\s+)?son\s+of\s+{_N}", 1, 2, "Male", "Male", "father"),
     Rule("daughter of", rf"{_N},?\s+(?:the\s+)?daughter\s+of\s+{_N}", 1, 2, "Female", None, "father"),
