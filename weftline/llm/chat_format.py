@@ -203,3 +203,13 @@ ADDED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[IN
 def of_rows(conversations: DataFrame) -> DataFrame:
     """Rows (conv_id, turn, role, text) as records."""
     return conversations.select("conv_id", F.col("turn").alias("position"), F.to_json(F.struct("role", "text")).alias("record"))
+
+
+_SQL_CONTROL = "|".join(re.sub(r"([\[\]/|<>])", r"\\\1", x) for x in CONTROL)
+
+ORACLE_SQL = f"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL VALUES {", ".join(repr(x) for x in ADDED)}),
+e AS (SELECT *, length(regexp_replace(replace(text, chr(92), repeat(chr(92), 2)), '({_SQL_CONTROL})', '\\1.', 'g')) AS n_escaped FROM c)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum({len(OPEN) + 1 + len(CLOSE)} + length(role) + n_escaped)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id"""

@@ -377,3 +377,18 @@ def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     kept = join(docs, doc_id, text).filter("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
     named = docs.filter(F.col(doc_id).isNotNull()).join(kept, doc_id, "left_semi").dropDuplicates([doc_id])
     return named.unionByName(docs.filter(F.col(doc_id).isNull())).select(*docs.columns)
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: The same rows by all shared shingles; for small tables.
+ORACLE_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda t: t <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(generate_series(1, len(ws) - 4), lambda i: array_to_string(ws[i:i + 4], ' ')) ELSE [array_to_string(ws, ' ')] END) AS sh FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n, md5(string_agg(sh, chr(10) ORDER BY sh)) AS set FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+y AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS id, doc_id AS other FROM n UNION SELECT r.id, y.b FROM r JOIN y ON r.other = y.a),
+c AS (SELECT id, min(other) AS component FROM r GROUP BY id), m AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY set) AS class FROM n)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.component, w.doc_id) AS component_id, coalesce(m.class, w.doc_id) AS class_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.id = w.doc_id LEFT JOIN m ON m.doc_id = w.doc_id"""

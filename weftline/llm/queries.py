@@ -67,6 +67,9 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_ngram_join": ngram_join.ORACLE_SQL,
+    "op4_warc": warc.ORACLE_SQL,
+    "op6_chat_formatting": chat_format.ORACLE_SQL,
     "op7_url_filters": url_filter.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
 }

@@ -290,3 +290,12 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", pay
     back = read_archives(spark, folder, with_payload=False).filter("gap IS NULL")
     number = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(.*)>$", 1), F.lit("")).cast(kind)
     return back.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
+#: Base32 of a SHA-1: 5 hexadecimal digits make 4 characters.
+_BASE32 = """list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1, 1)), 'string_agg', '')"""
+
+ORACLE_SQL = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages), l AS (SELECT h, max(page_id) AS last FROM p GROUP BY h)
+SELECT page_id, strlen(t)::BIGINT AS payload_bytes, {_BASE32.replace("substr(h,", "substr(p.h,")} AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+FROM p JOIN l ON p.h = l.h"""
