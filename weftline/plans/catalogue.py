@@ -122,7 +122,11 @@ def line_classify(spark, sf):
     return assemble.histogram(lines.select(kind.alias("kind")), "kind")
 
 
-@query()
+@query(
+    r"""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS ls FROM documents),
+t AS (SELECT doc_id, CASE WHEN len(ls) = 0 THEN '' ELSE list_reduce(ls, lambda acc, x: CASE WHEN ends_with(acc, '-') THEN left(acc, length(acc) - 1) || x ELSE acc || ' ' || x END) END AS t FROM l)
+SELECT doc_id, length(t)::BIGINT AS n_chars_out, md5(t) AS digest FROM t"""
+)
 def dehyphenate_lines(spark, sf):
     own = table(spark, sf, "documents").select("doc_id", T.joined_lines(F.split("text", "\n")).alias("t"))
     return own.select("doc_id", long(F.length("t")).alias("n_chars_out"), F.md5("t").alias("digest"))
