@@ -39,8 +39,10 @@ LENGTHS = (3, 4, 5)
 PAD = 50
 THRESHOLD = 0.3
 #: The bound of the training sample, the texts that a subword must be in, and how it is trained.
-MOST_TOXIC, MOST_CLEAN = 2000, 3500
-LEAST_TEXTS = 10
+MOST_TOXIC, MOST_CLEAN = 1500, 2500
+LEAST_TEXTS = 20
+#: Bytes of text at a time in training, and in scoring.
+FIT_STEP, STEP = 1 << 16, 1 << 18
 EPOCHS, BATCH, RATE, DECAY, START = 14, 250, 0.05, 1e-4, 0.01
 
 #: Means of many words are small numbers; they are scaled up before the softmax.
@@ -93,7 +95,7 @@ class Model(NamedTuple):
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         out = np.full(len(texts), self.bias)
-        for a, b in in_steps(texts, 1 << 19):
+        for a, b in in_steps(texts, STEP):
             bucket, weight, text = subwords(texts[a:b])
             out[a:b] += np.bincount(text, self.table[bucket] * weight, minlength=b - a)
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
@@ -103,34 +105,30 @@ class _Batch(NamedTuple):
     rows: np.ndarray  # buckets in use
     cell_row: np.ndarray  # of each cell, the place of its bucket in rows
     cell_weight: np.ndarray
+    cell_text: np.ndarray
     has: np.ndarray  # the texts with cells
     by_text: np.ndarray  # where their cells begin
-    by_row: np.ndarray  # the order of cells by bucket
-    row_first: np.ndarray
-    cell_text: np.ndarray
     label: np.ndarray
     weight: np.ndarray
 
 
 def _batch(texts: list[bytes], label: np.ndarray, weight: np.ndarray, held: np.ndarray) -> _Batch:
     cells: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for a, b in in_steps(texts):
+    for a, b in in_steps(texts, FIT_STEP):
         bucket, w, text = subwords(texts[a:b])
         own = held[bucket]
-        bucket, w, text = bucket[own], w[own], text[own]
-        key, where = np.unique(text * BUCKETS + bucket, return_inverse=True)
-        cells.append((key // BUCKETS + a, key % BUCKETS, np.bincount(where, w, minlength=len(key))))
+        key, where = np.unique(text[own] * BUCKETS + bucket[own], return_inverse=True)
+        cells.append(((key // BUCKETS + a).astype(np.int16), (key % BUCKETS).astype(np.int32), np.bincount(where, w[own], minlength=len(key)).astype(np.float32)))
     cell_text, bucket, w = (np.concatenate([c[i] for c in cells]) for i in range(3))
     rows, cell_row = np.unique(bucket, return_inverse=True)
     has = np.unique(cell_text)
-    order = np.argsort(cell_row, kind="stable")
-    return _Batch(rows, cell_row.astype(np.int32), w.astype(np.float32), has, np.searchsorted(cell_text, has), order.astype(np.int32), np.searchsorted(cell_row[order], np.arange(len(rows))), cell_text.astype(np.int32), label, weight)
+    return _Batch(rows, cell_row.astype(np.int32), w, cell_text, has, np.searchsorted(cell_text, has), label, weight)
 
 
 def _frequent(texts: list[bytes], least: int | None = None) -> np.ndarray:
     """Which buckets enough of the texts have."""
     seen = np.zeros(BUCKETS, np.int64)
-    for a, b in in_steps(texts):
+    for a, b in in_steps(texts, FIT_STEP):
         bucket, _, text = subwords(texts[a:b])
         seen += np.bincount(np.unique(text * BUCKETS + bucket) % BUCKETS, minlength=BUCKETS)
     return seen >= (least or LEAST_TEXTS)
@@ -172,7 +170,7 @@ def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int =
             p[np.arange(len(p)), b.label] -= 1
             p *= (b.weight / len(p))[:, None]
             to_mean = SCALE * p @ softmax.T
-            to_rows = np.add.reduceat((to_mean[b.cell_text] * b.cell_weight[:, None])[b.by_row], b.row_first) + DECAY * own
+            to_rows = np.column_stack([np.bincount(b.cell_row, to_mean[b.cell_text, d] * b.cell_weight, minlength=len(b.rows)) for d in range(DIMENSIONS)]) + DECAY * own
             adam(softmax, moments[1], SCALE * mean.T @ p, slice(None), rate)
             adam(bias, moments[2], p.sum(axis=0), slice(None), rate)
             adam(vectors, moments[0], to_rows, b.rows, rate)
