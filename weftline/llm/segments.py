@@ -21,7 +21,9 @@ from collections import ChainMap
 from collections.abc import Callable
 
 #: Arcs in a generation; runs longer than LONG bytes are given to the tokenizer each time.
-GENERATION = 500_000
+GENERATION = 350_000
+#: Pieces that are held in a generation, of runs that have several.
+PIECES = 40_000
 LONG = 64
 
 
@@ -103,7 +105,7 @@ class Tokens:
             out.append(own)
         for (at, _), e in zip(whole, getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)([t for _, t in whole], add_special_tokens=False) if whole else [], strict=True):
             out[at] = e.ids
-        if len(young) > GENERATION:
+        if len(young) > PIECES:
             self.young, self.old = {}, young
         return out
 
