@@ -43,6 +43,24 @@ def test_toxicity(spark):
     assert toxicity.score(docs, one_class).filter("score > 0.001").count() == 0
 
 
+def test_toxicity_with_few_toxic_examples():
+    rng = random.Random(5)
+    text = lambda word, n: " ".join(w for i in range(n) for w in (sentence(rng, 6), word)).encode()
+    texts = [text(BAD[i % 4], 4) if i < 12 else text("and", 4) for i in range(90)]
+    model = toxicity.fit(texts, np.array([int(i < 12) for i in range(90)]), np.ones(90))
+    assert (model.scores([text(BAD[i % 4], 4) for i in range(20)]) >= toxicity.THRESHOLD).mean() >= 0.9
+    assert (model.scores([text("and", 4) for _ in range(40)]) >= toxicity.THRESHOLD).mean() <= 0.1
+
+
+def test_toxicity_of_a_rare_insult():
+    rng = random.Random(6)
+    text = lambda word: " ".join(w for i in range(4) for w in (sentence(rng, 6), word)).encode()
+    texts = [text("and") for _ in range(300)] + [text(rng.choice(BAD)) for _ in range(100)] + [text("zwygglok") for _ in range(6)]
+    model = toxicity.fit(texts, np.array([0] * 300 + [1] * 106), np.ones(406))
+    assert (model.scores([text("zwygglok") for _ in range(20)]) >= toxicity.THRESHOLD).mean() >= 0.9
+    assert (model.scores([text("and") for _ in range(20)]) >= toxicity.THRESHOLD).mean() <= 0.1
+
+
 def test_em_finds_the_accuracies():
     rng = np.random.default_rng(4)
     good = rng.random(20_000) < 0.8

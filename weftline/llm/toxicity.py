@@ -2,10 +2,12 @@
 
 A word, lower-cased and without punctuation, is put between < and >; its
 subwords are its byte n-grams of length 3 to 5 and the whole of it, hashed into
-BUCKETS vectors. Subwords of fewer than LEAST_TEXTS training texts are left out. A word's vector is the mean of its subwords' vectors, a text's
-vector the mean of its words' vectors, and a linear softmax gives the two
-classes. Vectors and softmax are trained together in numpy (minibatch Adam), so
-a misspelling that was never seen is judged by the subwords it shares.
+BUCKETS vectors. Every subword of the training texts has one, however rare it is;
+those that training never met count as nothing. A word's vector is the mean of its
+subwords' vectors, a text's vector the mean of its words' vectors, and a linear
+softmax gives the two classes. Vectors and softmax are trained together in numpy
+(minibatch Adam), so a misspelling that was never seen is judged by the subwords it
+shares. Small samples are cut into as many batches as large ones, for as many steps.
 
 Training uses at most MOST_TOXIC + MOST_CLEAN labelled documents (taken by a hash
 of their id; all of their text), weighted so that the classes have the shares
@@ -38,12 +40,13 @@ LENGTHS = (3, 4, 5)
 #: Words without a vector that are added to each text, so that single words of short texts don't decide alone.
 PAD = 50
 THRESHOLD = 0.3
-#: The bound of the training sample, the texts that a subword must be in, and how it is trained.
+#: The bound of the training sample, and how it is trained.
 MOST_TOXIC, MOST_CLEAN = 1500, 2500
-LEAST_TEXTS = 20
 #: Bytes of text at a time in training, and in scoring.
 FIT_STEP, STEP = 1 << 16, 1 << 18
 EPOCHS, BATCH, RATE, DECAY, START = 14, 250, 0.05, 1e-4, 0.01
+#: Batches of an epoch, at least; what the full sample makes.
+LEAST_BATCHES = (MOST_TOXIC + MOST_CLEAN) // BATCH
 
 #: Means of many words are small numbers; they are scaled up before the softmax.
 SCALE = 20.0
@@ -112,28 +115,18 @@ class _Batch(NamedTuple):
     weight: np.ndarray
 
 
-def _batch(texts: list[bytes], label: np.ndarray, weight: np.ndarray, held: np.ndarray) -> _Batch:
+def _batch(texts: list[bytes], label: np.ndarray, weight: np.ndarray) -> _Batch:
     cells: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for a, b in in_steps(texts, FIT_STEP):
         bucket, w, text = subwords(texts[a:b])
-        own = held[bucket]
-        key, where = np.unique(text[own] * BUCKETS + bucket[own], return_inverse=True)
-        cells.append(((key // BUCKETS + a).astype(np.int16), (key % BUCKETS).astype(np.int32), np.bincount(where, w[own], minlength=len(key)).astype(np.float32)))
+        key, where = np.unique(text * BUCKETS + bucket, return_inverse=True)
+        cells.append(((key // BUCKETS + a).astype(np.int16), (key % BUCKETS).astype(np.int32), np.bincount(where, w, minlength=len(key)).astype(np.float32)))
     cell_text, bucket, w = (np.concatenate([c[i] for c in cells]) for i in range(3))
     rows, cell_row = np.unique(bucket, return_inverse=True)
     has = np.unique(cell_text)
     return _Batch(rows, cell_row.astype(np.int32), w, cell_text, has, np.searchsorted(cell_text, has), label, weight)
 
 
-def _frequent(texts: list[bytes], least: int | None = None) -> np.ndarray:
-    """Which buckets enough of the texts have."""
-    seen = np.zeros(BUCKETS, np.int64)
-    for a, b in in_steps(texts, FIT_STEP):
-        bucket, _, text = subwords(texts[a:b])
-        seen += np.bincount(np.unique(text * BUCKETS + bucket) % BUCKETS, minlength=BUCKETS)
-    return seen >= (least or LEAST_TEXTS)
-
-
 def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int = 7, epochs: int = EPOCHS) -> Model:
     """Vectors and softmax trained together; weights are those of the examples."""
     own = [i for i, t in enumerate(texts) if t.translate(None, b" \t\n\x0b\x0c\r").strip()]
@@ -143,8 +136,11 @@ def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int =
         return Model(np.zeros(BUCKETS, np.float32), 500.0 if share else -500.0)
     random = np.random.default_rng(seed)
     order = random.permutation(len(texts))
-    held = _frequent(texts)
-    batches = [_batch([texts[i] for i in part], labels[part], weights[part] / weights.mean(), held) for part in np.array_split(order, -(-len(order) // BATCH))]
+    n_batches = max(-(-len(order) // BATCH), min(len(order), LEAST_BATCHES))
+    batches = [_batch([texts[i] for i in part], labels[part], weights[part] / weights.mean()) for part in np.array_split(order, n_batches)]
+    met = np.zeros(BUCKETS, bool)
+    for b in batches:
+        met[b.rows] = True
     vectors = random.normal(0, START, (BUCKETS, DIMENSIONS)).astype(np.float32)
     softmax = random.normal(0, 0.3, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.log(np.array([1 - share, share], np.float32))
@@ -174,7 +170,7 @@ def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int =
             adam(softmax, moments[1], SCALE * mean.T @ p, slice(None), rate)
             adam(bias, moments[2], p.sum(axis=0), slice(None), rate)
             adam(vectors, moments[0], to_rows, b.rows, rate)
-    vectors[~held] = 0
+    vectors[~met] = 0
     return Model((SCALE * vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
