@@ -194,3 +194,25 @@ def test_leaks_equal_brute_force(spark):
     kept = {r.doc_id for r in decontamination.clean(df, bench).collect()}
     assert kept == {d for d, _ in docs} - {d for d in got if got[d]}
     assert decontamination.leaks(df.limit(0), bench).count() == 0 and decontamination.leaks(df, bench.limit(0)).count() == 0
+
+
+def test_excerpts_of_long_items_equal_brute_force():
+    rng = random.Random(11)
+    words = lambda n: (" ".join("".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 7))) for _ in range(n)) + " " * n)[:n].strip()
+    items = [words(n).encode() for n in (150, 227, 300, 400)]
+    texts = [b"x " + items[1][20:130] + b" y", items[0][:11], items[0]]  # a text that ends as an item begins, and the item
+    for i in range(24):
+        item = rng.choice(items)
+        at, n = rng.randrange(len(item) - 100), rng.randint(80, 140)
+        part = bytearray(item[at : at + n])
+        for _ in range(rng.choice([0, 0, 4, 9])):
+            part[rng.randrange(len(part))] = ord("q")
+        texts.append((words(rng.randint(5, 40)) + " ").encode() + bytes(part) + (" " + words(30)).encode())
+    got = decontamination.found(decontamination.index(list(enumerate(items))), texts)
+    pairs = set(zip(got[0].tolist(), got[1].tolist(), strict=True))
+    assert (0, 1) in pairs and (2, 0) in pairs
+    for t, text in enumerate(texts):
+        for i, item in enumerate(items):
+            likely = any(item[k : k + 10] in text for k in range(len(item) - 9))  # 8 edits of 100 bytes leave such a run
+            wanted = likely and any(edit_distance_within(item[k : k + 100], text) <= 8 for k in range(len(item) - 99))
+            assert ((t, i) in pairs) == wanted, (t, i)

@@ -1,18 +1,19 @@
 """Benchmark decontamination by q-gram filtering and banded alignment.
 
 Texts and benchmark items are folded: lower case, each run of characters that
-are no letters or digits as one space. An item is cut into overlapping windows of
-WINDOW bytes. A document leaks an item when some part of it is within the edit
-budget of one of the item's windows.
+are no letters or digits as one space. The windows of an item are its runs of
+WINDOW bytes, one from each byte on; a shorter item is one window. A document leaks
+an item when some part of it is within the edit budget of one of the item's windows.
 
 By the q-gram lemma, two strings of which one has w bytes and that are at most e
 edits apart share w + 1 - q(e + 1) q-grams, on diagonals (place in the document
-minus place in the window) that differ by e at most. All q-grams of a document
-are looked up in the index of the windows; hits are counted in bands of STRIPE + e
+minus place in the item) that differ by e at most. All q-grams of a document are
+looked up in the index of the items; hits are put into bands of STRIPE + e
 neighbouring diagonals that overlap by e, so that every match lies in one band.
-Bands that reach the bound are verified by an alignment within the band.
+The window slides over the hits of a band; each that holds as many as the bound is
+verified, byte by byte first, then by an alignment within the band.
 
-Documents are read once, in whole, without a shuffle. The index of the windows
+Documents are read once, in whole, without a shuffle. The index of the items
 is sent to all tasks; items are counted first, and those of more than PART_BYTES
 are taken in parts, with a pass over the documents for each.
 
@@ -36,11 +37,13 @@ from pyspark.sql import functions as F
 from weftline.llm.shingles import in_steps
 
 Q = 10
-WINDOW, EVERY = 100, 50
+WINDOW = 100
 #: Edits for each byte of a window, the shortest item, and new diagonals of a band.
 BUDGET = 0.08
 SHORTEST = 20
 STRIPE = 16
+#: Windows of a band that one alignment may leave out.
+BLOCK = 16
 PART_BYTES = 4 << 20
 _TABLE = 1 << 22
 
@@ -81,50 +84,51 @@ def edits_allowed(size: np.ndarray) -> np.ndarray:
 
 
 class Index(NamedTuple):
-    """Windows of the items, and where each q-gram occurs in them."""
+    """The items, the windows' size, edits and bound in each, and where each q-gram occurs."""
 
     item: np.ndarray
     size: np.ndarray
+    width: np.ndarray
     edits: np.ndarray
     bound: np.ndarray
-    text: np.ndarray  # a row of WINDOW bytes each
+    text: np.ndarray  # all items, one after the other
+    start: np.ndarray
     table: np.ndarray
     gram: np.ndarray  # sorted, distinct
     first: np.ndarray
-    window: np.ndarray
+    row: np.ndarray
     place: np.ndarray
 
 
 def index(items: list[tuple[int, bytes]]) -> Index:
-    own, texts, grams_of, window_of, place_of = [], [], [], [], []
+    own, texts, grams_of = [], [], []
     for item, raw in items:
         data, _ = folded(np.frombuffer(b"\0" + raw.replace(b"\0", b" ") + b"\0", np.uint8))
         data = data[(data != 0)]
         data = data[int(len(data) > 0 and data[0] == 32) : len(data) - int(len(data) > 1 and data[-1] == 32)]
         if len(data) < SHORTEST:
             continue
-        starts = sorted({*range(0, max(1, len(data) - WINDOW + 1), EVERY), max(0, len(data) - WINDOW)})
-        for at in starts:
-            piece = data[at : at + WINDOW]
-            g = grams(piece)
-            grams_of.append(g)
-            window_of.append(np.full(len(g), len(own)))
-            place_of.append(np.arange(len(g)))
-            own.append((item, len(piece)))
-            texts.append(np.pad(piece, (0, WINDOW - len(piece))))
-    size = np.array([n for _, n in own], np.int64)
-    edits = edits_allowed(size)
+        grams_of.append(grams(data))
+        own.append(item)
+        texts.append(data)
+    size = np.array([len(t) for t in texts], np.int64)
+    width = np.minimum(size, WINDOW)
+    edits = edits_allowed(width)
     every = np.concatenate(grams_of) if own else np.zeros(0, np.uint64)
+    n = size - Q + 1
+    row = np.repeat(np.arange(len(own)), n)
+    place = np.arange(len(every)) - np.repeat(np.cumsum(n) - n, n)
     order = np.argsort(every, kind="stable")
     gram, first = np.unique(every[order], return_index=True)
     table = np.zeros(_TABLE, bool)
     table[(gram >> np.uint64(42)).astype(np.int64)] = True
-    pick = lambda parts: np.concatenate(parts)[order] if own else np.zeros(0, np.int64)
-    return Index(np.array([i for i, _ in own], np.int64), size, edits, size + 1 - Q * (edits + 1), np.array(texts, np.uint8).reshape(-1, WINDOW), table, gram, np.append(first, len(every)), pick(window_of), pick(place_of))
+    text = np.concatenate([*texts, np.zeros(WINDOW, np.uint8)])
+    return Index(np.array(own, np.int64), size, width, edits, width + 1 - Q * (edits + 1), text, np.cumsum(size) - size, table, gram, np.append(first, len(every)), row[order], place[order])
 
 
-def candidates(ix: Index, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """window, first diagonal of the band, and the place of one hit, of the bands that reach the bound."""
+def candidates(ix: Index, data: np.ndarray, zero: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """text, item, first byte of the window in the item, where the band would begin the window in data, and where one of its
+    hits would, of all windows whose hits in a band reach the bound."""
     g = grams(data)
     at = np.flatnonzero(ix.table[(g >> np.uint64(42)).astype(np.int64)])
     row = np.minimum(np.searchsorted(ix.gram, g[at]), len(ix.gram) - 1)
@@ -133,35 +137,60 @@ def candidates(ix: Index, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     n = ix.first[row + 1] - ix.first[row]
     hit = np.repeat(ix.first[row] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     at = np.repeat(at, n)
-    window, diagonal = ix.window[hit], at - ix.place[hit] + WINDOW  # from 0 on
+    item, place = ix.row[hit], ix.place[hit]
+    shift = int(ix.size.max())
+    diagonal = at - place + shift  # from 0 on
     band = diagonal // STRIPE
-    both = (diagonal % STRIPE < ix.edits[window]) & (band > 0)
-    bands = len(data) // STRIPE + WINDOW
-    key = np.concatenate([window * bands + band, (window * bands + band - 1)[both]])
-    key, where, count = np.unique(key, return_index=True, return_counts=True)
-    window = key // bands
-    keep = count >= ix.bound[window]
-    place = np.concatenate([at, at[both]])[where[keep]]
-    return window[keep], key[keep] % bands * STRIPE - WINDOW, place
-
-
-def aligned(ix: Index, data: np.ndarray, window: np.ndarray, diagonal: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    both = (diagonal % STRIPE < ix.edits[item]) & (band > 0)
+    bands = (len(data) + shift) // STRIPE + 1
+    key = ((np.searchsorted(zero, at, "right") - 1) * len(ix.item) + item) * bands + band
+    key, place, at = np.concatenate([key, key[both] - 1]), np.concatenate([place, place[both]]), np.concatenate([at, at[both]])
+    _, where, count = np.unique(key, return_inverse=True, return_counts=True)
+    keep = count[where.ravel()] >= ix.bound[key // bands % len(ix.item)]
+    key, place, at = key[keep], place[keep], at[keep]
+    order = np.lexsort((place, key))
+    key, place, at = key[order], place[order], at[order]
+    item = key // bands % len(ix.item)
+    # as many hits as the bound, from each on, that fit into a window; the windows that hold them begin at low to high
+    last = np.arange(len(key)) + ix.bound[item] - 1
+    i = np.flatnonzero(last < len(key))
+    i = i[(key[last[i]] == key[i]) & (place[last[i]] - place[i] <= ix.width[item[i]] - Q)]
+    low = np.maximum(0, place[last[i]] - (ix.width[item[i]] - Q))
+    high = np.minimum(place[i], (ix.size - ix.width)[item[i]])
+    again = np.flatnonzero(key[i[1:]] == key[i[:-1]]) + 1
+    low[again] = np.maximum(low[again], high[again - 1] + 1)  # each once
+    n = np.maximum(0, high - low + 1)
+    begin = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    i = np.repeat(i, n)
+    return key[i] // bands // len(ix.item), item[i], begin, key[i] % bands * STRIPE - shift + begin, at[i] - place[i] + begin
+
+
+def verbatim(ix: Index, data: np.ndarray, item: np.ndarray, begin: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which windows stand in data at these places byte by byte."""
+    step = np.arange(WINDOW)
+    there = at[:, None] + step
+    same = (data[np.clip(there, 0, len(data) - 1)] == ix.text[(ix.start[item] + begin)[:, None] + step]) & (there >= 0) & (there < len(data))
+    return (same | (step >= ix.width[item][:, None])).all(axis=1)
+
+
+def aligned(ix: Index, data: np.ndarray, item: np.ndarray, begin: np.ndarray, diagonal: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each band: the least number of edits between its window and a part of data within low..high, and where that part ends."""
     edits = int(ix.edits.max(initial=0))
     width = STRIPE + 3 * edits + 1
     base = (diagonal - edits)[:, None] + np.arange(width)
     cost = np.zeros(base.shape, np.int32)
     cost[(base < low[:, None]) | (base > high[:, None])] = 1 << 20
-    result, end = np.full(len(window), 1 << 20), np.zeros(len(window), np.int64)
+    result, end = np.full(len(item), 1 << 20), np.zeros(len(item), np.int64)
     steps = np.arange(width, dtype=np.int32)
+    first = ix.start[item] + begin
     for r in range(WINDOW):
         place = base + r
         inside = (place >= low[:, None]) & (place < high[:, None])
         char = np.where(inside, data[np.clip(place, 0, len(data) - 1)], 0)
-        down = cost + (char != ix.text[window, r][:, None]) + (~inside) * (1 << 20)
+        down = cost + (char != ix.text[first + r][:, None]) + (~inside) * (1 << 20)
         down[:, :-1] = np.minimum(down[:, :-1], cost[:, 1:] + 1)
         cost = np.minimum.accumulate(down - steps, axis=1) + steps
-        done = ix.size[window] == r + 1
+        done = ix.width[item] == r + 1
         if done.any():
             best = cost[done].argmin(axis=1)
             result[done] = cost[done, best]
@@ -169,6 +198,31 @@ def aligned(ix: Index, data: np.ndarray, window: np.ndarray, diagonal: np.ndarra
     return result, end
 
 
+def in_chunks(f, *columns: np.ndarray) -> np.ndarray:
+    """What f returns for 4,096 rows at a time, one after the other."""
+    return np.concatenate([np.atleast_2d(f(*(x[i : i + 4096] for x in columns))) for i in range(0, max(1, len(columns[0])), 4096)], axis=1)
+
+
+def verified(ix: Index, data: np.ndarray, text: np.ndarray, item: np.ndarray, begin: np.ndarray, diagonal: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edits and end of each window, as of aligned; many edits for those that can't be within the budget.
+
+    A window that begins d bytes later in the same band has at most d edits less, as long as places outside the text are
+    taken for wrong bytes. So the first of each block of windows is aligned in this way, and leaves out others of its block."""
+    same = in_chunks(lambda i, b, a: verbatim(ix, data, i, b, a), item, begin, at)[0]
+    edits, end = np.where(same, 0, 1 << 20), at + ix.width[item]
+    rest = np.flatnonzero(~same)
+    block = np.column_stack([text, item, diagonal - begin, begin // BLOCK])[rest]
+    head = np.ones(len(rest), bool)
+    head[1:] = (block[1:] != block[:-1]).any(axis=1)
+    first = rest[head]
+    far = np.full(len(first), 1 << 40)
+    least = in_chunks(lambda *x: np.stack(aligned(ix, data, *x)), item[first], begin[first], diagonal[first], -far, far)[0]
+    mine = np.cumsum(head) - 1
+    rest = rest[least[mine] - (begin[rest] - begin[first][mine]) <= ix.edits[item[rest]]]
+    edits[rest], end[rest] = in_chunks(lambda *x: np.stack(aligned(ix, data, *x)), item[rest], begin[rest], diagonal[rest], low[rest], high[rest])
+    return edits, end
+
+
 FIELDS = [("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int64()), ("n_windows", pa.int64())]
 
 
@@ -179,26 +233,25 @@ def found(ix: Index, texts: list[bytes]) -> list[np.ndarray]:
     none = [np.zeros(0, np.int64)] * 6
     if len(data) < Q or not len(ix.item):
         return none
-    window, diagonal, hit = candidates(ix, data)
+    zero = np.flatnonzero(data == 0)
+    text, item, window, diagonal, at = candidates(ix, data, zero)
     if not len(window):
         return none
-    zero = np.flatnonzero(data == 0)
-    text = np.searchsorted(zero, hit, "right") - 1
     low, high = zero[text] + 1, zero[text + 1]
-    edits, end = np.concatenate([np.stack(aligned(ix, data, *(x[i : i + 4096] for x in (window, diagonal, low, high)))) for i in range(0, len(window), 4096)], axis=1)
-    good = edits <= ix.edits[window]
-    window, text, edits, end, low = (x[good] for x in (window, text, edits, end, low))
-    begin = np.maximum(low, end - ix.size[window])
+    edits, end = verified(ix, data, text, item, window, diagonal, at, low, high)
+    good = edits <= ix.edits[item]
+    item, window, text, edits, end, low = (x[good] for x in (item, window, text, edits, end, low))
+    begin = np.maximum(low, end - ix.width[item])
     points = np.append(0, np.cumsum((raw & 0xC0) != 0x80))  # code points before each byte
     offset = points[place[zero[text]] + 1]
     start, stop = points[place[begin]] - offset, points[place[end - 1] + 1] - offset
-    key, where = np.unique(np.column_stack([text, ix.item[window]]), axis=0, return_inverse=True)
+    key, where = np.unique(np.column_stack([text, ix.item[item]]), axis=0, return_inverse=True)
     where, m = where.ravel(), len(key)
     first, last, fewest = np.full(m, 1 << 60), np.zeros(m, np.int64), np.full(m, 1 << 20)
     np.minimum.at(first, where, start)
     np.maximum.at(last, where, stop)
     np.minimum.at(fewest, where, edits)
-    pairs = np.unique(np.column_stack([where, window]), axis=0)[:, 0]
+    pairs = np.unique(np.column_stack([where, item, window]), axis=0)[:, 0]
     return [key[:, 0], key[:, 1], first, last, fewest, np.bincount(pairs, minlength=m)]
 
 
