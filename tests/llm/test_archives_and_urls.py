@@ -216,3 +216,11 @@ def test_excerpts_of_long_items_equal_brute_force():
             likely = any(item[k : k + 10] in text for k in range(len(item) - 9))  # 8 edits of 100 bytes leave such a run
             wanted = likely and any(edit_distance_within(item[k : k + 100], text) <= 8 for k in range(len(item) - 99))
             assert ((t, i) in pairs) == wanted, (t, i)
+
+
+def test_clean_judges_rows_without_an_id_or_with_a_repeated_one(spark):
+    item = "one quick brown fox jumps over the lazy dogs of a benchmark"
+    docs = spark.createDataFrame([(None, "see " + item), (None, "harmless"), (None, None), (7, item), (7, "other row"), (8, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = {(r.doc_id, r.text) for r in decontamination.clean(docs, bench).collect()}
+    assert kept == {(None, "harmless"), (None, None), (7, "other row"), (8, "")}

@@ -20,8 +20,8 @@ are taken in parts, with a pass over the documents for each.
 Defined results: null and empty texts leak nothing; items of fewer than SHORTEST
 folded bytes, null ones included, are too short to tell a leak from chance and
 are never found; equal items are found each by its own id; repeated rows are
-found as often as they come; empty tables give an empty result; other columns
-are not looked at.
+found as often as they come; clean judges each row by its own text, whatever its id
+is, null included; empty tables give an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -255,19 +255,24 @@ def found(ix: Index, texts: list[bytes]) -> list[np.ndarray]:
     return [key[:, 0], key[:, 1], first, last, fewest, np.bincount(pairs, minlength=m)]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """A row for each document and item that it leaks: the part of the text (start, end) that the matching windows span, the
-    fewest edits of a window, and how many of the item's windows match."""
-    spark = docs.sparkSession
+def indexes(benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text") -> Iterator[Index]:
+    """The index of each part of the items."""
     items = benchmark.select(benchmark[item_id].cast("long").alias("item_id"), F.coalesce(benchmark[item_text], F.lit("")).cast("binary").alias("text")).filter("item_id IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     parts = size // PART_BYTES + 1
+    for k in range(parts):
+        own = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).orderBy("item_id", "text").collect()
+        yield index([(r.item_id, bytes(r.text)) for r in own])
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """A row for each document and item that it leaks: the part of the text (start, end) that the matching windows span, the
+    fewest edits of a window, and how many of the item's windows match."""
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("binary").alias("text")).filter("length(text) > 0")
     kind = docs.schema[doc_id].dataType.simpleString()
     out = None
-    for k in range(parts):
-        own = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).orderBy("item_id", "text").collect()
-        sent = spark.sparkContext.broadcast(index([(r.item_id, bytes(r.text)) for r in own]))
+    for ix in indexes(benchmark, item_id, item_text):
+        sent = docs.sparkSession.sparkContext.broadcast(ix)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -282,6 +287,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that leak no item."""
-    leaking = leaks(docs, benchmark, doc_id, text).select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(leaking, doc_id, "left_anti").select(*docs.columns)
+    """The rows that leak no item. Each row is judged by its own text, so null and repeated ids need no join."""
+    at = docs.columns.index(text)
+    for ix in indexes(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(ix)
+
+        def keep(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = [b"" if x is None else x.encode() for x in batch.column(at).to_pylist()]
+                good = np.ones(len(texts), bool)
+                for a, b in in_steps(texts):
+                    good[found(sent.value, texts[a:b])[0] + a] = False
+                yield batch.filter(pa.array(good))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs
