@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from weftline.llm import packing, quality_rules, token_counts
 from weftline.llm.segments import Tokens, arcs, as_bytes, default_tokenizer
+from weftline.llm.transducer import Transducer
 
 DOCS = "doc_id long, text string, _l string, _w string, n_chars long"
 LONG = "word " * 30_000
@@ -45,12 +46,38 @@ def test_counts_are_the_library_s(docs, ids):
     assert token_counts.counts(docs.limit(0)).count() == 0
 
 
-def test_chunk_maps_compose():
-    text = b" one two  three\tfour five "
-    for size in range(1, 30):
-        maps = [token_counts.chunk_map(text[i : i + size]) for i in range(0, len(text), size)]
-        whole = token_counts.combined(maps)
-        assert [x for x in (whole.head, *whole.runs, whole.tail) if x] == text.split()
+ODD = ["..'s '.' 'rx 'r 're 'VE 'v' '' 's's 't't' don''t 'l 'll 'lll 'é", "Привет Ελλάς мир, š č Ž ı ŉ ǅ", "andandonnatti " * 300, "a\u0301 a\u00a0b \u2028 \x00\x1f", "ab" * 700 + "'"]
+
+
+def test_maps_compose_at_any_place(ids):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [t or "" for t in TEXTS if t != LONG] + ODD
+    wanted = [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    machine = Transducer(default_tokenizer(), most_states=50)  # forgets its states before each batch
+    for chunk in (1, 2, 7, 100_000):
+        assert machine.counts([t.encode() for t in texts], chunk).tolist() == wanted
+
+
+def test_a_map_for_every_state():
+    machine = Transducer(default_tokenizer())
+    data = np.frombuffer(b"erstanding, it's 12 words ", np.uint8)
+    before = [b"und", b"x.", b"'", b"it's", b"9", b" "]
+    start, stop = np.array([0]), np.array([len(data)])
+    ends, total = machine.run(data, start, stop)
+    for text in before:
+        own = np.frombuffer(text, np.uint8)
+        state, count = machine.run(own, np.array([0]), np.array([len(own)]))
+        met, at_end, more = machine.entered(data, start, stop, state)
+        whole = machine.run(np.concatenate([own, data]), np.array([0]), np.array([len(own) + len(data)]))
+        assert (ends[0] if met[0] else at_end[0]) == whole[0][0] and count[0] + total[0] + more[0] == whole[1][0]
+
+
+def test_counts_of_another_tokenizer(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Hello there, it's 12.", "", "a  b\n"]
+    wanted = [len(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n_tokens for r in token_counts.counts(df, tokenizer=path).orderBy("doc_id").collect()] == wanted
 
 
 def test_runs_are_forgotten_without_harm():

@@ -40,12 +40,11 @@ PLAIN = re.compile(f"[!-@\\[-`{{-~{_LETTERS}]+").fullmatch
 _PLAIN_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+").findall
 
 
-def _byte_letters() -> dict[int, str]:
-    """The characters that byte-level vocabularies write for the two UTF-8 bytes of the letters of PLAIN."""
+def byte_letters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write for bytes."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in printable]
-    shown = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
-    return {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0xDF, 0x100) if c != 0xF7}
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class Tokens:
@@ -73,7 +72,8 @@ class Tokens:
             and pre[0]["pattern"] == {"Regex": PATTERN}
             and not any(x["lstrip"] or x["rstrip"] or x["normalized"] or set(" \t\n\x0b\x0c\r") & set(x["content"]) or "<|" not in x["content"] for x in config["added_tokens"])
         )
-        self.letters = _byte_letters()
+        shown = byte_letters()
+        self.letters = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0xDF, 0x100) if c != 0xF7}  # those of PLAIN
         self.young: dict[str, list[int]] = {}
         self.old: dict[str, list[int]] = {}
 

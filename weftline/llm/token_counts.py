@@ -1,82 +1,35 @@
 """Token counts by a compiled finite-state transducer.
 
-The transducer of segments.py annotates each arc with the number of tokens that
-it emits. A text is cut into chunks of bytes without regard to words; each
-chunk is turned into its state map, independent of the state in which it is
-entered: the bytes up to its first separator (they end the run that was open
-before), the tokens emitted between its first and last separator, and the bytes
-after the last one (the run that stays open). Two neighbouring maps compose
-into the map of both, and composition is associative, so the maps of a long text
-are combined pairwise in a logarithmic number of rounds, as a parallel prefix
-scan does.
-
-Spark spreads the rows; one pass, no shuffle. Defined results: a null text
-counts as empty, with 0 bytes and 0 tokens; repeated rows give repeated results;
-an empty table gives an empty table; other columns are not looked at.
+transducer.py compiles the tokenizer to a deterministic transducer over bytes,
+whose transitions emit token counts. A text is cut into chunks of bytes without
+regard to words or characters. Each chunk becomes a map of states (where it
+ends, and how many tokens it emits, for the state it is entered in); all chunks
+of many texts are evaluated side by side, and the maps of a text are composed
+pairwise in a logarithmic number of rounds, as a parallel prefix scan does.
+
+Spark spreads the rows; one pass, no shuffle. A tokenizer of another kind than
+the transducer's (word ends, merges, and the pre-tokenizer of segments.py) is
+asked for each text in whole.
+
+Defined results: a null text counts as empty, with 0 bytes and 0 tokens; repeated
+rows give repeated results; an empty table gives an empty table; a text of any
+length is counted in whole; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.segments import arcs, default_tokenizer, runs_of
+from weftline.llm.segments import default_tokenizer
+from weftline.llm.shingles import in_steps
+from weftline.llm.transducer import CHUNK, transducer
 
-#: Bytes of a chunk, and the count above which a text is over the limit.
-CHUNK = 1 << 16
+#: The count above which a text is over the limit.
 LIMIT = 2048
-_SEPARATORS = b" \t\n\x0b\x0c\r"
-
-
-class ChunkMap(NamedTuple):
-    """What a chunk does to the machine. Without a separator, all of it is head and closed is false."""
-
-    head: bytes
-    runs: list[bytes]
-    tail: bytes
-    closed: bool
-
-
-def chunk_map(chunk: bytes) -> ChunkMap:
-    parts = chunk.split()
-    if not parts:
-        return ChunkMap(b"", [], b"", bool(chunk))
-    starts, ends = chunk[0] in _SEPARATORS, chunk[-1] in _SEPARATORS
-    if len(parts) == 1 and not starts and not ends:
-        return ChunkMap(parts[0], [], b"", False)
-    head = b"" if starts else parts.pop(0)
-    tail = b"" if ends or not parts else parts.pop()
-    return ChunkMap(head, parts, tail, True)
-
-
-def compose(a: ChunkMap, b: ChunkMap) -> ChunkMap:
-    """First a, then b."""
-    if not a.closed:
-        return ChunkMap(a.head + b.head, b.runs, b.tail, b.closed)
-    if not b.closed:
-        return ChunkMap(a.head, a.runs, a.tail + b.head, True)
-    middle = a.tail + b.head
-    return ChunkMap(a.head, [*a.runs, *([middle] if middle else []), *b.runs], b.tail, True)
-
-
-def combined(maps: list[ChunkMap]) -> ChunkMap:
-    while len(maps) > 1:
-        pairs = [compose(maps[i], maps[i + 1]) for i in range(0, len(maps) - 1, 2)]
-        maps = pairs + maps[len(pairs) * 2 :]
-    return maps[0]
-
-
-def runs_by_chunks(text: bytes, size: int = CHUNK) -> list[bytes]:
-    """The runs of a text through the maps of its chunks."""
-    if len(text) <= size:
-        return runs_of(text)
-    text = text if b"<|" in text else text.lower()  # the maps need no more than the separators
-    whole = combined([chunk_map(text[i : i + size]) for i in range(0, len(text), size)])
-    return [x for x in (whole.head, *whole.runs, whole.tail) if x]
 
 
 def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, limit: int = LIMIT, chunk: int = CHUNK) -> DataFrame:
@@ -85,13 +38,10 @@ def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = arcs(path, len)
+        machine = transducer(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            n_tokens = []
-            for i in range(0, len(texts), 512):
-                runs = [runs_by_chunks(x, chunk) if machine.splits else [x] for x in texts[i : i + 512]]
-                n_tokens += map(sum, machine.read(runs))
+            n_tokens = [n for a, b in in_steps(texts) for n in machine.counts(texts[a:b], chunk).tolist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) for x in texts], pa.int64()), pa.array(n_tokens, pa.int64()), pa.array([n > limit for n in n_tokens], pa.bool_())],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
