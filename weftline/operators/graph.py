@@ -2,27 +2,64 @@
 
 from __future__ import annotations
 
+import contextlib
+import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_SCRATCH: list[list[str]] = []
 
-def _stored(df: DataFrame) -> DataFrame:
-    """Written to the folder in spark.checkpoint.dir and read back; in a session without one, checkpointed to a temporary folder."""
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or the checkpoint folder of the context."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if found:
+        return found
+    kept = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if kept.isDefined():
+        return kept.get()
+    if not spark.sparkContext.master.partition("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='weftline-')}")  # a single process, as in tests
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
+def stored(df: DataFrame, what: str = "graph") -> DataFrame:
+    """Write a table to the shared folder and read it back: it cuts the lineage and outlives lost executors."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        import tempfile
-
-        if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="weftline-"))
-        return df.checkpoint()
-    path = f"{folder.rstrip('/')}/graph-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that are stored while it is open are removed at its end; what it gives, keep(table, name), stores one that stays."""
+    own: list[str] = []
+    _SCRATCH.append(own)
+
+    def keep(df: DataFrame, what: str) -> DataFrame:
+        out = stored(df, what)
+        path = own.pop()
+        if len(_SCRATCH) > 1:  # it stays as long as what is stored around it
+            _SCRATCH[-2].append(path)
+        return out
+
+    try:
+        yield keep
+    finally:
+        _SCRATCH.remove(own)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in own:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
 def symmetric(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Each edge both ways, once, without loops."""
     one = edges.select(F.col(a).alias("a"), F.col(b).alias("b"))
@@ -66,30 +103,42 @@ def lineage(fathers: DataFrame, key: str = "key", father: str = "father") -> Dat
 
 
 def roots(parents: DataFrame, key: str = "key", parent: str = "parent") -> DataFrame:
-    """key and root of a forest (parent null for roots), by doubling the step in each round."""
-    step = parents.select(F.col(key).alias("key"), F.coalesce(parent, key).alias("root"))
-    while True:
-        step = _stored(step)
-        nxt = step.join(step.select(F.col("key").alias("root"), F.col("root").alias("_up")), "root", "left").select("key", F.coalesce("_up", "root").alias("root"), F.col("root").alias("_was"))
-        nxt = _stored(nxt)
-        if not nxt.filter("root <> _was").limit(1).count():
-            return nxt.select("key", "root")
-        step = nxt.select("key", "root")
+    """key and root of a forest (parent null for roots); keys that end in a cycle have its least key as root.
+
+    Each round doubles the step; all keys of a path are done when their step reaches its end. The least key on the way is
+    doubled too, which is that of the whole cycle once the steps are longer than all keys are many.
+    """
+    with scratch(parents.sparkSession) as keep:
+        up = F.coalesce(F.col(parent), F.col(key))
+        step = stored(parents.select(F.col(key).alias("key"), up.alias("root"), up.alias("low"), F.col(parent).isNull().alias("done")), "roots")
+        left, reach, n = step.filter("NOT done").count(), 1, step.count()
+        while left and reach <= 2 * n:
+            above = step.select(F.col("key").alias("root"), F.col("root").alias("_root"), F.col("low").alias("_low"), F.col("done").alias("_done"))
+            step = step.join(above, "root", "left").select("key", F.coalesce("_root", "root").alias("root"), F.least("low", "_low").alias("low"), F.coalesce(F.col("done") | F.col("_done"), F.lit(True)).alias("done"))
+            step, reach = stored(step, "roots"), reach * 2
+            left = step.filter("NOT done").count()
+        return keep(step.select("key", F.when(F.col("done"), F.col("root")).otherwise(F.col("low")).alias("root")), "roots")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """id and component (the smallest id reached). Neighbours hang on the smallest node in sight, in turns above and below it."""
-    links = _stored(edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    before = None
-    while True:
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        links = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = links.groupBy("u").agg(F.min("v").alias("m"))
-        lower = links.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = _stored(lower.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        mark = tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if mark == before:
-            own = links.select(F.col("u").alias("id"), F.col("v").alias("component"))
-            return own.unionByName(links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-        before = mark
+    """id and component (the smallest id reached), of the ids in edges, any direction.
+
+    Alternating stars: each round hangs the neighbours of every node on the smallest node in sight, first those above it,
+    then those below. The number of rounds is logarithmic; each is written to the shared folder. Nothing is collected but
+    a fingerprint.
+    """
+    with scratch(edges.sparkSession) as keep:
+        links = stored(edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links")
+        before = None
+        while True:
+            both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            links = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+            least = links.groupBy("u").agg(F.min("v").alias("m"))
+            lower = links.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            links = stored(lower.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+            mark = tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())
+            if mark == before:
+                own = links.select(F.col("u").alias("id"), F.col("v").alias("component"))
+                return keep(own.unionByName(links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()), "component")
+            before = mark
