@@ -52,8 +52,8 @@ def corpus(seed):
 def test_join_equals_all_pairs(spark, seed, monkeypatch):
     if seed == 2:  # blocks in tiles, and trees of several nodes
         monkeypatch.setattr(ngram_join, "TILE", 5)
+        monkeypatch.setattr(ngram_join, "BLOCK", 6)
         monkeypatch.setattr(ngram_join, "LEAF", 2)
-        monkeypatch.setattr(ngram_join, "STARS", 1)
     rows = corpus(seed)
     df = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, component string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(df).collect()}
@@ -76,10 +76,30 @@ def test_tree_misses_nothing():
     points = rng.poisson(1.5, (300, ngram_join.GROUPS)).astype(np.uint8)
     points[50:80] = points[50] + (rng.random((30, ngram_join.GROUPS)) < 0.05)
     sizes = points.sum(axis=1).astype(np.int64)
-    tree = ngram_join.Tree(points, sizes)
+    component = rng.integers(0, 4, 300)
+    component[50:80] = 9
+    tree = ngram_join.Tree(points, sizes, component)
     for i in range(0, 300, 7):
-        overlap = np.minimum(points[i], points).sum(axis=1)
-        assert sorted(tree.search(points[i], int(sizes[i]))) == np.flatnonzero(ngram_join.may_link(sizes[i], sizes, overlap)).tolist()
+        overlap = np.minimum(np.minimum(points[i], points).sum(axis=1), sizes[i])
+        found, bound = tree.search(points[i], int(sizes[i]), component[i])
+        wanted = np.flatnonzero(ngram_join.may_link(sizes[i], sizes, overlap) & (component != component[i]))
+        assert sorted(found) == wanted.tolist() and (bound == overlap[found]).all()
+
+
+def test_all_pairs_between_components_meet_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    rng = random.Random(4)
+    rows = [(key, 100 * key + i, rng.choice([20, 24, 30, 90]), True, 1, 40, rng.choice([1, 1, 1, 2, 3]) * 1000) for key in range(3) for i in range(6 + 20 * key)]
+    df = spark.createDataFrame(rows, "key long, id long, n long, index boolean, weight long, size long, component long")
+    tiles = defaultdict(list)
+    for r in ngram_join.between(df).collect():
+        tiles[r.key, r.left, r.right].append(r)
+    assert max(map(len, tiles.values())) <= 4 * 7
+    met = {tuple(sorted((a.id, b.id))) for t in tiles.values() for a in t for b in t if a.tile == a.left and b.tile == b.right and a.id != b.id}
+    for a in rows:
+        for b in rows:
+            if a[0] == b[0] and a[1] < b[1] and a[6] != b[6] and 5 * min(a[2], b[2]) >= 4 * max(a[2], b[2]):
+                assert (a[1], b[1]) in met
 
 
 def test_shingles_are_distinct_sets():

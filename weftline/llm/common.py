@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import contextlib
-import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.operators import graph
+
 #: Separators of words; str.split of bytes cuts at the same six characters.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -18,26 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found
-    kept = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if kept.isDefined():
-        return kept.get()
-    import tempfile
-
-    own = f"file://{tempfile.mkdtemp(prefix='weftline-')}"
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    """The folder that driver and executors share: spark.checkpoint.dir, or the checkpoint folder of the context."""
+    return graph.shared_folder(spark)
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:
     """Write a table to the shared folder and read it back: it cuts the lineage and outlives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return graph.stored(df, what)
+
+
+scratch = graph.scratch
 
 
 def let(value: Column, body) -> Column:

@@ -3,24 +3,34 @@
 Two documents are linked when their sets of 5-word shingles have a Jaccard
 similarity of 0.8 or more. The join is exact; nothing is sampled or capped.
 
-1. Equal sets are one class; its smallest id stands for it.
-2. Shingles are put into one order for the whole corpus: rare ones by hash, and
-   after them the frequent ones (in a thousandth of the documents or more),
-   which only makes blocks small, and has no effect on the result. Of linked
-   sets, the smaller has one of its first n - ceil(8n/9) + 1 shingles among the
-   first n - ceil(4n/5) + 1 of the other. These are the keys of blocks.
-   A document with fewer keys in common with others than s is done.
-3. In a few turns, each class of a block is paired with one of them, another in
-   each turn, and those that are linked are joined to components: groups of
-   near copies come together without all their pairs.
-4. What is left are blocks with classes of several components. There, each
-   class is a point: its shingles are hashed into GROUPS groups, and the group
-   counts are the coordinates. An R-tree over the points of a block is searched
-   with the bound that the sum of the coordinate minima puts on the overlap,
-   for points of other components; pairs must then be found in s blocks. Blocks of more than TILE classes are split
-   into tiles, and pairs of tiles are searched in tasks of their own.
-5. Pairs that pass the bound are verified on the shingles of the whole texts, and
-   the components are joined on.
+1. Equal sets are one class; its smallest id stands for it. From here on there
+   are classes only.
+2. A class is a point: its shingles are hashed into GROUPS groups, and the group
+   counts are the coordinates. Trees over all points of a corpus would have to be
+   built somewhere, so points are first put into blocks: shingles have one order
+   for the whole corpus (rare ones by hash, then the frequent ones, which only
+   makes blocks small, and has no effect on the result). Of linked sets, the
+   smaller has one of its first n - ceil(8n/9) + 1 shingles among the first
+   n - ceil(4n/5) + 1 of the other, and one more for each PER_KEY shingles if both
+   prefixes are as much longer. Each such shingle is a block; blocks with the same
+   points are one block with a weight.
+3. An R-tree over the points of a block is searched with the bound that the sum
+   of the coordinate minima puts on the overlap. In a first turn, each point takes
+   the nearest one in its tile (at most TILE points of a block) that the bound
+   doesn't rule out; these pairs are verified on the shingles of the whole texts and
+   joined to components, so groups of near copies come together without all their
+   pairs.
+4. What is left are blocks with points of several components. They are searched
+   for all pairs between components; parts of a tree that hold nothing but the
+   own component are passed over. Pairs must be found in as many blocks as step 2
+   says; they are verified, and the components joined on. Blocks of more than
+   BLOCK points are dealt out: by size range first (linked sizes differ by a
+   quarter at most), then those of the largest component against the others,
+   and the others against each other, in tiles of BLOCK points.
+
+Every link comes through a tree. Rows of a key are counted by aggregations with
+partial sums, and joined back; a hot key is split by the skew join of adaptive
+execution. What is written in between is removed when the result is written.
 
 Defined results: an empty or null text has no shingles and is linked with
 nothing; rows without an id are linked with nothing and have no component; rows
@@ -36,31 +46,29 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from weftline.llm.common import batches_of, stored
-from weftline.llm.components import components
+from weftline.llm.common import batches_of, scratch, stored
+from weftline.operators.graph import components
 from weftline.llm.shingles import in_steps, mix, shingle_sets
 
-#: Similarity as a fraction, groups of the count vectors, points of a leaf and of a tile.
+#: Similarity as a fraction, groups of the count vectors, points of a leaf, of a tile of the first turn, and of a tile of the last.
 NUMERATOR, DENOMINATOR = 4, 5
 GROUPS = 512
 LEAF = 16
-TILE = 4096
+TILE = 256
+BLOCK = 4096
 #: Counts are single bytes; this one stands for any higher count.
 MOST = 255
-#: Turns in which a block's classes are paired with one of them.
-STARS = 2
 #: Shingles that are counted at once, the share of documents that makes one frequent there, and the most that are kept as such.
 COUNTED = 1 << 20
+FREQUENT = 1000
+MOST_FREQUENT = 100_000
 #: A pair must share one key, and one more for each PER_KEY shingles of the smaller set.
 PER_KEY = 10
 #: Rows that a Python worker holds at once.
 ROWS = 1500
-#: Ids that are sent to all tasks at most (8 bytes each).
+#: Ids that are sent to all tasks at most (8 bytes each); beyond, both sides are shuffled.
 MOST_SENT = 500_000
-FREQUENT = 1000
-MOST_FREQUENT = 100_000
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -150,9 +158,10 @@ def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """An R-tree over count vectors: leaves of LEAF points, packed by size and then along the widest coordinate, under nodes of LEAF leaves."""
+    """An R-tree over count vectors: leaves of LEAF points, packed by size and then along the widest coordinate, under nodes of
+    LEAF leaves. Nodes know the most of each coordinate, the least size, and the component if they hold only one."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, component: np.ndarray):
         slab = np.argsort(sizes, kind="stable")
         width = LEAF * LEAF
         parts = []
@@ -160,81 +169,106 @@ class Tree:
             part = slab[i : i + width]
             parts.append(part[np.argsort(points[part][:, points[part].astype(np.int64).var(axis=0).argmax()], kind="stable")])
         self.order = np.concatenate(parts)
-        self.points, self.sizes = points[self.order], sizes[self.order]
-        self.leaf_high, self.leaf_least = self._bounds(self.points, self.sizes)
-        self.node_high, self.node_least = self._bounds(self.leaf_high, self.leaf_least)
+        self.levels = [(points[self.order], sizes[self.order], component[self.order], component[self.order])]
+        for _ in range(2):
+            high, least, low, top = self.levels[-1]
+            at = np.arange(0, len(high), LEAF)
+            self.levels.append((np.maximum.reduceat(high, at), np.minimum.reduceat(least, at), np.minimum.reduceat(low, at), np.maximum.reduceat(top, at)))
+
+    def search(self, point: np.ndarray, size: int, component: int) -> tuple[np.ndarray, np.ndarray]:
+        """Points of other components that the bound doesn't rule out, by their places in what the tree was built from, and
+        the bounds."""
+        at = np.arange(len(self.levels[-1][0]))
+        for level in (2, 1, 0):
+            high, least, low, top = self.levels[level]
+            at = at[(low[at] != component) | (top[at] != component)]
+            bound = np.minimum(overlap_bound(point, high[at]), size)
+            fits = may_link(size, least[at], bound)
+            at, bound = at[fits], bound[fits]
+            if level:
+                at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
+                at = at[at < len(self.levels[level - 1][0])]
+        return self.order[at], bound
 
-    @staticmethod
-    def _bounds(high: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.arange(0, len(high), LEAF)
-        return np.maximum.reduceat(high, at), np.minimum.reduceat(least, at)
 
-    def search(self, point: np.ndarray, size: int) -> np.ndarray:
-        """Points that the bound doesn't rule out, by their places in what the tree was built from."""
-        at = np.flatnonzero(may_link(size, self.node_least, overlap_bound(point, self.node_high)))
-        for high, least in ((self.leaf_high, self.leaf_least), (self.points, self.sizes)):
-            at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
-            at = at[at < len(high)]
-            at = at[may_link(size, least[at], overlap_bound(point, high[at]))]
-        return self.order[at]
+_PAIR = [("a", pa.int64()), ("b", pa.int64()), ("least", pa.int64()), ("shared", pa.int64())]
 
 
-_PAIR = [("a", pa.int64()), ("b", pa.int64()), ("least", pa.int64()), ("shared", pa.int64())]
-_NONE = np.zeros((0, 3), np.int64)
+def tree_pairs(rows: DataFrame, nearest: bool) -> DataFrame:
+    """rows (key, left, right, tile, id, n, index, weight, component, counts), sorted by key, left, right within partitions, to
+    candidate pairs (a, b) of different components, with the size of the smaller set and the weight of the blocks they were
+    found in (shared). nearest: for each point only the pair with the highest bound."""
 
+    def may_meet(i, j, n, index):
+        """Whether the block's key is in the prefixes that it must be in, for the pairs i, j."""
+        return np.where(n[i] < n[j], index[i], np.where(n[i] > n[j], index[j], index[i] | index[j]))
 
-def tree_pairs(rows: DataFrame) -> DataFrame:
-    """rows (key, left, right, tile, id, n, index, component, counts), sorted by key, left, right within partitions, to candidate pairs (a, b), with the size of the smaller set and the number of blocks they were found in (shared)."""
+    def best(of: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """The places of the highest bound for each value of `of`."""
+        order = np.lexsort((-bound, of))
+        first = np.ones(len(order), bool)
+        first[1:] = of[order][1:] != of[order][:-1]
+        return order[first]
 
-    def of_block(tile, left, right, ids, n, index, component, counts) -> np.ndarray:
-        """Pairs of one block: within a tile, or between the tiles left and right."""
+    def of_large(tile, left, right, ids, n, index, component, counts) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (places of rows) of one block: within a tile, or between the tiles left and right."""
         own, other = np.flatnonzero(tile == left), np.flatnonzero(tile == right)
-        if not len(own) or not len(other):
-            return _NONE
-        tree, out = Tree(counts[other], n[other]), []
-        for i in own:
-            j = other[tree.search(counts[i], int(n[i]))]
-            j = j[(component[j] != component[i]) & np.where(n[j] < n[i], index[j], np.where(n[j] > n[i], index[i], index[i] | index[j]))]
-            if left == right:
-                j = j[ids[j] > ids[i]]
-            if len(j):
-                out.append(np.column_stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), np.minimum(n[i], n[j])]))
-        return np.concatenate(out) if out else _NONE
-
-    def of_small(start, ids, n, index, component, counts) -> np.ndarray:
-        """Pairs of all blocks that are a single leaf: start marks the first row of each row's block."""
-        out = [_NONE]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        if len(own) and len(other):
+            tree = Tree(counts[other], n[other], component[other])
+            for i in own:
+                j, bound = tree.search(counts[i], int(n[i]), component[i])
+                j = other[j]
+                good = may_meet(i, j, n, index)
+                if left == right:
+                    good = good & (ids[j] > ids[i])
+                j, bound = j[good], bound[good]
+                if nearest and len(j):
+                    j = j[[np.argmax(bound / (n[i] + n[j]))]]
+                found.append((np.full(len(j), i), j))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def of_leaves(start, ids, n, index, component, counts) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of all blocks that are a tree of a single leaf: start marks the first row of each row's block."""
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         for d in range(1, LEAF):
             i = np.flatnonzero(start[d:] == start[:-d])
             if not len(i):
                 break
-            j = i + d
-            fits = (component[i] != component[j]) & np.where(n[i] < n[j], index[i], np.where(n[i] > n[j], index[j], index[i] | index[j]))
-            i, j = i[fits], j[fits]
-            close = may_link(n[i], n[j], np.minimum(n[i], n[j]))
-            i, j = i[close], j[close]
-            near = may_link(n[i], n[j], overlap_bound(counts[i], counts[j]))
-            out.append(np.column_stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), np.minimum(n[i], n[j])])[near])
-        return np.concatenate(out)
+            fits = (component[i] != component[i + d]) & may_meet(i, i + d, n, index)
+            i = i[fits]
+            i = i[may_link(n[i], n[i + d], np.minimum(n[i], n[i + d]))]
+            bound = np.minimum(overlap_bound(counts[i], counts[i + d]), np.minimum(n[i], n[i + d]))
+            near = may_link(n[i], n[i + d], bound)
+            found.append((i[near], i[near] + d, (bound / (n[i] + n[i + d]))[near]))
+        i, j, bound = (np.concatenate(x) for x in zip(*found, strict=True))
+        if nearest and len(i):
+            at = best(i, bound)
+            i, j = i[at], j[at]
+        return i, j
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
 
         def found(table: pa.Table) -> pa.RecordBatch:
-            key, left, right, tile, ids, n, component = (table.column(c).to_numpy() for c in ("key", "left", "right", "tile", "id", "n", "component"))
+            key, left, right, tile, ids, n, weight, component = (table.column(c).to_numpy() for c in ("key", "left", "right", "tile", "id", "n", "weight", "component"))
             index = table.column("index").to_numpy(zero_copy_only=False).astype(bool)
             counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, GROUPS)
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])]))
             length = np.diff(np.append(new, len(key)))
             start = np.repeat(new, length)
-            small = np.repeat((length <= LEAF), length) & (left == right)
-            out = [of_small(*(x[small] for x in (start, ids, n, index, component, counts)))]
+            leaf = np.flatnonzero(np.repeat((length <= LEAF), length) & (left == right))
+            i, j = of_leaves(*(x[leaf] for x in (start, ids, n, index, component, counts)))
+            every = [(leaf[i], leaf[j])]
             for a, size in zip(new, length, strict=True):
-                if not small[a]:
+                if size > LEAF or left[a] != right[a]:
                     s = slice(a, a + size)
-                    out.append(of_block(tile[s], left[a], right[a], ids[s], n[s], index[s], component[s], counts[s]))
-            every, shared = np.unique(np.concatenate(out), axis=0, return_counts=True)
-            return _batch([*every.T, shared], _PAIR)
+                    i, j = of_large(tile[s], left[a], right[a], ids[s], n[s], index[s], component[s], counts[s])
+                    every.append((i + a, j + a))
+            i, j = (np.concatenate(x) for x in zip(*every, strict=True))
+            pair, where = np.unique(np.column_stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), np.minimum(n[i], n[j])]), axis=0, return_inverse=True)
+            shared = np.bincount(where.ravel(), weight[i], minlength=len(pair)).astype(np.int64)
+            return _batch([*pair.T, shared], _PAIR)
 
         for batch in batches:
             if not batch.num_rows:
@@ -256,12 +290,15 @@ def enough(least: Column, shared: Column) -> Column:
     return shared > F.floor(least / PER_KEY)
 
 
+def _of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts whose doc_id is wanted; ids are sent to all tasks if they are few enough."""
+    wanted = stored(wanted, "wanted")
+    return texts.join(F.broadcast(wanted) if wanted.count() <= MOST_SENT else wanted, "doc_id", "left_semi")
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar; texts has doc_id and text."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    wanted = stored(wanted, "wanted")
-    few = wanted.count() <= MOST_SENT  # else both sides are shuffled
-    own = stored(texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi"), "texts")
+    own = stored(_of(texts, pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()), "texts")
     both = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(own.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,46 +320,83 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and class_id (the smallest id with an equal set) of each row."""
-    with batches_of(docs.sparkSession, ROWS):
-        return _join(docs, doc_id, text)
+    with batches_of(docs.sparkSession, ROWS), scratch(docs.sparkSession) as keep:
+        return keep(_join(docs, doc_id, text), "components")
+
+
+def most_frequent(seen: DataFrame) -> np.ndarray:
+    """The shingles (column shingle) with the highest values of seen, MOST_FREQUENT at most: all from a step of seen on."""
+    steps = seen.groupBy(F.floor(F.log2("seen") * 8).alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect()  # 512 rows at most
+    least, total = None, 0
+    for r in steps:
+        total += r.n
+        if total > MOST_FREQUENT:
+            break
+        least = r.step
+    if least is None:
+        return np.zeros(0, np.uint64)
+    return np.array([r.shingle for r in seen.filter(F.floor(F.log2("seen") * 8) >= least).select("shingle").collect()], np.int64).view(np.uint64)
+
+
+def blocks_of(keys: DataFrame) -> DataFrame:
+    """keys (key, id, n, index) of blocks with two points or more, of points with enough of them; of blocks with the same points one stays, with their number as weight."""
+    mark = lambda seed: F.bit_xor(F.xxhash64("id", "index", F.lit(seed)))
+    block = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max("index").alias("indexed"), mark(1).alias("m1"), mark(2).alias("m2")).filter("size > 1 AND indexed")
+    block = stored(block.groupBy("size", "m1", "m2").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("weight")).select("key", "size", "weight"), "block")
+    own = stored(keys.join(block, "key"), "in-blocks")
+    busy = own.groupBy("id").agg(F.sum("weight").alias("shared"), F.max("n").alias("n")).filter(enough(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR), F.col("shared")))
+    return own.join(busy.select("id"), "id", "left_semi")
+
+
+def _dealt(rows: DataFrame, point: DataFrame) -> DataFrame:
+    """Rows with their counts, those of a key, left and right together and sorted."""
+    own = rows.join(point.select("id", "counts"), "id").select("key", "left", "right", "tile", "id", "n", "index", "weight", "component", "counts")
+    return own.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "id")
+
+
+def in_tiles(blocks: DataFrame) -> DataFrame:
+    """Blocks in tiles of about TILE points, each searched by itself."""
+    tile = F.pmod(F.xxhash64("key", "id"), F.ceil(F.col("size") / TILE)).cast("long")
+    return blocks.withColumns({"component": F.col("id"), "tile": tile, "left": tile, "right": tile})
+
+
+def between(blocks: DataFrame) -> DataFrame:
+    """Blocks (with component) that hold several components, in tiles that together hold all pairs between components."""
+    of_key = blocks.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    own = blocks.drop("size").join(of_key.select("key", "size"), "key")
+    small = own.filter(F.col("size") <= BLOCK).drop("size").withColumns({c: F.lit(0).cast("long") for c in ("tile", "left", "right")})
+    # large blocks: each point in its size range and in the next one, then the largest component apart
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.01 * DENOMINATOR / NUMERATOR)))
+    large = own.filter(F.col("size") > BLOCK).drop("size").withColumn("range", F.explode(F.array(step, step + 1)))
+    in_range = large.groupBy("key", "range", "component").agg(F.count(F.lit(1)).alias("m"))
+    in_range = in_range.groupBy("key", "range").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("all"))
+    in_range = in_range.select("key", "range", F.col("top.component").alias("main"), F.ceil(F.col("top.m") / BLOCK).alias("n_main"), F.ceil((F.col("all") - F.col("top.m")) / BLOCK).alias("n_rest")).filter("n_rest > 0")
+    large = large.join(in_range, ["key", "range"]).withColumn("is_main", F.col("component") == F.col("main"))
+    tile = F.when(F.col("is_main"), -1 - F.pmod(F.xxhash64("id"), F.col("n_main"))).otherwise(F.pmod(F.xxhash64("id"), F.col("n_rest"))).cast("long")
+    to = lambda a, b: F.sequence(F.lit(a).cast("long"), b.cast("long"))
+    rest, main = to(0, F.col("n_rest") - 1), F.transform(to(1, F.col("n_main")), lambda k: -k)
+    large = large.withColumn("tile", tile).withColumn("other", F.explode(F.when(F.col("is_main"), rest).otherwise(F.concat(rest, main))))
+    large = large.withColumns({"left": F.greatest("tile", "other"), "right": F.least("tile", "other"), "key": F.xxhash64("key", "range")})
+    return small.unionByName(large.select(*small.columns))
 
 
 def _join(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     rows = _texts(docs, doc_id, text)
     sketch = stored(sketches(rows), "sketches")
     sets = sketch.filter("n IS NOT NULL").drop("shingle", "seen")
-    often = sketch.filter("seen IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "shingle").limit(MOST_FREQUENT)
-    frequent = np.array([r.shingle for r in often.collect()], np.int64).view(np.uint64)
+    frequent = most_frequent(stored(sketch.filter("seen IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen")), "seen"))
 
     filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
     classes = stored(filled.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"), F.max("counts").alias("counts")), "classes")
     members = stored(sets.drop("counts").join(classes.drop("counts"), ["n", "s1", "s2"], "left").select("doc_id", "n", "class_id"), "members")
-    copies = members.filter("doc_id <> class_id").select(F.col("doc_id").alias("id"), "class_id").distinct()
-
-    # blocks with two documents or more, then with two classes that may have enough keys in common
-    block = W.partitionBy("key")
-    in_block = {"size": F.count(F.lit(1)).over(block), "indexed": F.max("index").over(block)}
-    keys = block_keys(rows.filter("doc_id IS NOT NULL"), frequent).repartition("key").withColumns(in_block)
-    keys = stored(keys.filter("size > 1 AND indexed").select("key", "id", "n", "index"), "keys")
-    keys = keys.join(copies, "id", "left").select("key", F.coalesce("class_id", "id").alias("id"), "n", "index").distinct()
-    smallest = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
-    busy = keys.groupBy("id").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n")).filter(enough(smallest, F.col("shared")))
-    keys = keys.join(busy.select("id"), "id", "left_semi").repartition("key").withColumns(in_block)
-    keys = stored(keys.filter("size > 1 AND indexed").drop("indexed", "size"), "blocks")
-
     point = classes.select(F.col("class_id").alias("id"), "n", "counts")
-    blocks, links = keys.withColumn("component", F.col("id")), None
-    for turn in range(STARS):
-        found = verified(stored(bounded(_star_pairs(blocks, point, turn)), "star-pairs"), rows)
-        links = stored(found if links is None else links.unionByName(found), "star-links")
-        named = keys.join(stored(components(links), "star-components"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        blocks = stored(_between(_between(named)), "mixed")
-    tiles = F.ceil(F.col("size") / TILE).cast("int")
-    left = blocks.withColumn("size", F.count(F.lit(1)).over(block)).withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    left = left.withColumn("left", F.least("tile", "other")).withColumn("right", F.greatest("tile", "other"))
-    left = left.join(point.select("id", "counts"), "id").select("key", "left", "right", "tile", "id", "n", "index", "component", "counts")
-    left = left.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "id")
-    pairs = tree_pairs(left).groupBy("a", "b").agg(F.min("least").alias("least"), F.sum("shared").alias("shared"))
+
+    heads = _of(rows, classes.select(F.col("class_id").alias("doc_id")).distinct())
+    blocks = stored(blocks_of(stored(block_keys(heads, frequent), "keys")), "blocks")
+    near = tree_pairs(_dealt(in_tiles(blocks), point), nearest=True).select("a", "b").distinct()
+    links = stored(verified(stored(near, "near"), rows), "near-links")
+    named = blocks.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    pairs = tree_pairs(_dealt(between(stored(named, "named")), point), nearest=False).groupBy("a", "b").agg(F.min("least").alias("least"), F.sum("shared").alias("shared"))
     pairs = stored(pairs.filter(enough(F.col("least"), F.col("shared"))).select("a", "b"), "pairs")
     linked = components(links.unionByName(verified(pairs, rows)))
 
@@ -338,40 +412,6 @@ def _join(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def _star_pairs(blocks: DataFrame, point: DataFrame, turn: int) -> DataFrame:
-    """Pairs of one class of each block, the same in all of its blocks, with the block's classes of other components."""
-    place = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
-    star = F.min(F.struct(place.alias("o"), "id", "n", "component")).over(W.partitionBy("key"))
-    own = blocks.withColumn("star", star).filter("component <> star.component")
-    pairs = own.groupBy(F.least("star.id", "id").alias("a"), F.greatest("star.id", "id").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("star.n", "n")).alias("least"))
-    pairs = pairs.filter(enough(F.col("least"), F.col("shared"))).select("a", "b")
-    for x in "ab":
-        pairs = pairs.join(point.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("counts").alias(f"c_{x}")), x)
-    return pairs
-
-
-def _between(rows: DataFrame) -> DataFrame:
-    """Rows (key, id, n, component and others) of blocks with several components, of documents with enough such keys."""
-    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    own = rows.join(mixed.select("key"), "key", "left_semi")
-    smallest = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
-    busy = own.groupBy("id").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n")).filter(enough(smallest, F.col("shared")))
-    return own.join(busy.select("id"), "id", "left_semi")
-
-
-def bounded(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b, n_a, c_a, n_b, c_b) that the sum of coordinate minima doesn't rule out."""
-
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, GROUPS) for c in ("c_a", "c_b"))
-            n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-            fits = may_link(n_a, n_b, np.minimum(overlap_bound(a, b), np.minimum(n_a, n_b)))
-            yield batch.select(["a", "b"]).filter(pa.array(fits))
-
-    return pairs.mapInArrow(bound, "a long, b long")
-
-
 def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group of linked ones, that with the smallest id; of rows that repeat an id, one. Rows without an id stay."""
     kept = join(docs, doc_id, text).filter("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
