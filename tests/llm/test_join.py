@@ -79,11 +79,12 @@ def test_tree_misses_nothing():
     component = rng.integers(0, 4, 300)
     component[50:80] = 9
     tree = ngram_join.Tree(points, sizes, component)
-    for i in range(0, 300, 7):
-        overlap = np.minimum(np.minimum(points[i], points).sum(axis=1), sizes[i])
-        found, bound = tree.search(points[i], int(sizes[i]), component[i])
-        wanted = np.flatnonzero(ngram_join.may_link(sizes[i], sizes, overlap) & (component != component[i]))
-        assert sorted(found) == wanted.tolist() and (bound == overlap[found]).all()
+    some = np.arange(0, 300, 7)
+    i, j, bound = tree.search(points[some], sizes[some], component[some])
+    for k, own in enumerate(some):
+        overlap = np.minimum(np.minimum(points[own], points).sum(axis=1), sizes[own])
+        wanted = np.flatnonzero(ngram_join.may_link(sizes[own], sizes, overlap) & (component != component[own]))
+        assert sorted(j[i == k]) == wanted.tolist() and (bound[i == k] == overlap[j[i == k]]).all()
 
 
 def test_all_pairs_between_components_meet_in_tiles(spark, monkeypatch):

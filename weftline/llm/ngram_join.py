@@ -152,9 +152,16 @@ def may_link(n_a, n_b, overlap):
     return overlap * (NUMERATOR + DENOMINATOR) >= (n_a + n_b) * NUMERATOR
 
 
+_LANES = np.uint64(0x00FF00FF00FF00FF)
+
+
 def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The sum of coordinate minima; without bound where both have a count of MOST, which may be higher."""
-    return np.minimum(a, b).sum(axis=-1, dtype=np.int64) + ((a == MOST) & (b == MOST)).any(axis=-1) * (1 << 40)
+    least = np.minimum(a, b)
+    words = least.view(np.uint64)  # eight counts each; their sums stay below 16 bits
+    sums = ((words & _LANES) + ((words >> np.uint64(8)) & _LANES)).sum(axis=-1, dtype=np.uint64)
+    total = sum((sums >> np.uint64(k)) & np.uint64(0xFFFF) for k in (0, 16, 32, 48)).astype(np.int64)
+    return total + (least == MOST).any(axis=-1) * (1 << 40) if least.size and least.max() == MOST else total
 
 
 class Tree:
@@ -167,7 +174,7 @@ class Tree:
         parts = []
         for i in range(0, len(slab), width):
             part = slab[i : i + width]
-            parts.append(part[np.argsort(points[part][:, points[part].astype(np.int64).var(axis=0).argmax()], kind="stable")])
+            parts.append(part[np.argsort(points[part][:, points[part].var(axis=0, dtype=np.float32).argmax()], kind="stable")])
         self.order = np.concatenate(parts)
         self.levels = [(points[self.order], sizes[self.order], component[self.order], component[self.order])]
         for _ in range(2):
@@ -175,20 +182,31 @@ class Tree:
             at = np.arange(0, len(high), LEAF)
             self.levels.append((np.maximum.reduceat(high, at), np.minimum.reduceat(least, at), np.minimum.reduceat(low, at), np.maximum.reduceat(top, at)))
 
-    def search(self, point: np.ndarray, size: int, component: int) -> tuple[np.ndarray, np.ndarray]:
-        """Points of other components that the bound doesn't rule out, by their places in what the tree was built from, and
-        the bounds."""
-        at = np.arange(len(self.levels[-1][0]))
-        for level in (2, 1, 0):
-            high, least, low, top = self.levels[level]
-            at = at[(low[at] != component) | (top[at] != component)]
-            bound = np.minimum(overlap_bound(point, high[at]), size)
-            fits = may_link(size, least[at], bound)
-            at, bound = at[fits], bound[fits]
-            if level:
-                at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
-                at = at[at < len(self.levels[level - 1][0])]
-        return self.order[at], bound
+    def search(self, points: np.ndarray, sizes: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For a few points at once, those of other components that the bound doesn't rule out: the places of both (in what
+        was given, and in what the tree was built from), and the bound."""
+        at = np.arange(len(self.levels[2][0]))
+        for level in (2, 1):
+            fits = np.concatenate([self._fits(level, part, points, sizes, component)[0].any(axis=0) for part in self._parts(at)] or [np.zeros(0, bool)])
+            at = (at[fits][:, None] * LEAF + np.arange(LEAF)).ravel()
+            at = at[at < len(self.levels[level - 1][0])]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for part in self._parts(at):
+            fits, bound = self._fits(0, part, points, sizes, component)
+            i, j = np.nonzero(fits)
+            found.append((i, self.order[part[j]], bound[i, j]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    @staticmethod
+    def _parts(at: np.ndarray) -> list[np.ndarray]:
+        """So many that the counts of a leaf against them stay small."""
+        return [at[i : i + LEAF * LEAF] for i in range(0, len(at), LEAF * LEAF)]
+
+    def _fits(self, level: int, at: np.ndarray, points: np.ndarray, sizes: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        high, least, low, top = (x[at] for x in self.levels[level])
+        others = (low != component[:, None]) | (top != component[:, None])
+        bound = np.minimum(overlap_bound(points[:, None, :], high), sizes[:, None])
+        return others & may_link(sizes[:, None], least, bound), bound
 
 
 _PAIR = [("a", pa.int64()), ("b", pa.int64()), ("least", pa.int64()), ("shared", pa.int64())]
@@ -216,16 +234,19 @@ def tree_pairs(rows: DataFrame, nearest: bool) -> DataFrame:
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         if len(own) and len(other):
             tree = Tree(counts[other], n[other], component[other])
-            for i in own:
-                j, bound = tree.search(counts[i], int(n[i]), component[i])
-                j = other[j]
+            own = own[np.lexsort((n[own], component[own]))]
+            for k in range(0, len(own), LEAF):
+                part = own[k : k + LEAF]
+                i, j, bound = tree.search(counts[part], n[part], component[part])
+                i, j = part[i], other[j]
                 good = may_meet(i, j, n, index)
                 if left == right:
                     good = good & (ids[j] > ids[i])
-                j, bound = j[good], bound[good]
-                if nearest and len(j):
-                    j = j[[np.argmax(bound / (n[i] + n[j]))]]
-                found.append((np.full(len(j), i), j))
+                i, j, bound = i[good], j[good], bound[good]
+                if nearest and len(i):
+                    at = best(i, bound / (n[i] + n[j]))
+                    i, j = i[at], j[at]
+                found.append((i, j))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
     def of_leaves(start, ids, n, index, component, counts) -> tuple[np.ndarray, np.ndarray]:
