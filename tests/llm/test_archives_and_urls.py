@@ -170,8 +170,8 @@ def edit_distance_within(item, text):
 def test_leaks_equal_brute_force(spark):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 7)))
-    items = [(i, " ".join(word() for _ in range(rng.choice([6, 9, 12])))) for i in range(8)] + [(8, "short"), (9, None), (10, "")]
-    docs = [(100, None), (101, ""), (102, items[0][1].upper().replace(" ", ",  ")), (103, "É " + items[1][1] + "\n" + "x " * 60_000), (104, items[2][1]), (104, items[2][1])]
+    items = [(i, " ".join(word() for _ in range(rng.choice([6, 9, 12])))) for i in range(8)] + [(8, "short"), (9, None), (10, ""), (11, "?!"), (12, "Two Words")]
+    docs = [(105, "x short, two  WORDS"), (106, "shorts two words_"), (107, "short"), (100, None), (101, ""), (102, items[0][1].upper().replace(" ", ",  ")), (103, "É " + items[1][1] + "\n" + "x " * 60_000), (104, items[2][1]), (104, items[2][1])]
     for i in range(60):
         text = list(rng.choice(items[:8])[1])
         for _ in range(rng.randint(0, 7)):
@@ -188,7 +188,8 @@ def test_leaks_equal_brute_force(spark):
     for d, t in docs:
         if len(fold(t)) > 1000:
             continue
-        wanted = {i for i, x in items if len(fold(x)) >= decontamination.SHORTEST and edit_distance_within(fold(x), fold(t)) <= decontamination.edits_allowed(np.array([len(fold(x))]))[0]}
+        wanted = {i for i, x in items if len(fold(x)) >= decontamination.SHORT and edit_distance_within(fold(x), fold(t)) <= decontamination.edits_allowed(np.array([len(fold(x))]))[0]}
+        wanted |= {i for i, x in items if 0 < len(fold(x)) < decontamination.SHORT and f" {fold(x)} " in f" {fold(t)} "}
         assert got[d] == wanted, (d, t)
     assert got[103] == {1} and got[102] == {0}
     kept = {r.doc_id for r in decontamination.clean(df, bench).collect()}
@@ -199,23 +200,44 @@ def test_leaks_equal_brute_force(spark):
 def test_excerpts_of_long_items_equal_brute_force():
     rng = random.Random(11)
     words = lambda n: (" ".join("".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 7))) for _ in range(n)) + " " * n)[:n].strip()
-    items = [words(n).encode() for n in (150, 227, 300, 400)]
-    texts = [b"x " + items[1][20:130] + b" y", items[0][:11], items[0]]  # a text that ends as an item begins, and the item
+    items = [words(n) for n in (150, 227, 300, 400)]
+    texts = ["x " + items[1][20:130] + " y", items[0][:11], items[0]]  # a text that ends as an item begins, and the item
     for i in range(24):
         item = rng.choice(items)
         at, n = rng.randrange(len(item) - 100), rng.randint(80, 140)
-        part = bytearray(item[at : at + n])
+        part = list(item[at : at + n])
         for _ in range(rng.choice([0, 0, 4, 9])):
-            part[rng.randrange(len(part))] = ord("q")
-        texts.append((words(rng.randint(5, 40)) + " ").encode() + bytes(part) + (" " + words(30)).encode())
-    got = decontamination.found(decontamination.index(list(enumerate(items))), texts)
-    pairs = set(zip(got[0].tolist(), got[1].tolist(), strict=True))
-    assert (0, 1) in pairs and (2, 0) in pairs
-    for t, text in enumerate(texts):
-        for i, item in enumerate(items):
-            likely = any(item[k : k + 10] in text for k in range(len(item) - 9))  # 8 edits of 100 bytes leave such a run
-            wanted = likely and any(edit_distance_within(item[k : k + 100], text) <= 8 for k in range(len(item) - 99))
-            assert ((t, i) in pairs) == wanted, (t, i)
+            part[rng.randrange(len(part))] = "q"
+        texts.append(" ".join((words(rng.randint(5, 40)) + " " + "".join(part) + " " + words(30)).split()))
+    for hits in (decontamination.HITS, 40):  # in one stretch, and in many
+        before, decontamination.HITS = decontamination.HITS, hits
+        got = decontamination.found(decontamination.index(list(enumerate(items))), texts)
+        decontamination.HITS = before
+        pairs = dict(zip(zip(got[0].tolist(), got[1].tolist(), strict=True), got[5].tolist(), strict=True))
+        assert (0, 1) in pairs and (2, 0) in pairs
+        for t, text in enumerate(texts):
+            for i, item in enumerate(items):
+                likely = any(item[k : k + 10] in text for k in range(len(item) - 9))  # 8 edits of 100 characters leave such a run
+                windows = sum(edit_distance_within(item[k : k + 100], text) <= 8 for k in range(len(item) - 99)) if likely else 0
+                assert pairs.get((t, i), 0) == windows, (t, i)
+
+
+def test_texts_and_items_that_repeat_themselves():
+    import tracemalloc
+
+    ix = decontamination.index([(0, "a" * 400), (1, "ab " * 70)])
+    tracemalloc.start()
+    got = decontamination.found(ix, ["a" * 20_000, "ab " * 5_000, "ba " * 20])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(zip(got[0].tolist(), got[1].tolist(), strict=True)) == [(0, 0), (1, 1)] and peak < 1 << 29
+
+
+def test_ids_and_scripts(spark):
+    docs = spark.createDataFrame([(1, "слово ПРИВЕТ, как твои дела сегодня, друг мой"), (2, "one\u00a0two three four five six seven"), (3, "nothing")], "doc_id long, text string")
+    bench = spark.createDataFrame([("x-1", "Привет как твои дела сегодня"), ("x-2", "привет КАК твои дела сегодня"), ("x-2", "Привет как твои дела сегодня"), (None, "ONE TWO THREE four five six"), ("x-3", None)], "item_id string, text string")
+    assert sorted((r.doc_id, str(r.item_id)) for r in decontamination.leaks(docs, bench).collect()) == [(1, "x-1"), (1, "x-2"), (1, "x-2"), (2, "None")]
+    assert [r.doc_id for r in decontamination.clean(docs, bench).collect()] == [3]
 
 
 def test_clean_judges_rows_without_an_id_or_with_a_repeated_one(spark):
