@@ -11,8 +11,11 @@ sorted; they are then formatted, and read back, as a stream of turns, so memory
 doesn't grow with the length of a conversation. The digest of a conversation
 has to be taken in order, hence one task for each conversation.
 
-Defined results: a null record, or one whose fingerprint is unknown, gives a row
-without turns that names the fingerprint; a null role or text counts as empty;
+Defined results: a null record, one that can't be read (no JSON, or nested too
+deeply), one whose fingerprint is unknown, and one with a list item, role or text
+of another kind than its layout has, give a row without turns that names the
+fingerprint; a null role or text counts as empty, numbers and truth values as their
+text; halves of surrogate pairs that stand alone become U+FFFD;
 equal positions are ordered by record; repeated records are repeated turns; an
 empty table gives an empty table; columns other than the three named are not
 looked at.
@@ -58,22 +61,25 @@ MAPPINGS = (
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant"}
 
 
-def field_paths(value: object, at: str = "") -> set[str]:
-    """Paths of all fields that aren't null; the items of a list share one path."""
-    if isinstance(value, dict):
-        found = set()
-        for k, v in value.items():
-            if v is not None:
-                path = f"{at}.{k}" if at else k
-                found |= {path} | field_paths(v, path)
-        return found
-    if isinstance(value, list):
-        return set().union(*(field_paths(v, f"{at}[]") for v in value))
-    return set()
+def field_paths(record: object) -> set[str]:
+    """Paths of all fields that aren't null; the items of a list share one path. Marks of paths in names are escaped."""
+    found, open_ = set(), [("", record)]
+    while open_:
+        at, value = open_.pop()
+        if isinstance(value, list):
+            open_ += [(f"{at}[]", v) for v in value]
+        elif isinstance(value, dict):
+            for k, v in value.items():
+                if v is not None:
+                    name = re.sub(r"([\\.\[\]])", r"\\\1", k)
+                    path = f"{at}.{name}" if at else name
+                    found.add(path)
+                    open_.append((path, v))
+    return found
 
 
 def fingerprint(paths: set[str]) -> str:
-    return hashlib.md5("\n".join(sorted(paths)).encode()).hexdigest()
+    return hashlib.md5("\n".join(sorted(paths)).encode("utf-8", "surrogatepass")).hexdigest()
 
 
 def compiled(mappings: tuple[Mapping, ...] = MAPPINGS) -> dict[str, Mapping]:
@@ -83,13 +89,40 @@ def compiled(mappings: tuple[Mapping, ...] = MAPPINGS) -> dict[str, Mapping]:
     }
 
 
-def turns_of(record: object, mapping: Mapping) -> list[tuple[str, str]]:
+def _text(value: object) -> str:
+    """A role or text; anything but a single value is of the wrong kind."""
+    if value is None:
+        return ""
+    if not isinstance(value, str | int | float):
+        raise TypeError("not a text")
+    return str(value).encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
+
+
+def turns_of(record: dict, mapping: Mapping) -> list[tuple[str, str]]:
+    """Raises TypeError for values of the wrong kind."""
     if mapping.each is None:
-        joined = ((role, [str(record[f]) for f in fields if record.get(f) is not None]) for role, fields in mapping.turns)
+        joined = ((role, [_text(record[f]) for f in fields if record.get(f) is not None]) for role, fields in mapping.turns)
         return [(role, "\n\n".join(texts)) for role, texts in joined if texts]
     messages = record[mapping.each] if mapping.each else [record]
-    own = [(m.get(mapping.role), m.get(mapping.text)) for m in messages]
-    return [(ROLES.get(r, r) if r is not None else "", str(t) if t is not None else "") for r, t in own]
+    if not isinstance(messages, list) or not all(isinstance(m, dict) for m in messages):
+        raise TypeError("not a list of messages")
+    own = [(_text(m.get(mapping.role)), _text(m.get(mapping.text))) for m in messages]
+    return [(ROLES.get(r, r), t) for r, t in own]
+
+
+def read(raw: str | None, known: dict[str, Mapping]) -> tuple[str, list[tuple[str, str]] | None]:
+    """A record's fingerprint, and its turns; None if there is no layout for it."""
+    try:
+        value = json.loads(raw) if raw is not None else None
+    except (ValueError, RecursionError):
+        value = None
+    mark = fingerprint(field_paths(value))
+    if not isinstance(value, dict) or mark not in known:
+        return mark, None
+    try:
+        return mark, turns_of(value, known[mark])
+    except TypeError:
+        return mark, None
 
 
 OPEN, CLOSE = "<s>", "</s>\n"
@@ -132,16 +165,11 @@ def segments(records: DataFrame, conv_id: str = "conv_id", position: str = "posi
             for conv, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if conv != current:
                     current, n, offset = conv, 0, 0
-                try:
-                    value = json.loads(raw) if raw is not None else None
-                except ValueError:
-                    value = None
-                mark = fingerprint(field_paths(value))
-                mapping = known.get(mark) if isinstance(value, dict) else None
-                if mapping is None:
+                mark, turns = read(raw, known)
+                if turns is None:
                     rows.append((conv, n, None, None, None, mark))
                     continue
-                for role, text in turns_of(value, mapping):
+                for role, text in turns:
                     before, body = formatted(role, text)
                     start = offset + len(before)
                     loss = (start, start + len(body)) if role == "assistant" else (None, None)
@@ -201,8 +229,18 @@ ADDED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[IN
 
 
 def of_rows(conversations: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) as records."""
-    return conversations.select("conv_id", F.col("turn").alias("position"), F.to_json(F.struct("role", "text")).alias("record"))
+    """Rows (conv_id, turn, role, text) as records, in turns in one of four layouts; rows without a common role in the first."""
+    message = F.array(F.struct("role", F.col("text").alias("content")))
+    said = F.array(F.struct(F.col("role").alias("from"), F.col("text").alias("value")))
+    plain = F.to_json(F.struct("role", "text"))
+    layout = F.when(F.col("role").isin("system", "user", "assistant"), F.pmod(F.col("turn"), F.lit(4)))
+    record = (
+        F.when((layout == 1) & F.col("text").isNotNull(), F.to_json(F.struct("role", F.col("text").alias("content"))))
+        .when(layout == 2, F.to_json(F.struct(message.alias("messages"))))
+        .when(layout == 3, F.to_json(F.struct(said.alias("conversations"))))
+        .otherwise(plain)
+    )
+    return conversations.select("conv_id", F.col("turn").alias("position"), record.alias("record"))
 
 
 _SQL_CONTROL = "|".join(re.sub(r"([\[\]/|<>])", r"\\\1", x) for x in CONTROL)
