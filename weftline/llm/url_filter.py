@@ -11,8 +11,9 @@ judged without a join.
 
 Keys of the corpus are made distinct by one aggregation with partial sums; the
 filters are small (a few bits for each listed key) and are sent to all tasks.
-Their size is checked against MAX_BYTES; a longer list has to be compiled in
-parts, with one call for each part.
+Their size is checked against MAX_BYTES. A longer list is taken in parts, by a hash
+of its keys and by their shapes, with a pass over the URLs for each; a URL is listed
+if any part lists one of its keys, so no task ever holds more than one part.
 
 Defined results: a null URL or one without `://` has an empty host and path,
 matches nothing and gets the method's verdict allow; repeated rows give repeated
@@ -36,6 +37,10 @@ from weftline.llm.common import stored
 #: Bytes that the filters of one list may take, and levels of a cascade.
 MAX_BYTES = 64 << 20
 MAX_LEVELS = 64
+#: Shapes (labels of the host, characters of the path) of a part of the list; a URL has one key at most for each.
+MAX_SHAPES = 256
+#: Bits that a listed key may take in all levels together.
+KEY_BITS = 48
 
 URL_PATTERN = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -130,18 +135,15 @@ class Cascade(NamedTuple):
         return inside
 
 
-def compiled(listed: DataFrame, corpus: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
+def compiled(listed: DataFrame, corpus: DataFrame) -> Cascade:
     """The cascade of the listed keys (column key) against all keys of the corpus (column key, distinct)."""
     inside = stored(listed.select("key").distinct().join(corpus.select("key"), "key", "left_semi"), "listed")
     outside = stored(corpus.select("key").join(listed.select("key"), "key", "left_anti"), "unlisted")
-    n_inside, n_outside, levels, total = inside.count(), outside.count(), [], 0
+    n_inside, n_outside, levels = inside.count(), outside.count(), []
     while n_inside:
         if len(levels) == MAX_LEVELS:
             raise ValueError("the cascade doesn't end: two keys have the same hash")
         rate = min(0.5, max(1e-6, 0.7 * n_inside / max(1, n_outside))) if not levels else 0.5
-        total += Bloom.sized(n_inside, rate, 0).bits.nbytes
-        if total > max_bytes:
-            raise ValueError(f"the filters take {total} bytes; compile the list in parts")
         levels.append(encoded(inside, n_inside, rate, len(levels) + 1))
         wrong = stored(passing(outside, levels[-1]), "passing")
         inside, outside, n_inside, n_outside = wrong, inside, wrong.count(), n_inside
@@ -159,31 +161,63 @@ def corpus_keys(urls: DataFrame, shapes: list[tuple[int, int]]) -> DataFrame:
     return urls.select("host", "path").mapInArrow(keys, "key string").distinct()
 
 
-def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, page_id: str = "page_id", url: str = "url") -> DataFrame:
+def parts_of(listed: DataFrame, max_bytes: int = MAX_BYTES, max_shapes: int = MAX_SHAPES) -> list[tuple[list[tuple[int, int]], DataFrame]]:
+    """The list (column key) in parts, each with its shapes: few enough shapes, and keys that fit into max_bytes."""
+    with_shape = listed.select("key", *_shape_columns())
+    shapes = sorted((r.labels, r.chars, r.n) for r in with_shape.groupBy("labels", "chars").agg(F.count(F.lit(1)).alias("n")).collect())  # as many as paths have lengths
+    found = []
+    for i in range(0, len(shapes), max_shapes):
+        own = shapes[i : i + max_shapes]
+        low, high = own[0][:2], own[-1][:2]
+        at = F.struct("labels", "chars")
+        keys = with_shape.filter((at >= F.struct(*map(F.lit, low))) & (at <= F.struct(*map(F.lit, high)))).select("key")
+        n = max(1, -(-sum(x[2] for x in own) * KEY_BITS // (8 * max_bytes)))
+        found += [([x[:2] for x in own], keys.filter(F.pmod(F.xxhash64("key"), F.lit(n)) == k) if n > 1 else keys) for k in range(n)]
+    return found
+
+
+def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, page_id: str = "page_id", url: str = "url", max_bytes: int = MAX_BYTES, max_shapes: int = MAX_SHAPES) -> DataFrame:
     """page_id, host, path, the longest rule that fits, and the verdict; without a rule, block if a key of the URL is listed.
 
     rules are few and given in full; listed (column key) may be long.
     """
     spark = pages.sparkSession
-    shapes = sorted({shape(r.key) for r in rules} | {tuple(x) for x in listed.select(*_shape_columns()).distinct().collect()})
-    urls = pages.select(pages[page_id].alias("page_id"), host_of(pages[url]).alias("host"), path_of(pages[url]).alias("path"))
-    corpus = stored(corpus_keys(urls, shapes), "keys")
-    lists = {v: spark.createDataFrame([(r.key,) for r in rules if r.verdict == v], "key string") for v in ("block", "allow")} | {"listed": listed}
-    cascades = {name: compiled(keys, corpus) for name, keys in lists.items()}
     kind = pages.schema[page_id].dataType.simpleString()
+    urls = pages.select(pages[page_id].alias("page_id"), host_of(pages[url]).alias("host"), path_of(pages[url]).alias("path"), F.lit(False).alias("listed"))
+    parts = parts_of(listed, max_bytes, max_shapes)
+    for shapes, keys in parts:
+        cascade = compiled(keys, stored(corpus_keys(urls, shapes), "keys"))
+
+        def mark(batches: Iterator[pa.RecordBatch], shapes=shapes, cascade=cascade) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own, has = _lookup(batch, shapes, {"listed": cascade})
+                hit = [yes or not has["listed"].isdisjoint(x) for yes, x in zip(batch.column(3).to_pylist(), own, strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(hit, pa.bool_())], names=["page_id", "host", "path", "listed"])
+
+        urls = urls.mapInArrow(mark, f"page_id {kind}, host string, path string, listed boolean")
+        if len(parts) > 1:
+            urls = stored(urls, "marked")
+    shapes = sorted({shape(r.key) for r in rules})
+    corpus = stored(corpus_keys(urls, shapes), "keys")
+    cascades = {v: compiled(spark.createDataFrame([(r.key,) for r in rules if r.verdict == v], "key string"), corpus) for v in ("block", "allow")}
 
     def verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [keys_of(h, p, shapes) for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            every = sorted({k for x in own for k in x})
-            has = {name: {k for k, yes in zip(every, c.has(every), strict=True) if yes} for name, c in cascades.items()}
+            own, has = _lookup(batch, shapes, cascades)
             rule = [next((k for k in x if k in has["block"] or k in has["allow"]), None) for x in own]
-            verdict = [("allow" if r in has["allow"] else "block") if r else "block" if not has["listed"].isdisjoint(x) else "allow" for r, x in zip(rule, own, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rule, pa.string()), pa.array(verdict, pa.string())], names=["page_id", "host", "path", "rule", "verdict"])
+            verdict = [("allow" if r in has["allow"] else "block") if r else "block" if hit else "allow" for r, hit in zip(rule, batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(rule, pa.string()), pa.array(verdict, pa.string())], names=["page_id", "host", "path", "rule", "verdict"])
 
     return urls.mapInArrow(verdicts, f"page_id {kind}, host string, path string, rule string, verdict string")
 
 
+def _lookup(batch: pa.RecordBatch, shapes: list[tuple[int, int]], cascades: dict[str, Cascade]) -> tuple[list[list[str]], dict[str, set[str]]]:
+    """The keys of each URL (columns 1 and 2: host and path), and those of all that each cascade has."""
+    own = [keys_of(h, p, shapes) for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+    every = sorted({k for x in own for k in x})
+    return own, {name: {k for k, yes in zip(every, c.has(every), strict=True) if yes} for name, c in cascades.items()}
+
+
 def _shape_columns() -> list[Column]:
     host, path = F.substring_index("key", "/", 1), F.regexp_extract("key", "(?s)^[^/]*(.*)$", 1)
     return [(F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1).alias("labels"), F.length(path).alias("chars")]
