@@ -1,6 +1,8 @@
 """Vector bin packing of examples into training sequences.
 
-Every example has a demand vector: tokens, one segment, and loss-bearing tokens.
+Every example has a demand vector: tokens, one segment, and loss-bearing tokens
+(those at its end that are trained on; what comes before is its context, such as a
+prompt).
 A sequence has a capacity in each of them. The packer fills one sequence at a
 time: of the pieces at hand that fit it picks the one whose demand has the
 largest dot product with what is left of the capacity, both as shares of the
@@ -23,6 +25,7 @@ columns are not looked at.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -30,7 +33,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.segments import arcs, as_bytes, default_tokenizer
@@ -38,7 +41,9 @@ from weftline.llm.segments import arcs, as_bytes, default_tokenizer
 #: Limits of a sequence, and pieces that are at hand at once.
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 64
-MAX_LOSS = 2048
+MAX_LOSS = 1792
+#: The share of an example's tokens that bear loss, from its end, where the caller doesn't know better.
+LOSS_SHARE = 0.75
 POOL = 1024
 END = 1
 
@@ -136,11 +141,12 @@ class Packer:
         return taken
 
 
-def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, tokens: int = MAX_TOKENS, segments: int = MAX_SEGMENTS, loss: int = MAX_LOSS, with_ids: bool = False) -> DataFrame:
-    """One row for each piece of each document: where it comes from, and where it lies; with_ids adds its token ids."""
+def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, tokens: int = MAX_TOKENS, segments: int = MAX_SEGMENTS, loss: int = MAX_LOSS, loss_share: Column | None = None, with_ids: bool = False) -> DataFrame:
+    """One row for each piece of each document: where it comes from, where it lies, and how many of its tokens bear loss;
+    with_ids adds its token ids. loss_share is the share of each example's tokens that bear loss, from its end (null: none)."""
     path = tokenizer or default_tokenizer()
     kind = docs.schema[doc_id].dataType.simpleString()
-    fields = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
+    fields = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long" + ", ids binary" * with_ids
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, packer = arcs(path, as_bytes), Packer(tokens, segments, loss)
@@ -151,13 +157,13 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             nonlocal number
             offset = 0
             for p in sequence:
-                rows.append((p.example, p.start, p.length, zlib.crc32(p.ids), p.total, number, offset, *([p.ids.tobytes()] if with_ids else [])))
+                rows.append((p.example, p.start, p.length, zlib.crc32(p.ids), p.total, number, offset, p.loss, *([p.ids.tobytes()] if with_ids else [])))
                 offset += p.length
             number += 1
 
         def flushed() -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True)) or [()] * (7 + with_ids)
-            kinds = [id_type, *[pa.int64()] * 6, *[pa.binary()] * with_ids]
+            columns = list(zip(*rows, strict=True)) or [()] * (8 + with_ids)
+            kinds = [id_type, *[pa.int64()] * 7, *[pa.binary()] * with_ids]
             rows.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
@@ -168,10 +174,11 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 runs = [machine.runs(x) for x in part.column(1).to_pylist()]
-                for example, emitted in zip(part.column(0).to_pylist(), machine.read(runs), strict=True):
+                for example, share, emitted in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), machine.read(runs), strict=True):
                     emitted.append(end)
                     ids = np.frombuffer(b"".join(emitted), "<u4")
-                    for sequence in packer.add(Piece(example, 0, len(ids), len(ids), ids, len(ids))):
+                    n_loss = min(len(ids), math.ceil(len(ids) * max(0.0, share)))
+                    for sequence in packer.add(Piece(example, 0, len(ids), n_loss, ids, len(ids))):
                         keep(sequence)
                 if len(rows) >= 5000 or with_ids and rows:
                     yield flushed()
@@ -180,5 +187,6 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if rows:
             yield flushed()
 
-    rows = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).cast("binary").alias("text"))
+    share = F.lit(LOSS_SHARE) if loss_share is None else F.coalesce(loss_share, F.lit(0.0))
+    rows = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).cast("binary").alias("text"), share.cast("double").alias("share"))
     return rows.mapInArrow(pack, fields)
