@@ -26,7 +26,7 @@ WINDOW = 8
 MOST_REPEATED = 30
 LEAST_WORDS = 20
 
-#: Phrases of boilerplate lines; matched without regard to ASCII case.
+#: Phrases of boilerplate lines, in four languages; matched without regard to ASCII case.
 BOILERPLATE = (
     "all rights reserved",
     "accept cookies",
@@ -39,9 +39,26 @@ BOILERPLATE = (
     "sign up for our newsletter",
     "skip to content",
     "lorem ipsum",
+    "tous droits r[ée]serv[ée]s",
+    "politique de confidentialit[ée]",
+    "mentions l[ée]gales",
+    "accepter les cookies",
+    "alle rechte vorbehalten",
+    "datenschutzerkl[äa]rung",
+    "cookies akzeptieren",
+    "todos los derechos reservados",
+    "pol[íi]tica de privacidad",
+    "aceptar cookies",
 )
-#: Whole lines of navigation.
-NAVIGATION = ("home", "menu", "login", "log in", "sign in", "next", "previous", "back to top", "read more", "share", "search")
+#: Whole lines of navigation, in four languages.
+NAVIGATION = (
+    *("home", "menu", "login", "log in", "sign in", "next", "previous", "back to top", "read more", "share", "search"),
+    *("accueil", "connexion", "rechercher", "partager", "suivant", "haut de page", "lire la suite"),
+    *("startseite", "anmelden", "suche", "teilen", "weiter", "nach oben", "mehr lesen"),
+    *("inicio", "iniciar sesi[óo]n", "buscar", "compartir", "siguiente", "volver arriba", "leer m[áa]s"),
+)
+#: Three separators of a menu or a path with short labels between them; a rule of structure, for any language.
+SEPARATED = "([|»›·•→][^|»›·•→]{0,30}){3}"
 #: A line of this many characters without any sentence punctuation is no prose.
 LONG_LINE = 80
 #: A line fails with one symbol, or one double exclamation mark, for at most this many characters.
@@ -65,6 +82,7 @@ def line_fails(line: Column) -> Column:
         | (shouts * CHARS_PER_MARK > size)
         | ((size >= LONG_LINE) & ~line.rlike("[.!?:;…]"))
         | (line.rlike("[A-Z]{2}") & ~line.rlike("[a-z]") & (size >= LONG_LINE))
+        | line.rlike(SEPARATED)
         | line.rlike(NAVIGATION_PATTERN)
         | line.rlike(BOILERPLATE_PATTERN)
     )
@@ -171,6 +189,7 @@ _LINE_FAILS = f"""(
    OR (length(x) - length(replace(x, '!!', ''))) / 2 * {CHARS_PER_MARK} > length(x)
    OR (length(x) >= {LONG_LINE} AND NOT regexp_matches(x, '[.!?:;…]'))
    OR (length(x) >= {LONG_LINE} AND regexp_matches(x, '[A-Z][A-Z]') AND NOT regexp_matches(x, '[a-z]'))
+   OR regexp_matches(x, '{SEPARATED}')
    OR regexp_matches(x, '{NAVIGATION_PATTERN.replace(chr(92) + "t", chr(9)).replace(chr(92) + "r", chr(13))}')
    OR regexp_matches(x, '{BOILERPLATE_PATTERN}'))"""
 
