@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from weftline.llm import quality_model, toxicity
+from weftline.llm import common, quality_model, toxicity
 
 BAD = ["moronic", "idiot", "scumbag", "worthless"]
 
@@ -61,6 +61,76 @@ def test_toxicity_of_a_rare_insult():
     assert (model.scores([text("and") for _ in range(20)]) >= toxicity.THRESHOLD).mean() <= 0.1
 
 
+def by_hand(text):
+    """Weights of a text's subwords, written out."""
+    import re
+
+    words = re.findall(r"[a-z0-9\x80-\xff]+", text.decode("latin-1").translate(str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})))
+    found = {}
+    for w in words:
+        own = [f"<{w}>"] + [f"<{w}>"[i : i + k] for k in toxicity.LENGTHS if k < len(w) + 2 for i in range(len(w) + 3 - k)]
+        for x in own:
+            found[x] = found.get(x, 0) + 1 / len(own) / (len(words) + toxicity.PAD)
+    return found
+
+
+def test_scores_equal_a_dense_softmax_over_subwords():
+    rng = random.Random(8)
+    texts = [f"{sentence(rng, rng.randint(3, 30))}{' ' + rng.choice(BAD) * (i % 3 == 0)} Ünd {i}!".encode() for i in range(120)] + [b"", b"?"]
+    labels = np.array([int(i % 3 == 0) for i in range(120)] + [0, 0])
+    weights = [by_hand(t) for t in texts]
+    column = {x: i for i, x in enumerate(sorted({x for w in weights for x in w}))}
+    dense = np.zeros((len(texts), len(column)))
+    for i, w in enumerate(weights):
+        for x, v in w.items():
+            dense[i, column[x]] = v
+    bucket, weight, text = toxicity.subwords(texts)
+    sums = np.zeros((len(texts), toxicity.BUCKETS), np.float32)
+    np.add.at(sums, (text, bucket), weight)
+    same = [(np.sort(sums[i][sums[i] > 0])[-5:], np.sort(dense[i][dense[i] > 0])[-5:]) for i in range(len(texts))]
+    assert sum(len(x) == len(y) and np.allclose(x, y, atol=1e-6) for x, y in same) >= 0.9 * len(texts)  # but for buckets that two subwords share
+    assert np.allclose(sums.sum(axis=1), dense.sum(axis=1), atol=1e-5)
+    model = toxicity.fit(texts, labels, np.ones(len(texts)))
+    assert np.allclose(model.scores(texts), 1 / (1 + np.exp(-(model.bias + sums @ model.table))), atol=1e-4)
+    theta, bias = np.zeros(len(column)), 0.0
+    for _ in range(3000):  # plain gradient descent on the dense matrix
+        wrong = 1 / (1 + np.exp(-(20 * dense @ theta + bias))) - labels
+        theta, bias = theta - 2 * 20 * dense.T @ wrong / len(texts), bias - 2 * wrong.mean()
+    plain = 1 / (1 + np.exp(-(20 * dense @ theta + bias))) >= 0.5
+    assert (plain == (model.scores(texts) >= 0.5)).mean() > 0.95
+
+
+def test_em_equals_a_loop_over_documents():
+    rng = random.Random(9)
+    docs = [tuple(rng.choice([-1, 0, 1, 1]) if rng.random() < 0.5 else (1 if g else -1) for _ in range(3)) for g in (rng.random() < 0.7 for _ in range(300))]
+    good = [1 / (1 + np.exp(-sum(d))) for d in docs]
+    for _ in range(quality_model.EM_ROUNDS):
+        share, odds = min(max(sum(good) / len(docs), 0.01), 0.99), []
+        for k in range(3):
+            rate = []
+            for part in (good, [1 - g for g in good]):
+                seen = [1 + sum(p for p, d in zip(part, docs, strict=True) if d[k] == v) for v in (-1, 0, 1)]
+                rate.append([x / sum(seen) for x in seen])
+            bad_odds, good_odds = np.log(rate[0][0] / rate[1][0]), np.log(rate[0][2] / rate[1][2])
+            odds.append((min(bad_odds, -quality_model.LEAST_ODDS), 0.0, max(good_odds, 0.0)))
+        after = [1 / (1 + np.exp(-(np.log(share / (1 - share)) + sum(odds[k][d[k] + 1] for k in range(3))))) for d in docs]
+        done = max(abs(a - b) for a, b in zip(after, good, strict=True)) < 1e-6
+        good = after
+        if done:
+            break
+    pattern, n = np.unique(np.array(docs, np.int8), axis=0, return_counts=True)
+    model = quality_model.estimate(pattern, n.astype(float))
+    assert np.allclose(model.posterior(np.array(docs, np.int8)), good, atol=1e-4)
+
+
+def test_samples_are_bounded(spark):
+    ids = spark.range(5000).withColumnRenamed("id", "doc_id")
+    assert common.sampled(ids, 5000, 300).count() == 300 and common.sampled(ids, 5000, 9000).count() == 5000
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, "x" * 100), (3, None)], "doc_id long, text string")
+    got = common.texts_of(docs, spark.createDataFrame([(1,), (2,), (3,)], "doc_id long"), "doc_id", "text", 50)
+    assert sorted((r.doc_id, bytes(r.text)) for r in got.collect()) == [(1, b"a"), (3, b"")]
+
+
 def test_em_finds_the_accuracies():
     rng = np.random.default_rng(4)
     good = rng.random(20_000) < 0.8

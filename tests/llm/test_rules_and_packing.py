@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from weftline.llm import packing, quality_rules, token_counts
@@ -89,7 +90,7 @@ def test_runs_are_forgotten_without_harm():
     machine.size = size
 
 
-def checked(rows, ids, tokens=2048, segments=64):
+def checked(rows, ids, tokens=2048, segments=64, loss=packing.MAX_LOSS):
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
         pieces[r.doc_id].append(r)
@@ -106,7 +107,7 @@ def checked(rows, ids, tokens=2048, segments=64):
         for r in sorted(own, key=lambda r: r.offset):
             assert r.offset == at
             at += r.length
-        assert at <= tokens and len(own) <= segments and at & (at - 1) == 0
+        assert at <= tokens and len(own) <= segments and at & (at - 1) == 0 and sum(r.loss_tokens for r in own) <= loss
     return sequences
 
 
@@ -116,6 +117,11 @@ def test_packing(docs, ids):
     small = checked(packing.pack_documents(docs, tokens=64, loss=64).collect(), ids, tokens=64)
     assert sum(len(x) for x in small.values()) >= sum(len(x) + 1 for x in ids.values()) / 64
     assert packing.pack_documents(docs.limit(0)).count() == 0
+    # each limit binds: no sequence could be as full without it
+    all_loss = checked(packing.pack_documents(docs, loss=512, loss_share=F.lit(1.0)).collect(), ids, loss=512)
+    assert max(sum(r.length for r in s) for s in all_loss.values()) == 512
+    own = checked(packing.pack_documents(docs, loss_share=F.when(F.col("doc_id") != 7, F.lit(1.0))).collect(), ids)
+    assert {r.loss_tokens for s in own.values() for r in s if r.doc_id == 7} == {0}
     row = packing.pack_documents(docs.filter("doc_id = 9"), with_ids=True).orderBy("start").collect()
     assert b"".join(bytes(r.ids) for r in row) == np.array([*ids[9], 1], "<u4").tobytes()
 
@@ -136,7 +142,7 @@ PROSE = "The quick brown fox jumps over the lazy dog and then walks home along t
 def test_rules(spark):
     repeated = " ".join(["one two three four five six seven eight nine ten"] * 4)
     junk = "\n".join(["a ### b $$$ c %%% d &&& e *** f ||| g"] * 1 + ["x| y| z| w| v| u| t| s|", "Home"])
-    texts = {1: PROSE, 2: None, 3: "", 4: repeated, 5: PROSE + "\nAnd so on.\nAnd so on.\nHome", 6: PROSE + "\n" + junk * 6, 7: PROSE + "\nAll rights reserved.", 8: LONG}
+    texts = {1: PROSE, 2: None, 3: "", 4: repeated, 5: PROSE + "\nAnd so on.\nAnd so on.\nHome", 6: PROSE + "\n" + junk * 6, 7: PROSE + "\nAll rights reserved.", 8: LONG, 9: PROSE + "\nHome » News » Local » Weather\nTous droits réservés.\nStartseite", 10: PROSE}
     df = spark.createDataFrame([(i, t, "a", "b", 7) for i, t in texts.items()], DOCS)
     got = {r.doc_id: r for r in quality_rules.report(df).collect()}
     for i, t in texts.items():
@@ -149,7 +155,7 @@ def test_rules(spark):
         assert (got[i].n_words, got[i].n_repeat_words) == (len(words), len(marked))
         assert got[i].n_dup_lines == len(lines) - len(set(lines))
         assert got[i].word_chars == sum(len(w.decode()) for w in words)
-    assert {i for i, r in got.items() if r.kept} == {1, 5, 7}
+    assert {i for i, r in got.items() if r.kept} == {1, 5, 7, 9, 10}
     clean = {r.doc_id: r for r in quality_rules.clean(df).collect()}
-    assert clean[5].text == PROSE + "\nAnd so on." and clean[7].text == PROSE and clean[7].n_chars == len(PROSE) and clean[5]._l == "a"
+    assert clean[5].text == PROSE + "\nAnd so on." and clean[7].text == clean[9].text == PROSE and clean[7].n_chars == len(PROSE) and clean[5]._l == "a"
     assert quality_rules.report(df.limit(0)).count() == 0

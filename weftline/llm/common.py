@@ -41,6 +41,22 @@ def text_of(docs: DataFrame, column: str = "text") -> Column:
     return F.coalesce(docs[column].cast("string"), F.lit(""))
 
 
+def sampled(ids: DataFrame, n: int, most: int) -> DataFrame:
+    """At most `most` of n distinct ids (column doc_id), those with the least hashes. Hashes above a bound that the numbers
+    give go before any sorting, so that the sort sees little more than what stays."""
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
+    share = min(1.0, (most + 6 * most**0.5 + 20) / max(n, 1))
+    return ids.filter(h < int(share * (1 << 32))).distinct().orderBy(h, "doc_id").limit(most)
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, longest: int) -> DataFrame:
+    """doc_id, text and the other columns of the sampled ids (few): one text for each, the first by bytes of those that have
+    `longest` bytes or less."""
+    rows = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).cast("binary").alias("text")).filter(F.length("text") <= longest)
+    others = [c for c in ids.columns if c != "doc_id"]
+    return rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id", *others).agg(F.min("text").alias("text"))
+
+
 @contextlib.contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """While it is open, what is executed sends this many rows at most to Python at a time."""

@@ -7,14 +7,14 @@ good documents and how often each labeller votes which way on good and on bad
 ones; a majority vote starts it. The posterior of a document's pattern is its
 weak label.
 
-The weak labels of at most SAMPLE documents (taken by a hash of their id; all of
-their text) train a linear scorer over hashed features: words, shapes of words,
+The weak labels of at most SAMPLE documents (taken by a hash of their id; one text for
+each id, in whole, if it has LONGEST bytes or less) train a linear scorer over hashed features: words, shapes of words,
 and words that repeat the one before. It scores every text, with one number for
 each of BUCKETS hashed features sent to all tasks (1 MB).
 
 Defined results: a null or empty text gets the bad vote of the lines, and the scorer's
-bias as score; a document without an id is scored, but no example; equal
-texts get equal scores; an empty table gives an empty result; other columns are
+bias as score; a document without an id is scored, but no example; rows that repeat
+an id are all counted and scored, and one example at most; equal texts get equal scores; an empty table gives an empty result; other columns are
 not looked at.
 """
 
@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.common import sampled, texts_of
 from weftline.llm.shingles import _powers_to, in_steps, mix, word_hashes
 
 BUCKETS = 1 << 18
 SAMPLE = 6000
+LONGEST = 1 << 18
 ROUNDS, SPEED, DECAY = 150, 0.1, 1e-4
 EM_ROUNDS = 200
 #: A labeller is taken to be better than chance: a bad vote is this much (in log odds) for bad at least, a good vote for
@@ -233,8 +235,9 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
     found = vote_counts(rows).orderBy("pattern").collect()  # 3 ** len(LABELLERS) rows at most
     patterns = np.array([["-0+".index(x) - 1 for x in r.pattern] for r in found], np.int8).reshape(-1, len(LABELLERS))
     labels = estimate(patterns, np.array([r.n for r in found], float))
-    ids = docs.select(docs[doc_id].alias("doc_id")).filter("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
-    own = [bytes(r.text) for r in rows.join(F.broadcast(ids), "doc_id").orderBy("doc_id", "text").select("text").collect()]
+    ids = docs.select(docs[doc_id].alias("doc_id")).filter("doc_id IS NOT NULL")
+    ids = sampled(ids, sum(r.n for r in found), sample)
+    own = [bytes(r.text) for r in texts_of(docs, ids, doc_id, text, LONGEST).orderBy("doc_id").select("text").collect()]  # sample rows of LONGEST bytes at most
     weak = labels.posterior(np.concatenate([votes(own[a:b]) for a, b in in_steps(own)])) if own else np.zeros(0)
     return labels, fit(own, weak)
 

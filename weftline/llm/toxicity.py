@@ -10,8 +10,8 @@ softmax gives the two classes. Vectors and softmax are trained together in numpy
 shares. Small samples are cut into as many batches as large ones, for as many steps.
 
 Training uses at most MOST_TOXIC + MOST_CLEAN labelled documents (taken by a hash
-of their id; all of their text), weighted so that the classes have the shares
-that they have among all training labels. Scoring reads every text in whole; as
+of their id; one text for each id, in whole, if it has LONGEST bytes or less), weighted
+so that the classes have the shares that they have among all training labels. Scoring reads every text in whole; as
 all is linear up to the softmax, it needs one number for each bucket, which is
 sent to all tasks (1 MB).
 
@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.common import sampled, texts_of
 from weftline.llm.shingles import _powers_to, in_steps, mix
 
 BUCKETS = 1 << 18
@@ -42,6 +43,7 @@ PAD = 50
 THRESHOLD = 0.3
 #: The bound of the training sample, and how it is trained.
 MOST_TOXIC, MOST_CLEAN = 1500, 2500
+LONGEST = 1 << 18
 #: Bytes of text at a time in training, and in scoring.
 FIT_STEP, STEP = 1 << 16, 1 << 18
 EPOCHS, BATCH, RATE, DECAY, START = 14, 250, 0.05, 1e-4, 0.01
@@ -174,10 +176,6 @@ def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int =
     return Model((SCALE * vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-
-
-
-
 def held_out(doc_id: Column) -> Column:
     """A fixed quarter of the ids, by CRC-32 of the id as text."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -187,12 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """A model of the labels outside the held-out quarter."""
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).filter((F.col("label").isin(0, 1)) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     total = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sample = None
-    for value in (0, 1):
-        part = known.filter(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most[value])
-        sample = part if sample is None else sample.unionByName(part)
-    texts = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).cast("binary").alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").orderBy("doc_id").select("text", "label").collect()  # sum(most) rows, but for repeated ids
+    parts = [sampled(known.filter(F.col("label") == v).select("doc_id"), total.get(v, 0), most[v]).withColumn("label", F.lit(v)) for v in (0, 1)]
+    rows = texts_of(docs, parts[0].unionByName(parts[1]), doc_id, text, LONGEST).orderBy("doc_id", "label").collect()  # sum(most) rows of LONGEST bytes at most
     label_of = np.array([r.label for r in rows], np.int64)
     seen = np.bincount(label_of, minlength=2)
     weight = np.array([total.get(v, 0) / max(1, seen[v]) for v in (0, 1)])
