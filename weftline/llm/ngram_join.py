@@ -56,7 +56,7 @@ NUMERATOR, DENOMINATOR = 4, 5
 GROUPS = 512
 LEAF = 16
 TILE = 256
-BLOCK = 4096
+BLOCK = 512
 #: Counts are single bytes; this one stands for any higher count.
 MOST = 255
 #: Shingles that are counted at once, the share of documents that makes one frequent there, and the most that are kept as such.
