@@ -228,3 +228,55 @@ def test_search_and_assembly(spark):
     assert docs.filter("key = 'a'").first().children == ["b"]
     seen = spark.createDataFrame([("Rama", 1, 7), ("Rama", 1, 3), ("Rama", 1, 3), ("Rama", 2, 1)], "word string, v int, c int")
     assert rows(mentions.appearances(seen, "word", "v", "c")) == [("Rama", 4, "Vol1:ch3,7 Vol2:ch1")]
+
+
+def test_roots_of_cycles(spark):
+    df = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a"), ("e", "e2"), ("e2", None), ("x", "x")], "key string, parent string")
+    assert rows(graph.roots(df)) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "a"), ("e", "e2"), ("e2", "e2"), ("x", "x")]
+
+
+def test_scratch_tables_are_removed(spark):
+    with graph.scratch(spark) as keep:
+        gone = graph.stored(spark.range(3), "gone").inputFiles()[0]
+        kept = keep(spark.range(2), "kept")
+    import os
+
+    assert kept.count() == 2 and not os.path.exists(gone.removeprefix("file:").replace("///", "/"))
+
+
+def test_nearby_equals_all_pairs(spark):
+    random.seed(6)
+    points = [(i, random.choice([0, 40, 70, 88]) + random.random() * 2 - 1, random.choice([-179.9, 0.0, 100.0, 179.5]) + random.random() * 12 - 6) for i in range(120)]
+    df = spark.createDataFrame(points, "k long, lat double, lng double")
+    got = {(r.a, r.b) for r in assemble.nearby(df, "k", "lat", "lng", 300).collect()}
+    both = df.crossJoin(df.toDF("j", "lat2", "lng2")).filter("k <> j")
+    from weftline.functions import geo
+
+    near = both.filter(geo.haversine_km(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2")) <= 300)
+    assert got == {(r.k, r.j) for r in near.collect()} and got
+    lists = assemble.nearby_lists(spark.createDataFrame([(1, 2, 9), (1, 3, 4), (1, 4, 9)], "a long, b long, km long"), spark.createDataFrame([(2, 2), (3, 1), (4, 0)], "key long, ord long"))
+    assert [(x.other, x.km) for x in lists.first().neighbours] == [(3, 4), (4, 9), (2, 9)]
+
+
+def test_members_keys_and_groups(spark):
+    index = spark.createDataFrame([("Rama", "r1", 2), ("Rama", "r0", 1), ("Raghava", "r9", 3)], "word string, id string, ord int")
+    members = spark.createDataFrame([("m", ["Unknown", "Raghava", "Rama"]), ("n", ["Rama"]), ("o", [])], "key string, names array<string>")
+    assert rows(entities.first_known(members, index, "key", "names").fillna("")) == [("m", "r9"), ("n", "r0"), ("o", "")]
+    assert rows(entities.keyed(spark.createDataFrame([("Rama",), ("X",)], "word string"), index).select("id")) == [("r0",), ("r1",)]
+    counted = spark.createDataFrame([("Arjuna", 9), ("Arjunas", 1), ("Krishna", 5), ("Krishnaa", 7), ("Bhima", 1)], "word string, n long")
+    forest = graph.roots(fuzzy.variant_parents(counted, "word"), "word", "parent").withColumnRenamed("key", "word")
+    assert [(r.root, r.n_total, [tuple(v) for v in r.variants]) for r in fuzzy.variant_totals(counted, forest).orderBy("root").collect()] == [("Arjuna", 10, [("Arjuna", 9), ("Arjunas", 1)]), ("Krishna", 12, [("Krishnaa", 7), ("Krishna", 5)])]
+    assert rows(fuzzy.english_words(spark.createDataFrame([("Swiftly",), ("Karna",), ("Moon",)], "w string"), "w", spark.createDataFrame([("moon",)], "word string"))) == [("Moon",), ("Swiftly",)]
+    assert rows(search.type_counts(spark.createDataFrame([("City",), ("Village",), ("River",)], "t string"), "t", {"City": "settlement", "Village": "settlement"})) == [("River", 1), ("settlement", 2)]
+
+
+def test_paragraphs_after_markers(spark):
+    body = spark.createDataFrame([(1, 1, "ends with-", None), (1, 2, "4", "4"), (1, 3, "small letter first", None)], "volume int, seq int, raw string, marker string")
+    assert [(r.marker, r.text) for r in docparse.paragraphs(body).orderBy("ord").collect()] == [(None, "ends with-"), ("4", None), (None, "small letter first")]
+
+
+def test_notes_with_headings(spark):
+    texts = ["Chapter 1", "1 First", "Adi Parva", "still first", "Section II", "loose words", "2 Second. 3 Third", "4 is bare", "99 years", "1 Anew", "Chapter 2", "Footnotes", "7 Seven", "7a on", "8 Eight"]
+    lines = spark.createDataFrame([(1, i, t, t) for i, t in enumerate(texts)], "volume int, seq int, whole string, line string")
+    got = [r.line for r in docparse.notes(lines).orderBy("ord").collect()]
+    assert got == ["--- Chapter 1 ---", "[Adi Parva]", "1 First still first", "", "[Section II]", "loose words", "2 Second.", "3 Third", "4 is bare 99 years", "--- Chapter 2 ---", "1 Anew", "7 Seven", "7a on", "8 Eight"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,17 +29,38 @@ def histogram(df: DataFrame, column: str) -> DataFrame:
 def nearby(points: DataFrame, key: str, lat: str, lng: str, km: float) -> DataFrame:
     """Ordered pairs of points no more than km apart: key, other, km.
 
-    Points are put into cells of latitude whose height is the distance: a partner lies in the same cell or a neighbouring
-    one, so the join has a key.
+    Points are put into cells of latitude as high as the distance, and there into cells of longitude as wide as the distance
+    can be at the end of the neighbouring cell that is nearer to a pole: a partner lies in the same cell or next to it. All
+    longitudes are one cell where the distance reaches around the pole.
     """
-    height = km / (geo.RADIUS_KM * 0.017453292519943295)
-    own = points.select(F.col(key).alias("a"), F.col(lat).alias("lat_a"), F.col(lng).alias("lng_a")).withColumn("_cell", F.floor(F.col("lat_a") / height))
+    height = math.degrees(km / geo.RADIUS_KM)
+    half = math.sin(min(km / geo.RADIUS_KM, math.pi) / 2)
+
+    def n_cells(row: Column) -> Column:
+        farthest = F.greatest(F.abs(row - 1), F.abs(row + 2)) * height
+        part = F.lit(half) / F.cos(F.radians(farthest))
+        return F.when((farthest < 89) & (part < 0.99), F.greatest(F.floor(F.lit(360.0) / F.degrees(2 * F.asin(part))), F.lit(1))).otherwise(F.lit(1)).cast("long")
+
+    def column(x: str, row: Column) -> Column:
+        return F.floor(F.pmod(F.col(x), F.lit(360.0)) * n_cells(row) / 360.0).cast("long")
+
+    own = points.select(F.col(key).alias("a"), F.col(lat).alias("lat_a"), F.col(lng).alias("lng_a")).withColumn("_row", F.floor(F.col("lat_a") / height))
+    own = own.withColumn("_column", column("lng_a", F.col("_row")))
     other = points.select(F.col(key).alias("b"), F.col(lat).alias("lat_b"), F.col(lng).alias("lng_b"))
-    other = other.withColumn("_cell", F.explode(F.array(*(F.floor(F.col("lat_b") / height) + d for d in (-1, 0, 1)))))
-    pairs = own.join(other, "_cell").filter("a <> b").withColumn("_km", geo.haversine_km(F.col("lat_a"), F.col("lng_a"), F.col("lat_b"), F.col("lng_b")))
+    other = other.withColumn("_row", F.explode(F.array(*(F.floor(F.col("lat_b") / height) + d for d in (-1, 0, 1)))))
+    around = F.array_distinct(F.array(*(F.pmod(column("lng_b", F.col("_row")) + d, n_cells(F.col("_row"))) for d in (-1, 0, 1))))
+    pairs = own.join(other.withColumn("_column", F.explode(around)), ["_row", "_column"]).filter("a <> b")
+    pairs = pairs.withColumn("_km", geo.haversine_km(F.col("lat_a"), F.col("lng_a"), F.col("lat_b"), F.col("lng_b")))
     return pairs.filter(F.col("_km") <= km).select("a", "b", geo.rounded_km(F.col("_km")).alias("km"))
 
 
+def nearby_lists(pairs: DataFrame, order: DataFrame) -> DataFrame:
+    """key and its neighbours (other, km) by distance, equal ones in the order of the source (columns key, ord)."""
+    placed = pairs.join(order.select(F.col("key").alias("b"), "ord"), "b")
+    each = F.array_sort(F.collect_list(F.struct("km", "ord", "b")))
+    return placed.groupBy(F.col("a").alias("key")).agg(F.transform(each, lambda x: F.struct(x["b"].alias("other"), x["km"].alias("km"))).alias("neighbours"))
+
+
 def as_json(df: DataFrame, key: str, pretty: bool = False) -> DataFrame:
     """id and record of each row; fields without a value are left out."""
     fields = [c for c in df.columns if c != key]

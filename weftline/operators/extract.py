@@ -38,7 +38,7 @@ CHAPTER_NAMES = (
     Rule("vocative", rf"O\s+{_N}!", least=5),
     Rule("titled", rf"(?:King|Prince|Sage|Rishi|Queen|Princess|Maharaja)\s+{_N}", least=3),
     Rule("kin", rf"{_N}’s\s+{_KIN}", least=3),
-    Rule("frequent", r"\b([A-Z][a-z]{3,})\b", least=50),
+    Rule("frequent", r"(?<![\p{L}\p{N}_])([A-Z][a-z]{3,})(?![\p{L}\p{N}_])", least=50),
 )
 #: Relations in chapters.
 CHAPTER_RELATIONS = (
@@ -67,6 +67,13 @@ DUTIES = (
     ("Rishi", "Sage", "Brahmin"),
     ("Maharaja", "King", "Kshatriya"),
 )
+#: Who is a woman by title; and what notes say at their start, of rulers, of kin, and of other names.
+WOMEN = r"(?:Queen|Princess)\s+([A-Z][a-z]+)"
+SUBJECT = r"^([A-Z][\w-]+)\.\s+(?:He|She|It|The|This|One|A )"
+RULER = r"^([A-Z][\w-]+),?\s+(?:the\s+)?(?:king|queen|prince|princess|ruler|chief) of\s+[A-Z][\w-]+"
+KIN = (rf"([A-Z][\w'-]+)’s\s+{_KIN}", r"(?:son|daughter|wife|brother|sister) of\s+([A-Z][\w'-]+)")
+ALSO = r"(?i)([A-Z][\w-]+)[\s,]+(?:is\s+)?also\s+(?:known|called)\s+as\s+([A-Z][\w-]+)"
+KING_OF = rf"{_N},?\s+(?:the\s+)?king\s+of\s+{_N}"
 
 
 def note_entries(notes: DataFrame, volume: str, text: str) -> DataFrame:
@@ -106,7 +113,7 @@ def frequent_names(rows: DataFrame, text: str, rules: tuple[Rule, ...] = CHAPTER
 
 def title_genders(rows: DataFrame, text: str, titled: DataFrame) -> DataFrame:
     """word and gender: Female if a queen's or princess's name begins with the word, else Male."""
-    queens = rows.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(r"(?:Queen|Princess)\s+([A-Z][a-z]+)"), 1)).alias("q")).distinct()
+    queens = rows.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(WOMEN), 1)).alias("q")).distinct()
     queens = queens.select(F.explode(F.transform(F.sequence(F.lit(3), F.greatest(F.length("q"), F.lit(3))), lambda k: F.substring("q", F.lit(1), k))).alias("word")).distinct()
     return titled.join(queens.withColumn("_f", F.lit(True)), "word", "left").select("word", F.when(F.col("_f"), "Female").otherwise("Male").alias("gender"))
 
@@ -114,11 +121,11 @@ def title_genders(rows: DataFrame, text: str, titled: DataFrame) -> DataFrame:
 def note_names(entries: DataFrame) -> DataFrame:
     """entry's volume and number, name and gender (null if unknown) of the subjects and kin that notes name."""
     body = F.col("body")
-    subject = F.regexp_extract(body, r"^([A-Z][\w-]+)\.\s+(?:He|She|It|The|This|One|A )", 1)
+    subject = F.regexp_extract(body, SUBJECT, 1)
     head = F.substring(body, 1, 50)
     gender = F.when(F.contains(head, F.lit(". She ")), "Female").when(F.contains(head, F.lit(". He ")), "Male")
-    ruler = F.regexp_extract(body, r"^([A-Z][\w-]+),?\s+(?:the\s+)?(?:king|queen|prince|princess|ruler|chief) of\s+[A-Z][\w-]+", 1)
-    kin = F.concat(F.regexp_extract_all(body, F.lit(rf"([A-Z][\w'-]+)’s\s+{_KIN}"), 1), F.regexp_extract_all(body, F.lit(r"(?:son|daughter|wife|brother|sister) of\s+([A-Z][\w'-]+)"), 1))
+    ruler = F.regexp_extract(body, RULER, 1)
+    kin = F.concat(*(F.regexp_extract_all(body, F.lit(p), 1) for p in KIN))
     pair = lambda n, g: F.struct(n.alias("name"), g.cast("string").alias("gender"))
     is_king = F.when(F.contains(F.lower(F.substring(body, 1, 40)), F.lit("king")), "Male")
     every = F.concat(F.array(pair(subject, gender), pair(ruler, is_king)), F.transform(kin, lambda k: pair(k, F.lit(None))))
@@ -127,9 +134,8 @@ def note_names(entries: DataFrame) -> DataFrame:
 
 def aka(entries: DataFrame) -> DataFrame:
     """volume, entry, a and b of `a is also known as b`; letter case doesn't matter to the pattern."""
-    pattern = r"(?i)([A-Z][\w-]+)[\s,]+(?:is\s+)?also\s+(?:known|called)\s+as\s+([A-Z][\w-]+)"
-    rows = entries.select("volume", "entry", F.posexplode(F.regexp_extract_all("body", F.lit(pattern), 0)).alias("place", "m"))
-    return rows.select("volume", "entry", "place", F.regexp_extract("m", pattern, 1).alias("a"), F.regexp_extract("m", pattern, 2).alias("b"))
+    rows = entries.select("volume", "entry", F.posexplode(F.regexp_extract_all("body", F.lit(ALSO), 0)).alias("place", "m"))
+    return rows.select("volume", "entry", "place", F.regexp_extract("m", ALSO, 1).alias("a"), F.regexp_extract("m", ALSO, 2).alias("b"))
 
 
 def duties(rows: DataFrame, text: str) -> DataFrame:
@@ -142,7 +148,7 @@ def duties(rows: DataFrame, text: str) -> DataFrame:
 
 def dynasties(rows: DataFrame, text: str, order: str) -> DataFrame:
     """word and the first place that it is king of."""
-    rule = (Rule("king of", rf"{_N},?\s+(?:the\s+)?king\s+of\s+{_N}", 1, 2),)
+    rule = (Rule("king of", KING_OF, 1, 2),)
     return facts(rows, rule, text, order).groupBy(F.col("a").alias("word")).agg(F.min_by("b", F.struct(order, "place")).alias("dynasty"))
 
 

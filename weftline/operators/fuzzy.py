@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.text import english_suffix
 from weftline.operators.graph import components
 
 
@@ -53,3 +54,18 @@ def best_names(members: DataFrame, word: str, count: str, cluster: str) -> DataF
     """Each cluster's most frequent word (equal ones: the first by letters), its total, and its words."""
     best = F.min_by(word, F.struct((-F.col(count)).alias("n"), F.col(word).alias("w")))
     return members.groupBy(cluster).agg(best.alias("best"), F.sum(count).alias("n_total"), F.array_sort(F.collect_list(word)).alias("words"))
+
+
+def variant_totals(counted: DataFrame, forest: DataFrame) -> DataFrame:
+    """root, n_total and variants (word, n; the most frequent first) of the groups with two words or more; counted has word and
+    n, forest word and root."""
+    each = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "word")))
+    groups = forest.join(counted, "word").groupBy("root").agg(F.sum("n").alias("n_total"), each.alias("_e")).filter(F.size("_e") > 1)
+    return groups.select("root", "n_total", F.transform("_e", lambda x: F.struct(x["word"].alias("word"), (-x["o"]).alias("n"))).alias("variants"))
+
+
+def english_words(words: DataFrame, word: str, dictionary: DataFrame) -> DataFrame:
+    """Words that a dictionary has (column word, lower case) or that end as English words do."""
+    known = dictionary.select(F.col("word").alias("_low"), F.lit(True).alias("_known")).distinct()
+    own = words.withColumn("_low", F.lower(word)).join(known, "_low", "left")
+    return own.filter(F.coalesce("_known", F.lit(False)) | english_suffix(F.col(word))).drop("_low", "_known")

@@ -29,3 +29,9 @@ def styled(df: DataFrame, kind: str, styles: dict[str, tuple[str, int]], default
 def popup(df: DataFrame, lat: str, lng: str) -> DataFrame:
     """Rows with a position of two decimals, as in 29.16°N, 78.02°E."""
     return df.withColumn("position", F.format_string("%.2f°N, %.2f°E", lat, lng))
+
+
+def type_counts(df: DataFrame, kind: str, together: dict[str, str]) -> DataFrame:
+    """Counts by type, where types that are counted together (type -> common name) have one row."""
+    name = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in together.items() for x in pair)), F.col(kind)), F.col(kind))
+    return df.groupBy(name.alias("kind")).agg(F.count(F.lit(1)).alias("n"))

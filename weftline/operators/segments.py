@@ -58,21 +58,23 @@ THRESHOLDS = (2, 3, 4, 5, 6, 8, 10, 15, 20, 30, 50, 100)
 
 
 def best_threshold(numbers: DataFrame, groups: DataFrame, by: Sequence[str], number: str, order: Sequence[str], low: str, high: str, group_order: Sequence[str], thresholds: Sequence[int] = THRESHOLDS) -> DataFrame:
-    """by, threshold, and the two numbers of runs: the threshold at which numbers and groups have the most similar counts of runs, the earliest of equals."""
-    spark = numbers.sparkSession
-    tried = F.broadcast(spark.createDataFrame([(i, t) for i, t in enumerate(thresholds)], "_try int, threshold int"))
-    a = runs(numbers.crossJoin(tried), [*by, "_try", "threshold"], order, number, F.col("threshold"))
-    a = a.groupBy(*by, "_try", "threshold").agg(F.countDistinct("run").alias("n_number_runs"))
-    w = W.partitionBy(*by, "_try", "threshold").orderBy(*group_order)
-    g = groups.crossJoin(tried).withColumn("_first", F.coalesce(F.col(low) <= 3, F.lit(False)) & (F.row_number().over(w) > 1))
-    g = g.withColumn("_stretch", F.sum(F.col("_first").cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    tops = g.groupBy(*by, "_try", "threshold", "_stretch").agg(F.max(high).alias("_top"))
-    t = W.partitionBy(*by, "_try", "threshold").orderBy("_stretch")
-    split = tops.withColumn("_split", F.coalesce(F.lag("_top").over(t) >= F.col("threshold"), F.lit(False)).cast("int"))
-    b = split.groupBy(*by, "_try", "threshold").agg((F.sum("_split") + 1).alias("n_group_runs"))
-    both = a.join(b, [*by, "_try", "threshold"])
-    best = F.struct(F.abs(F.col("n_number_runs") - F.col("n_group_runs")).alias("diff"), "_try", "threshold", "n_number_runs", "n_group_runs")
-    return both.groupBy(*by).agg(F.min(best).alias("b")).select(*by, F.col("b.threshold").cast("long").alias("threshold"), F.col("b.n_number_runs").cast("long").alias("n_number_runs"), F.col("b.n_group_runs").cast("long").alias("n_group_runs"))
+    """by, threshold, and the two numbers of runs: the threshold at which numbers and groups have the most similar counts of runs, the earliest of equals.
+
+    Stretches and their tops don't depend on the threshold: they are made once, and each threshold counts the tops that reach it.
+    """
+
+    def n_runs(rows: DataFrame, starts: Column, top: str, ordered: Sequence[str], name: str) -> DataFrame:
+        stretch = rows.withColumn("_stretch", F.sum(starts.cast("int")).over(_w(by, ordered).rowsBetween(W.unboundedPreceding, 0)))
+        tops = stretch.groupBy(*by, "_stretch").agg(F.max(top).alias("_top"))
+        before = tops.withColumn("_before", F.lag("_top").over(W.partitionBy(*by).orderBy("_stretch")))
+        return before.groupBy(*by).agg(F.array(*((F.count_if(F.col("_before") >= t) + 1) for t in thresholds)).alias(name))
+
+    a = n_runs(numbers, F.col(number) == 1, number, order, "_a")
+    first = F.coalesce(F.col(low) <= 3, F.lit(False)) & (F.row_number().over(_w(by, group_order)) > 1)
+    b = n_runs(groups.withColumn("_first", first), F.col("_first"), high, group_order, "_b")
+    tried = [F.struct(F.abs(F.col("_a")[i] - F.col("_b")[i]).alias("diff"), F.lit(i).alias("i"), F.lit(t).cast("long").alias("threshold"), F.col("_a")[i].alias("n"), F.col("_b")[i].alias("m")) for i, t in enumerate(thresholds)]
+    best = a.join(b, list(by)).withColumn("_best", F.array_min(F.array(*tried)))
+    return best.select(*by, F.col("_best.threshold").alias("threshold"), F.col("_best.n").alias("n_number_runs"), F.col("_best.m").alias("n_group_runs"))
 
 
 def run_headers(df: DataFrame, by: Sequence[str], run: str, label: str, order: str) -> DataFrame:
@@ -129,3 +131,8 @@ def truncate_before(df: DataFrame, by: Sequence[str], order: str, marker: Column
     """Rows from the first marker on; all of a sequence without one."""
     first = F.min(F.when(marker, F.col(order))).over(W.partitionBy(*by))
     return df.withColumn("_first", first).filter(F.col("_first").isNull() | (F.col(order) >= F.col("_first"))).drop("_first")
+
+
+def distinct_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """For each sequence how many different values each column has (n_<column>), as of chapters, paragraphs and notes."""
+    return df.groupBy(*by).agg(*(F.count_distinct(c).alias(f"n_{c}") for c in columns))

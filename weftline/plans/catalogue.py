@@ -75,18 +75,6 @@ def top_mentions(spark, sf):
     return mentions.top(_counted(spark, sf), 20, "n", "word")
 
 
-@query(
-    r"""WITH w AS (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}_]+') AS ws FROM documents),
-b AS (SELECT ws[i] AS title, ws[i + 1] AS word FROM (SELECT ws, unnest(generate_series(1, len(ws) - 1)) AS i FROM w))
-SELECT word, count(*)::BIGINT AS n, bool_or(title = 'The') AS qualified FROM b WHERE regexp_matches(word, '^[A-Z][a-z][a-z]+$') GROUP BY word HAVING count(*) >= 3"""
-)
-def titled_gender(spark, sf):
-    words = table(spark, sf, "documents").select(F.regexp_extract_all("text", F.lit(T.RUN), 0).alias("ws"))
-    pairs = F.arrays_zip(F.slice("ws", F.lit(1), F.size("ws") - 1).alias("title"), F.slice("ws", F.lit(2), F.size("ws") - 1).alias("word"))
-    rows = words.filter(F.size("ws") > 1).select(F.explode(pairs).alias("p")).select("p.title", "p.word").filter(F.col("word").rlike(T.NAME))
-    return rows.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.col("title") == "The").alias("qualified")).filter("n >= 3")
-
-
 # text functions
 
 
@@ -104,24 +92,6 @@ def mid_sentence_flag(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.ends_mid_sentence(F.col("text")).alias("mid_sentence"))
 
 
-@query()
-def footnote_ref_tagging(spark, sf):
-    own = table(spark, sf, "documents").select("doc_id", T.tag_note_refs(F.col("text")).alias("t"))
-    return own.select("doc_id", F.md5("t").alias("digest"), long(F.size(F.regexp_extract_all("t", F.lit(r"\{([0-9]+)\}"), 1))).alias("n_refs"))
-
-
-@query(
-    r"""WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
-SELECT CASE WHEN line = '' THEN 'empty' WHEN regexp_matches(line, '^[A-Z][a-z]+ [a-z]+') THEN 'sentence' WHEN regexp_matches(line, '^[A-Z][A-Z]+') THEN 'capitals' WHEN regexp_matches(line, '^[0-9]') THEN 'number' ELSE 'other' END AS kind, count(*)::BIGINT AS n
-FROM l GROUP BY ALL"""
-)
-def line_classify(spark, sf):
-    line = F.col("line")
-    kind = F.when(line == "", "empty").when(line.rlike("^[A-Z][a-z]+ [a-z]+"), "sentence").when(line.rlike("^[A-Z][A-Z]+"), "capitals").when(line.rlike("^[0-9]"), "number").otherwise("other")
-    lines = table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
-    return assemble.histogram(lines.select(kind.alias("kind")), "kind")
-
-
 @query(
     r"""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS ls FROM documents),
 t AS (SELECT doc_id, CASE WHEN len(ls) = 0 THEN '' ELSE list_reduce(ls, lambda acc, x: CASE WHEN ends_with(acc, '-') THEN left(acc, length(acc) - 1) || x ELSE acc || ' ' || x END) END AS t FROM l)
@@ -370,40 +340,6 @@ def dedupe_truncate(spark, sf):
     return segments.before_repeat(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], "event_type").select("user_id", "event_id", "event_type")
 
 
-@query(
-    """WITH a AS (SELECT conv_id, turn, role, text, CASE WHEN lag(role) OVER (PARTITION BY conv_id ORDER BY turn) = 'user' THEN 0 ELSE 1 END AS starts FROM conversations),
-b AS (SELECT *, sum(starts) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS island FROM a)
-SELECT conv_id, island::BIGINT AS island, count(*)::BIGINT AS n_turns, md5(string_agg(coalesce(text, ''), ' ' ORDER BY turn)) AS digest FROM b GROUP BY ALL"""
-)
-def stitch_paragraphs(spark, sf):
-    own = table(spark, sf, "conversations")
-    after_user = F.coalesce(F.lag("role").over(W.partitionBy("conv_id").orderBy("turn")) == "user", F.lit(False))
-    parts = segments.islands(own, ["conv_id"], ["turn"], ~after_user)
-    texts = F.transform(F.array_sort(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("t")))), lambda x: x["t"])
-    return parts.groupBy("conv_id", "island").agg(F.count(F.lit(1)).alias("n_turns"), F.md5(F.array_join(texts, " ")).alias("digest"))
-
-
-@query(
-    """WITH e AS (SELECT user_id, event_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events)
-SELECT a.event_id, arg_min(b.event_id, (b.value, b.pos)) AS neighbour FROM e a JOIN e b ON a.user_id = b.user_id AND b.pos BETWEEN a.pos - 3 AND a.pos + 3 AND b.pos <> a.pos AND abs(a.value - b.value) < 25
-WHERE a.event_type = 'click' AND b.event_type <> 'click' GROUP BY a.event_id"""
-)
-def dropcap_neighbour(spark, sf):
-    w = W.partitionBy("user_id").orderBy("ts", "event_id")
-    near = lambda d: F.lag if d < 0 else F.lead
-    own = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
-    around = [F.struct(near(d)("value", abs(d)).over(w).alias("value"), F.lit(d).alias("pos"), near(d)("event_id", abs(d)).over(w).alias("event_id"), near(d)("event_type", abs(d)).over(w).alias("event_type")) for d in (-3, -2, -1, 1, 2, 3)]
-    own = own.withColumn("around", F.array(*around)).filter("event_type = 'click'")
-    good = F.filter("around", lambda b: b["event_id"].isNotNull() & (b["event_type"] != "click") & (F.abs(b["value"] - F.col("value")) < 25))
-    return own.select("event_id", F.array_min(good)["event_id"].alias("neighbour")).filter("neighbour IS NOT NULL")
-
-
-@query("SELECT r_regionkey AS volume, r_regionkey * 100 + 7 AS start_page, coalesce(lead(r_regionkey * 100 + 7) OVER (ORDER BY r_regionkey), 1000)::BIGINT AS end_page FROM region")
-def volume_ranges(spark, sf):
-    own = table(spark, sf, "region").select(F.col("r_regionkey").alias("volume"), (F.col("r_regionkey") * 100 + 7).alias("start_page"))
-    return own.withColumn("end_page", long(F.coalesce(F.lead("start_page").over(W.orderBy("volume")), F.lit(1000))))
-
-
 # entities
 
 
@@ -510,10 +446,10 @@ def lineage_two_hop(spark, sf):
 
 
 @query(
-    """SELECT n_name, count(*)::BIGINT AS n_events, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderdate, o_orderkey) AS events FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderstatus = 'F' GROUP BY n_name"""
+    """SELECT n_name, count(*)::BIGINT AS n_events, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderdate, o_orderkey) AS events FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"""
 )
 def events_per_location(spark, sf):
-    orders = table(spark, sf, "orders").filter("o_orderstatus = 'F'").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    orders = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     rows = orders.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).withColumn("o", F.struct("o_orderdate", "o_orderkey"))
     return assemble.events_by(rows, "n_name", "o", "o_orderkey").withColumn("events", F.array_join(F.transform("events", lambda e: e.cast("string")), ","))
 
