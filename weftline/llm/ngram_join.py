@@ -28,9 +28,9 @@ similarity of 0.8 or more. The join is exact; nothing is sampled or capped.
    quarter at most), then those of the largest component against the others,
    and the others against each other, in tiles of BLOCK points.
 
-Every link comes through a tree. Rows of a key are counted by aggregations with
-partial sums, and joined back; a hot key is split by the skew join of adaptive
-execution. What is written in between is removed when the result is written.
+Every link comes through a tree. Keys are shuffled once; the rows of a frequent key
+are counted in many tasks, and the skew join of adaptive execution splits it where
+its blocks are joined back. What is written in between is removed when the result is written.
 
 Defined results: an empty or null text has no shingles and is linked with
 nothing; rows without an id are linked with nothing and have no component; rows
@@ -46,6 +46,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from weftline.llm.common import batches_of, scratch, stored
 from weftline.operators.graph import components
@@ -64,7 +65,7 @@ COUNTED = 1 << 20
 FREQUENT = 1000
 MOST_FREQUENT = 100_000
 #: A pair must share one key, and one more for each PER_KEY shingles of the smaller set.
-PER_KEY = 10
+PER_KEY = 30
 #: Rows that a Python worker holds at once.
 ROWS = 1500
 #: Ids that are sent to all tasks at most (8 bytes each); beyond, both sides are shuffled.
@@ -119,11 +120,12 @@ def sketches(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(sketch, "doc_id long, n long, s1 long, s2 long, counts binary, shingle long, seen long")
 
 
-_KEY = [("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("index", pa.bool_())]
+_KEY = [("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("index", pa.bool_()), ("late", pa.bool_())]
 
 
 def block_keys(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """The shingles of each set's prefixes: key, id, n, and whether it is in the shorter prefix, which holds for the smaller set of a pair."""
+    """The shingles of each set's prefixes: key, id, n, whether it is in the shorter prefix, which holds for the smaller set of a
+    pair (index), and whether it is a frequent one (late)."""
     spark = rows.sparkSession
     late = spark.sparkContext.broadcast(np.sort(frequent))  # MOST_FREQUENT at most
 
@@ -142,9 +144,9 @@ def block_keys(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
                 probe = size - -(-size * NUMERATOR // DENOMINATOR) + 1 + size // PER_KEY
                 index = size - -(-size * 2 * NUMERATOR // (NUMERATOR + DENOMINATOR)) + 1 + size // PER_KEY
                 keep = np.flatnonzero(rank < probe)
-                yield _batch([sets[order[keep]].view(np.int64), ids[a:b][owner[keep]], size[keep], (rank < index)[keep]], _KEY)
+                yield _batch([sets[order[keep]].view(np.int64), ids[a:b][owner[keep]], size[keep], (rank < index)[keep], is_late[order[keep]]], _KEY)
 
-    return rows.mapInArrow(keys, "key long, id long, n long, index boolean")
+    return rows.mapInArrow(keys, "key long, id long, n long, index boolean, late boolean")
 
 
 def may_link(n_a, n_b, overlap):
@@ -360,11 +362,20 @@ def most_frequent(seen: DataFrame) -> np.ndarray:
 
 
 def blocks_of(keys: DataFrame) -> DataFrame:
-    """keys (key, id, n, index) of blocks with two points or more, of points with enough of them; of blocks with the same points one stays, with their number as weight."""
+    """keys (key, id, n, index, late) of blocks with two points or more, of points with enough of them; of blocks with the same points one stays, with their number as weight.
+
+    Keys are shuffled once. The rows of a frequent key go to as many tasks as there are partitions, each of which counts its own.
+    """
+    salts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = keys.withColumn("salt", F.when(F.col("late"), F.pmod(F.xxhash64("id"), F.lit(salts))).otherwise(0).cast("int")).repartition("key", "salt")
     mark = lambda seed: F.bit_xor(F.xxhash64("id", "index", F.lit(seed)))
-    block = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max("index").alias("indexed"), mark(1).alias("m1"), mark(2).alias("m2")).filter("size > 1 AND indexed")
+    part = W.partitionBy("key", "salt")
+    own = own.withColumns({"size": F.count(F.lit(1)).over(part), "indexed": F.max("index").over(part), "m1": mark(1).over(part), "m2": mark(2).over(part)})
+    own = stored(own.filter("late OR (size > 1 AND indexed)").drop("late"), "keys")
+    parts = own.groupBy("key", "salt", "size", "indexed", "m1", "m2").agg(F.lit(1))
+    block = parts.groupBy("key").agg(F.sum("size").alias("size"), F.max("indexed").alias("indexed"), F.bit_xor("m1").alias("m1"), F.bit_xor("m2").alias("m2")).filter("size > 1 AND indexed")
     block = stored(block.groupBy("size", "m1", "m2").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("weight")).select("key", "size", "weight"), "block")
-    own = stored(keys.join(block, "key"), "in-blocks")
+    own = stored(own.select("key", "id", "n", "index").join(block, "key"), "in-blocks")
     busy = own.groupBy("id").agg(F.sum("weight").alias("shared"), F.max("n").alias("n")).filter(enough(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR), F.col("shared")))
     return own.join(busy.select("id"), "id", "left_semi")
 
@@ -413,7 +424,7 @@ def _join(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     point = classes.select(F.col("class_id").alias("id"), "n", "counts")
 
     heads = _of(rows, classes.select(F.col("class_id").alias("doc_id")).distinct())
-    blocks = stored(blocks_of(stored(block_keys(heads, frequent), "keys")), "blocks")
+    blocks = stored(blocks_of(block_keys(heads, frequent)), "blocks")
     near = tree_pairs(_dealt(in_tiles(blocks), point), nearest=True).select("a", "b").distinct()
     links = stored(verified(stored(near, "near"), rows), "near-links")
     named = blocks.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
