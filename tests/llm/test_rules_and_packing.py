@@ -159,3 +159,16 @@ def test_rules(spark):
     clean = {r.doc_id: r for r in quality_rules.clean(df).collect()}
     assert clean[5].text == PROSE + "\nAnd so on." and clean[7].text == clean[9].text == PROSE and clean[7].n_chars == len(PROSE) and clean[5]._l == "a"
     assert quality_rules.report(df.limit(0)).count() == 0
+
+
+def test_workers_keep_one_machine():
+    from weftline.llm import common
+
+    common.keep_nothing()
+    made = []
+    for key in ("a", "a", "b", "a"):
+        assert common.kept(key, lambda k=key: made.append(k) or k) == key
+    assert made == ["a", "b", "a"]  # b took the place of a
+    common.keep_nothing()
+    assert common.kept("a", lambda: "new") == "new"
+    common.keep_nothing()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +57,22 @@ def texts_of(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, longest: i
     return rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id", *others).agg(F.min("text").alias("text"))
 
 
+_kept: dict[object, object] = {}
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """In tasks: what make() gives, kept in the Python worker for its next task. A worker keeps one thing at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def keep_nothing() -> None:
+    """In tasks that keep nothing: lets go of what the worker still holds for another operator."""
+    _kept.clear()
+
+
 @contextlib.contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """While it is open, what is executed sends this many rows at most to Python at a time."""

@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from weftline.llm.common import batches_of, scratch, stored
+from weftline.llm.common import batches_of, keep_nothing, scratch, stored
 from weftline.operators.graph import components
 from weftline.llm.shingles import in_steps, mix, shingle_sets
 
@@ -87,6 +87,7 @@ def sketches(rows: DataFrame) -> DataFrame:
     """For each document its set's size, two hashes and group counts; and rows (shingle, seen) for shingles that many documents of a run have."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_nothing()
         held: list[np.ndarray] = []
         n_held = n_docs = 0
 
@@ -130,6 +131,7 @@ def block_keys(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
     late = spark.sparkContext.broadcast(np.sort(frequent))  # MOST_FREQUENT at most
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_nothing()
         last = late.value
         for batch in batches:
             ids, texts = np.asarray(batch.column(0)), batch.column(1).to_pylist()
@@ -271,6 +273,7 @@ def tree_pairs(rows: DataFrame, nearest: bool) -> DataFrame:
         return i, j
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_nothing()
         rest: list[pa.RecordBatch] = []
 
         def found(table: pa.Table) -> pa.RecordBatch:
@@ -325,6 +328,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(own.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_nothing()
         for batch in batches:
             texts_a, texts_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for at, end in in_steps([a + b for a, b in zip(texts_a, texts_b, strict=True)]):

@@ -20,6 +20,8 @@ from array import array
 from collections import ChainMap
 from collections.abc import Callable
 
+from weftline.llm.common import kept
+
 #: Arcs in a generation; runs longer than LONG bytes are given to the tokenizer each time.
 GENERATION = 350_000
 #: Pieces that are held in a generation, of runs that have several.
@@ -110,17 +112,16 @@ class Tokens:
         return out
 
 
-_KEPT: dict[tuple[str, str], Arcs] = {}
-
-
 def arcs(path: str, emit: Callable[[list[int]], object]) -> Arcs:
     """The machine of a tokenizer, kept in the worker process from one task to the next."""
-    key = (path, emit.__name__)
-    if key not in _KEPT:
+
+    def compiled() -> Arcs:
         tokens = Tokens(path)
-        _KEPT[key] = Arcs(tokens.ids, emit, tokens.runs)
-        _KEPT[key].splits = tokens.splits
-    return _KEPT[key]
+        machine = Arcs(tokens.ids, emit, tokens.runs)
+        machine.splits = tokens.splits
+        return machine
+
+    return kept(("arcs", path, emit.__name__), compiled)
 
 
 class Arcs:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import sampled, texts_of
+from weftline.llm.common import keep_nothing, sampled, texts_of
 from weftline.llm.shingles import _powers_to, in_steps, mix
 
 BUCKETS = 1 << 18
@@ -199,6 +199,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_nothing()
         for batch in batches:
             own = sent.value.scores(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.float64()), pa.array((own >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
@@ -213,6 +214,7 @@ def clean(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     at = docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_nothing()
         for batch in batches:
             own = model.value.scores([b"" if x is None else x.encode() for x in batch.column(at).to_pylist()])
             yield batch.filter(pa.array(own < threshold))

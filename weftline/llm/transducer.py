@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from weftline.llm.common import kept
 from weftline.llm.segments import Tokens, byte_letters
 
 #: States in the table at most, and bytes of a chunk.
@@ -319,11 +320,6 @@ class Transducer:
         return data, extra
 
 
-_KEPT: dict[str, Transducer] = {}
-
-
 def transducer(path: str) -> Transducer:
     """The transducer of a tokenizer, kept in the worker process from one task to the next."""
-    if path not in _KEPT:
-        _KEPT[path] = Transducer(path)
-    return _KEPT[path]
+    return kept(("transducer", path), lambda: Transducer(path))
