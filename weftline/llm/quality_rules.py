@@ -15,6 +15,10 @@ like an output are replaced.
 
 from __future__ import annotations
 
+import functools
+import operator
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,6 +68,8 @@ LONG_LINE = 80
 #: A line fails with one symbol, or one double exclamation mark, for at most this many characters.
 CHARS_PER_MARK = 20
 
+#: The longest plain piece of each phrase; a text without any of them in lower case has no boilerplate line.
+BOILERPLATE_PIECES = tuple(max(re.split(r"\[.*?\]", phrase), key=len) for phrase in BOILERPLATE)
 BOILERPLATE_PATTERN = "(?i)(" + "|".join(BOILERPLATE) + ")"
 NAVIGATION_PATTERN = "(?i)^[ \\t\\r]*(" + "|".join(NAVIGATION) + ")[ \\t\\r.:>|]*$"
 
@@ -72,8 +78,13 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, SPACES), lambda w: w != "")
 
 
-def line_fails(line: Column) -> Column:
-    """Punctuation, shouting, navigation and boilerplate rules for one line."""
+def may_be_boilerplate(text: Column) -> Column:
+    """Cheap and never false for a text with a boilerplate line, so that most texts are spared the patterns."""
+    return let(F.lower(text), lambda low: functools.reduce(operator.or_, (F.contains(low, F.lit(p)) for p in BOILERPLATE_PIECES)))
+
+
+def line_fails(line: Column, may_be: Column) -> Column:
+    """Punctuation, shouting, navigation and boilerplate rules for one line of a text with this may_be_boilerplate."""
     size = F.length(line)
     symbols = size - F.length(F.translate(line, SYMBOLS, ""))
     shouts = (size - F.length(F.replace(line, F.lit("!!"), F.lit("")))) / 2
@@ -84,7 +95,7 @@ def line_fails(line: Column) -> Column:
         | (line.rlike("[A-Z]{2}") & ~line.rlike("[a-z]") & (size >= LONG_LINE))
         | line.rlike(SEPARATED)
         | line.rlike(NAVIGATION_PATTERN)
-        | line.rlike(BOILERPLATE_PATTERN)
+        | (may_be & line.rlike(BOILERPLATE_PATTERN))
     )
 
 
@@ -112,12 +123,14 @@ def repeated_words(tokens: Column) -> Column:
         pairs = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(let(F.sort_array(pairs), of_sorted))
 
+    def wider(hashes: Column, by: int) -> Column:
+        """Hashes of windows of 2 * by words from those of `by` words."""
+        return let(hashes, lambda h: F.zip_with(F.slice(h, 1, F.size(h) - by), F.slice(h, by + 1, F.size(h) - by), lambda a, b: F.xxhash64(a, b)))
+
     def windows(ids: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(ids) - WINDOW + 1), lambda i: F.xxhash64(F.slice(ids, i, WINDOW)))
+        return wider(wider(wider(ids, 1), 2), 4)
 
-    return F.when(F.size(tokens) < WINDOW, F.lit(0).cast("long")).otherwise(
-        let(F.transform(tokens, lambda w: F.xxhash64(w)), lambda ids: let(windows(ids), covered))
-    )
+    return F.when(F.size(tokens) < WINDOW, F.lit(0).cast("long")).otherwise(let(windows(F.transform(tokens, lambda w: F.xxhash64(w))), covered))
 
 
 def judge(text: Column) -> Column:
@@ -131,10 +144,10 @@ def judge(text: Column) -> Column:
     def chars(of: Column) -> Column:
         return F.aggregate(of, F.lit(0).cast("long"), lambda total, x: total + F.length(x))
 
-    def by_line(all_lines: Column) -> Column:
+    def by_line(all_lines: Column, may_be: Column) -> Column:
         def of_distinct(once: Column) -> Column:
             return let(
-                F.filter(once, lambda x: ~line_fails(x)),
+                F.filter(once, lambda x: ~line_fails(x, may_be)),
                 lambda good: F.struct(
                     (F.size(all_lines) - F.size(once)).cast("long").alias("n_dup_lines"),
                     (F.size(once) - F.size(good)).cast("long").alias("n_failed_lines"),
@@ -164,7 +177,7 @@ def judge(text: Column) -> Column:
             x["l"]["cleaned"].alias("cleaned"),
         )
 
-    return let(F.struct(let(lines, by_line).alias("l"), let(words(raw), by_word).alias("w")), verdict)
+    return let(F.struct(let(may_be_boilerplate(raw), lambda may_be: let(lines, lambda x: by_line(x, may_be))).alias("l"), let(words(raw), by_word).alias("w")), verdict)
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
