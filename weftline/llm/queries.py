@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import chat_format, decontamination, ngram_join, packing, quality_model, quality_rules, token_counts, toxicity, url_filter, warc
+from weftline.llm import bpe_codec, chat_format, decontamination, merkle, ngram_join, packing, quality_model, quality_rules, spelling, token_counts, toxicity, url_filter, warc
 from weftline.llm.common import table
 
 
@@ -53,6 +53,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, tampered=merkle.tampering(docs)).drop("path")
+
+
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.coded(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -64,6 +77,9 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_bpe_codec": op13_bpe_codec,
 }
 
 ORACLE_SQL = {
@@ -72,4 +88,6 @@ ORACLE_SQL = {
     "op6_chat_formatting": chat_format.ORACLE_SQL,
     "op7_url_filters": url_filter.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_spelling_variants": spelling.ORACLE_SQL,
+    "op12_merkle_manifest": merkle.ORACLE_SQL,
 }

@@ -10,7 +10,11 @@ many tokens the prefix gains (a number below zero takes tokens back that a
 longer one replaces). The end of a piece is a byte of its own, which emits the
 rest. Around the pieces, the pre-tokenizer's pattern and the lower-casing are
 states too: inside letters, inside marks, after an apostrophe that may open a
-contraction, and inside a character of several bytes.
+contraction, and inside a character of several bytes. Characters of any script are
+read like that; what they are, and how they look in lower case, the tokenizer's own
+normaliser and pre-tokenizer say, once for each character. Only runs with characters
+that compose with others, or vanish, are given to the normaliser before they are read,
+and strings of special tokens are replaced by bytes that UTF-8 has not.
 
 States and transitions are determinised when they are first met and held in a
 hash table that is emptied when it has grown to MOST_STATES, so memory is
@@ -24,6 +28,7 @@ Neighbouring maps compose into the map of both.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -44,27 +49,84 @@ _OPENED = {b"r": 4, b"v": 5, b"l": 6}
 #: The contractions of the pre-tokenizer's pattern.
 _SHORT, _LONG = (b"s", b"t", b"m", b"d"), {4: (b"r", b"e"), 5: (b"v", b"e"), 6: (b"l", b"l")}
 _END = 0xFF  # no byte of UTF-8
+_SPECIAL = 0xF8  # nor are these, which stand for special tokens
 _NONE = 0xFFFF
 _ZERO = 1 << 15
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[*_SPACES, *range(0x21, 0x7F), *range(0x80, 0xF8)]] = True
+#: Hangul letters that compose with each other.
+_JAMO = (range(0x1100, 0x1200), range(0xA960, 0xA980), range(0xD7B0, 0xD800))
 
 
-def _characters() -> Iterator[tuple[bytes, str, bytes]]:
-    """Characters of one or two bytes, and General Punctuation, that the normaliser changes in letter case only: bytes, kind (L, N or another), bytes in lower case."""
-    for code in (*range(0x21, 0x7F), *range(0xA1, 0x800), *range(0x2010, 0x2060)):
-        c = chr(code)
-        low = c.lower()
-        if unicodedata.category(c)[0] in "LNPS" and unicodedata.normalize("NFC", c) == c and len(low) == 1 and unicodedata.normalize("NFC", low) == low and low.encode()[0] != 0xCC:
-            if len(low.encode()) == len(c.encode()):
-                yield c.encode(), unicodedata.category(low)[0], low.encode()
-
+class Characters:
+    """What the tokenizer's normaliser and pre-tokenizer make of characters."""
 
-CHARACTERS = {own: (kind, low) for own, kind, low in _characters()}
-_GOOD = np.zeros(1 << 16, bool)  # two bytes, and the last two of three
-for _own in CHARACTERS:
-    if len(_own) > 1:
-        _GOOD[_own[-2] << 8 | _own[-1]] = True
-_PLAIN = np.zeros(256, bool)
-_PLAIN[[*_SPACES, *range(0x21, 0x7F), *range(0x80, 0xC0)]] = True
+    def __init__(self, tokens: Tokens):
+        self.normal, self.pre = tokens.tokenizer.normalizer.normalize_str, tokens.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.special = {x: i for i, x in sorted((i, t.content) for i, t in tokens.tokenizer.get_added_tokens_decoder().items())}
+        self.cut = re.compile("|".join(f"({re.escape(x)})" for x in self.special) or "(?!)")
+        self.ids = list(self.special.values())
+        self.known: dict[bytes, tuple[str, bytes]] = {}
+        self.asked = np.zeros(0x110000, np.int8)  # 1: changes in letter case only, 2: is given to the normaliser
+        self.asked[[*_SPACES]] = 1
+
+    def alone(self, c: str) -> bool:
+        """Whether the normaliser does no more to the character than changing its letter case, whatever stands next to it."""
+        return unicodedata.category(c)[0] in "LNPS" and not unicodedata.combining(c) and not any(ord(c) in x for x in _JAMO) and unicodedata.normalize("NFC", c) == c and len(self.normal(c)) == 1
+
+    def __getitem__(self, char: bytes) -> tuple[str, bytes]:
+        """Kind (L, N, Z for white space, or O) and bytes in lower case."""
+        if (found := self.known.get(char)) is None:
+            c = char.decode("utf-8", "replace")
+            low = self.normal(c) if self.alone(c) else c
+            pieces = [len(self.pre(x + low)) for x in "a!"]
+            letters = "".join(x for x, _ in self.pre("a" + low))
+            kind = "Z" if letters == "a" else "L" if pieces[0] == 1 else "O" if pieces[1] == 1 else "N"
+            if len(self.known) > 1 << 16:
+                self.known.clear()
+            found = self.known[char] = kind, low.encode()
+        return found
+
+    def prepared(self, texts: list[bytes]) -> list[bytes]:
+        """The texts as transitions read them."""
+        joined = b" ".join(texts)
+        data = np.frombuffer(joined, np.uint8)
+        lead = np.flatnonzero(data >= 0xC0)
+        if len(lead):
+            try:
+                joined.decode()
+            except UnicodeDecodeError:
+                return self.prepared([x.decode("utf-8", "replace").encode() for x in texts])
+        odd = np.flatnonzero(~_PLAIN[data])
+        if len(lead):
+            padded = np.append(data, np.zeros(3, np.uint8)).astype(np.int32)
+            first, size = padded[lead], 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+            code = np.where(size == 2, first & 31, np.where(size == 3, first & 15, first & 7))
+            for k in range(1, 4):
+                code = np.where(size > k, code << 6 | padded[lead + k] & 63, code)
+            for c in np.unique(code[self.asked[code] == 0]).tolist():
+                self.asked[c] = 1 if self.alone(chr(c)) else 2
+            odd = np.concatenate([odd[data[odd] < 0xC0], lead[self.asked[code] == 2]])
+        else:
+            odd = odd[data[odd] < 0xC0]
+        if not len(odd) and b"<|" not in joined and not any(x.encode() in joined for x in self.special if "<|" not in x):
+            return texts
+        end = np.cumsum([len(x) + 1 for x in texts])
+        wrong = set(np.searchsorted(end, odd, "right").tolist())
+        return [self._fixed(x.decode()) if i in wrong or any(y.encode() in x for y in self.special) else x for i, x in enumerate(texts)]
+
+    def _fixed(self, text: str) -> bytes:
+        out, at = [], 0
+        for m in self.cut.finditer(text):
+            out += (self._normal(text[at : m.start()]), bytes([_SPECIAL + m.lastindex - 1]))
+            at = m.end()
+        return b"".join([*out, self._normal(text[at:])])
+
+    def _normal(self, text: str) -> bytes:
+        def run(m: re.Match) -> str:
+            return self.normal(m[0]) if any(self.asked[ord(c)] == 2 or c < "!" or c == "\x7f" for c in m[0]) else m[0]
+
+        return re.sub("[^ \t-\r]+", run, text).encode()
 
 
 class Merges:
@@ -88,8 +150,10 @@ class Merges:
         vocab = {own(t): i for t, i in model["vocab"].items() if t not in special}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.model = BPE(vocab=vocab, merges=[(own(a), own(b)) for a, b in pairs])
+        self.pairs = [(vocab[own(a)], vocab[own(b)]) for a, b in pairs]
         self.text = {i: t for t, i in vocab.items()}
         raw = {i: bytes(ord(c) & 0xFF for c in t) + bytes([_END] if ord(t[-1]) > 255 else []) for i, t in self.text.items()}
+        self.raw = raw
         self.ids = {b: i for i, b in raw.items()}
         self.open = {b[:n] for b in self.ids for n in range(len(b))}
 
@@ -102,22 +166,33 @@ class Merges:
 class Transducer:
     """next state and emitted count for arrays of states and bytes."""
 
+    nothing: object = 0  # what a transition emits that emits nothing
+    begin: object = array("H", [0, _NONE, _ZERO]).tobytes()
+    closed: object = b""
+
     def __init__(self, path: str, most_states: int = MOST_STATES):
         self.tokens = Tokens(path)
         self.most = most_states
-        if self.tokens.splits:
-            self.merges = Merges(self.tokens)
-            self._begin = array("H", [0, _NONE, _ZERO]).tobytes()
+        self.splits = self.tokens.splits and len(self.tokens.tokenizer.get_added_tokens_decoder()) <= _END - _SPECIAL
+        if self.splits:
+            self.merges, self.characters = Merges(self.tokens), Characters(self.tokens)
             self.forget()
 
+    def coded(self, emitted) -> int:
+        """What stands for it in the table of transitions, 0 for nothing."""
+        return emitted
+
+    def special(self, number: int):
+        return 1
+
     def forget(self) -> None:
-        self.number: dict[tuple, int] = {(_BETWEEN, b"", b"", b""): 0}
+        self.number: dict[tuple, int] = {(_BETWEEN, b"", b"", self.closed): 0}
         self.states: list[tuple] = list(self.number)
         self.used = 0
         self._room(1 << 16)
 
     def _room(self, size: int) -> None:
-        self.keys, self.next, self.emits = np.full(size, -1, np.int64), np.zeros(size, np.int32), np.zeros(size, np.int16)
+        self.keys, self.next, self.emits = np.full(size, -1, np.int64), np.zeros(size, np.int32), np.zeros(size, np.int32)
         self.shift = np.uint64(64 - (size.bit_length() - 1))
 
     def _slots(self, key: np.ndarray) -> np.ndarray:
@@ -141,9 +216,10 @@ class Transducer:
         return self.next[slot], self.emits[slot]
 
     def _compile(self, keys: np.ndarray) -> None:
-        to, emitted = np.zeros(len(keys), np.int32), np.zeros(len(keys), np.int16)
+        to, emitted = np.zeros(len(keys), np.int32), np.zeros(len(keys), np.int32)
         for i, key in enumerate(keys.tolist()):
-            after, emitted[i] = self._after(self.states[key >> 8], key & 255)
+            after, out = self._after(self.states[key >> 8], key & 255)
+            emitted[i] = self.coded(out)
             if (n := self.number.get(after)) is None:
                 n = self.number[after] = len(self.states)
                 self.states.append(after)
@@ -168,35 +244,40 @@ class Transducer:
 
     # one transition: a state is (kind, bytes of an open character, open part of the piece, places in it)
 
-    def _after(self, state: tuple, byte: int) -> tuple[tuple, int]:
+    def _after(self, state: tuple, byte: int) -> tuple[tuple, object]:
         kind, lead, part, places = state
+        if byte >= _SPECIAL:
+            n = self._character(kind, part, places, "Z", b"")[1]
+            return self.states[0], n + self.special(byte - _SPECIAL)
         char = lead + bytes([byte])
         if byte >= 0xC0:
-            return (kind, char, part, places), 0
-        if byte >= 0x80 and (not lead or (lead[0] >= 0xE0 and len(char) < 3)):
-            # a chunk that begins inside a character is evaluated from here for the time being
-            return ((kind, char, part, places) if lead else self.states[0]), 0
-        if byte < 0x80:
+            return (kind, bytes([byte]), part, places), self.nothing
+        if byte >= 0x80:
+            if not lead:  # a chunk that begins inside a character is evaluated from here for the time being
+                return self.states[0], self.nothing
+            if len(char) < 2 + (lead[0] >= 0xE0) + (lead[0] >= 0xF0):
+                return (kind, char, part, places), self.nothing
+        else:
             char = bytes([byte])
-        sort, low = ("Z", b"") if char in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r") else CHARACTERS.get(char, ("Z", b""))
-        return self._character(kind, part, places, sort, low)
+        return self._character(kind, part, places, *(("Z", b"") if byte in _SPACES else self.characters[char]))
 
-    def _character(self, kind: int, part: bytes, places: bytes, sort: str, low: bytes) -> tuple[tuple, int]:
-        n = 0
+    def _character(self, kind: int, part: bytes, places, sort: str, low: bytes) -> tuple[tuple, object]:
+        n = self.nothing
         if kind >= _APOSTROPHE:
             opened = _LONG.get(kind, (b"", b""))
             if kind == _APOSTROPHE and low in _SHORT or kind != _APOSTROPHE and low == opened[1]:
                 return self.states[0], self._piece(b"'" + opened[0] + low)
             if kind == _APOSTROPHE and low in _OPENED:
-                return (_OPENED[low], b"", b"", b""), 0
-            if kind == _APOSTROPHE and sort not in "LNZ":
-                kind, (part, places, n) = _MARKS, self._read(b"", self._begin, b"'")
+                return (_OPENED[low], b"", b"", self.closed), self.nothing
+            if kind == _APOSTROPHE and sort == "O":
+                kind, (part, places, n) = _MARKS, self._read(b"", self.begin, b"'")
             elif kind == _APOSTROPHE:
                 kind, n = _BETWEEN, self._piece(b"'")
             else:
-                kind, (part, places, n) = _LETTERS, self._read(b"", self._begin, opened[0])
-                n += self._piece(b"'")
-        if kind == _LETTERS and sort == "L" or kind == _MARKS and sort not in "LNZ":
+                n = self._piece(b"'")
+                kind, (part, places, more) = _LETTERS, self._read(b"", self.begin, opened[0])
+                n += more
+        if kind == _LETTERS and sort == "L" or kind == _MARKS and sort == "O":
             part, places, more = self._read(part, places, low)
             return (kind, b"", part, places), n + more
         if kind != _BETWEEN:
@@ -206,12 +287,12 @@ class Transducer:
         if sort == "N":
             return self.states[0], n + self._piece(low)
         if low == b"'":
-            return (_APOSTROPHE, b"", b"", b""), n
-        part, places, more = self._read(b"", self._begin, low)
+            return (_APOSTROPHE, b"", b"", self.closed), n
+        part, places, more = self._read(b"", self.begin, low)
         return (_LETTERS if sort == "L" else _MARKS, b"", part, places), n + more
 
-    def _piece(self, whole: bytes) -> int:
-        return self._read(b"", self._begin, whole + bytes([_END]))[2]
+    def _piece(self, whole: bytes):
+        return self._read(b"", self.begin, whole + bytes([_END]))[2]
 
     def _read(self, part: bytes, places: bytes, more: bytes) -> tuple[bytes, bytes, int]:
         """The open part and its places after more bytes of the piece, and the tokens that are gained. A place is its
@@ -271,13 +352,13 @@ class Transducer:
 
     def counts(self, texts: list[bytes], chunk: int = CHUNK) -> np.ndarray:
         """The number of tokens of each text, by composing the maps of its chunks pairwise."""
-        if not self.tokens.splits:
+        if not self.splits:
             return np.array([len(x) for x in self.tokens.ids(texts)], np.int64)
         if len(self.states) > self.most:
             self.forget()
+        texts = self.characters.prepared(texts)
         data = np.frombuffer(b"".join(t + b" " for t in texts), np.uint8)
         end = np.cumsum([len(t) + 1 for t in texts])
-        data, extra = self._without_others(data, end)
         first = np.append(0, end[:-1])
         n = -(-(end - first) // chunk)
         text = np.repeat(np.arange(len(texts)), n)
@@ -295,29 +376,7 @@ class Transducer:
             keep = np.ones(len(text), bool)
             keep[right] = False
             text, start, stop, exits, total = (x[keep] for x in (text, start, stop, exits, total))
-        return total + extra
-
-    def _without_others(self, data: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Runs between white space with characters that have no transitions (the normaliser may compose or replace them), or
-        with a special token's string, are counted by the library and blanked: data, and their tokens in each text."""
-        after = np.append(data[1:], 0)
-        wide = data >= 0xC0
-        good = wide & (data < 0xE0) & _GOOD[data.astype(np.int64) << 8 | after]
-        three = np.flatnonzero((data == 0xE2) & (after == 0x80))
-        good[three] = _GOOD[after[three].astype(np.int64) << 8 | data[np.minimum(three + 2, len(data) - 1)]]
-        bad = np.flatnonzero(~(_PLAIN[data] | good) | ((data == 0x3C) & (after == 0x7C)))
-        extra = np.zeros(len(end), np.int64)
-        if not len(bad):
-            return data, extra
-        space = np.flatnonzero(np.isin(data, np.frombuffer(_SPACES, np.uint8)))
-        run = np.unique(np.searchsorted(space, bad))
-        start, stop = np.where(run > 0, space[run - 1] + 1, 0), space[run]
-        n = [len(x) for x in self.tokens.ids([data[a:b].tobytes() for a, b in zip(start, stop, strict=True)])]
-        np.add.at(extra, np.searchsorted(end, start, "right"), n)
-        data = data.copy()
-        size = stop - start
-        data[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))] = 32
-        return data, extra
+        return total
 
 
 def transducer(path: str) -> Transducer:
