@@ -6,11 +6,13 @@ import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SCRATCH: list[list[str]] = []
+#: The tables of the open scratches of this thread or task, outermost first.
+_SCRATCH: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,8 +33,8 @@ def stored(df: DataFrame, what: str = "graph") -> DataFrame:
     """Write a table to the shared folder and read it back: it cuts the lineage and outlives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    if _SCRATCH:
-        _SCRATCH[-1].append(path)
+    if open_ := _SCRATCH.get():
+        open_[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -41,23 +43,28 @@ def stored(df: DataFrame, what: str = "graph") -> DataFrame:
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Tables that are stored while it is open are removed at its end; what it gives, keep(table, name), stores one that stays."""
     own: list[str] = []
-    _SCRATCH.append(own)
+    around = _SCRATCH.get()
+    mark = _SCRATCH.set((*around, own))
 
     def keep(df: DataFrame, what: str) -> DataFrame:
         out = stored(df, what)
         path = own.pop()
-        if len(_SCRATCH) > 1:  # it stays as long as what is stored around it
-            _SCRATCH[-2].append(path)
+        if around:  # it stays as long as what is stored around it
+            around[-1].append(path)
         return out
 
     try:
         yield keep
     finally:
-        _SCRATCH.remove(own)
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        _SCRATCH.reset(mark)
         for path in own:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+            removed(spark, path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table or folder, wherever it is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def symmetric(edges: DataFrame, a: str, b: str) -> DataFrame:
