@@ -8,12 +8,10 @@ packing into training sequences. Each stage reads all that its predecessor kept.
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 
 from weftline.llm import decontamination, ngram_join, packing, quality_rules, toxicity
-from weftline.llm.common import stored, table
+from weftline.llm.common import scratch, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +47,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage; each stage is written to the shared folder and read back by the next."""
-
-    def step(docs: DataFrame, stage: tuple) -> DataFrame:
-        return stored(stage[1](spark, docs, sf_dir), "stage")
-
-    return functools.reduce(step, STAGES, table(spark, sf_dir, "documents"))
+    """The rows of the last stage; each stage is written to the shared folder and read back by the next. Only the last one's stay there."""
+    docs = table(spark, sf_dir, "documents")
+    with scratch(spark) as keep_last:
+        for _, stage in STAGES[:-1]:
+            with scratch(spark) as keep:
+                docs = keep(stage(spark, docs, sf_dir), "stage")
+        return keep_last(STAGES[-1][1](spark, docs, sf_dir), "stage")

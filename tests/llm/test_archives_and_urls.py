@@ -184,6 +184,16 @@ def test_rows_go_through_all_layouts(spark):
     assert len({r.fingerprint for r in rows}) >= 4
 
 
+def test_roles_stay_as_they_are(spark):
+    import hashlib
+
+    said = [("human", "hi"), ("gpt", "ho"), ("bot", "x"), (None, "y"), ("assistant", "z"), ("user", "<s>")]
+    rows = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(said)], "conv_id long, turn int, role string, text string")
+    got = chat_format.digests(chat_format.segments(chat_format.of_rows(rows))).first()
+    assert got["turns_sha256"] == hashlib.sha256("".join(f"{r or ''}\n{t}\n" for r, t in said).encode()).hexdigest()
+    assert (got["n_turns"], got["loss_chars"], got["loss_sha256"]) == (6, 1, hashlib.sha256(b"z").hexdigest())
+
+
 def test_digests(spark):
     rows = [*chat_format.ADDED, (1, 1, "assistant", None), (1, 0, "user", "hé\\"), (1, 0, "user", "hé\\"), (2, None, None, "x"), (3, 0, "assistant", "long " * 50_000), (None, 0, "assistant", "y")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, n int")

@@ -111,3 +111,12 @@ def test_shingles_are_distinct_sets():
     for h in sets.tolist():
         counts[h] += 1
     assert max(counts.values()) == 2  # `a b c d e` in two texts
+
+
+def test_of_rows_that_repeat_an_id_the_least_text_stays(spark):
+    rows = [(1, "b", "x", 1), (1, "a", "y", 2), (1, "a", "x", 2), (2, "c", "z", 1), (2, None, "z", 1), (None, "b", "q", 1), (None, "b", "q", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, component_id int")
+    for n in (1, 5):
+        got = ngram_join.clean(docs.repartition(n))
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [(1, "a", "x", 2), (2, None, "z", 1), (None, "b", "q", 1), (None, "b", "q", 1)]))
+        assert got.columns == docs.columns

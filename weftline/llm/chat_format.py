@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 
 class Mapping(NamedTuple):
     """Fields of a layout. each: the list that holds the messages, or "" for a record that is a message itself, with the
-    fields of role and text; or turns: (role, fields whose texts are joined by an empty line)."""
+    fields of role and text; or turns: (role, fields whose texts are joined by an empty line). renames: whether ROLES holds
+    for its roles; else they stay as they are."""
 
     name: str
     required: tuple[str, ...]
@@ -46,13 +47,14 @@ class Mapping(NamedTuple):
     role: str = ""
     text: str = ""
     turns: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    renames: bool = False
 
 
 MAPPINGS = (
     Mapping("message row", (), ("role", "text"), each="", role="role", text="text"),
     Mapping("message row, content", ("content",), ("role",), each="", role="role", text="content"),
     Mapping("messages", ("messages", "messages[].role"), ("messages[].content",), each="messages", role="role", text="content"),
-    Mapping("from and value", ("conversations", "conversations[].from"), ("conversations[].value",), each="conversations", role="from", text="value"),
+    Mapping("from and value", ("conversations", "conversations[].from"), ("conversations[].value",), each="conversations", role="from", text="value", renames=True),
     Mapping("instruction", ("instruction", "output"), ("input", "system"), turns=(("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",)))),
     Mapping("prompt and completion", ("prompt", "completion"), ("system",), turns=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("completion",)))),
     Mapping("prompt and response", ("prompt", "response"), ("system",), turns=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",)))),
@@ -107,7 +109,7 @@ def turns_of(record: dict, mapping: Mapping) -> list[tuple[str, str]]:
     if not isinstance(messages, list) or not all(isinstance(m, dict) for m in messages):
         raise TypeError("not a list of messages")
     own = [(_text(m.get(mapping.role)), _text(m.get(mapping.text))) for m in messages]
-    return [(ROLES.get(r, r), t) for r, t in own]
+    return [(ROLES.get(r, r), t) for r, t in own] if mapping.renames else own
 
 
 def read(raw: str | None, known: dict[str, Mapping]) -> tuple[str, list[tuple[str, str]] | None]:
@@ -229,7 +231,8 @@ ADDED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[IN
 
 
 def of_rows(conversations: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) as records, in turns in one of four layouts; rows without a common role in the first."""
+    """Rows (conv_id, turn, role, text) as records, in turns in one of four layouts; rows without a common role in the first,
+    which keeps every role as it is."""
     message = F.array(F.struct("role", F.col("text").alias("content")))
     said = F.array(F.struct(F.col("role").alias("from"), F.col("text").alias("value")))
     plain = F.to_json(F.struct("role", "text"))

@@ -449,9 +449,12 @@ def _join(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group of linked ones, that with the smallest id; of rows that repeat an id, one. Rows without an id stay."""
+    """One document of each group of linked ones, that with the smallest id. Of rows that repeat an id the one with the least
+    text (by bytes, null first) stays, and of those the least by its other columns, as JSON. Rows without an id stay."""
     kept = join(docs, doc_id, text).filter("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    named = docs.filter(F.col(doc_id).isNotNull()).join(kept, doc_id, "left_semi").dropDuplicates([doc_id])
+    named = docs.filter(F.col(doc_id).isNotNull()).join(kept, doc_id, "left_semi")
+    least = F.struct(F.col(text).cast("binary").alias("t"), F.to_json(F.struct(*(F.col(c) for c in docs.columns if c not in (doc_id, text)), F.lit(0).alias("_"))).alias("o"))
+    named = named.groupBy(doc_id).agg(F.min_by(F.struct(*docs.columns), least).alias("_row")).select("_row.*")
     return named.unionByName(docs.filter(F.col(doc_id).isNull())).select(*docs.columns)
 
 

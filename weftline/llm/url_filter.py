@@ -23,7 +23,7 @@ results; an empty table gives an empty table; other columns are not looked at.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import stored
+from weftline.llm.common import scratch, stored
 
 #: Bytes that the filters of one list may take, and levels of a cascade.
 MAX_BYTES = 64 << 20
@@ -181,6 +181,11 @@ def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, page_id: str =
 
     rules are few and given in full; listed (column key) may be long.
     """
+    with scratch(pages.sparkSession) as keep:
+        return _judged(pages, rules, listed, page_id, url, max_bytes, max_shapes, keep)
+
+
+def _judged(pages: DataFrame, rules: list[Rule], listed: DataFrame, page_id: str, url: str, max_bytes: int, max_shapes: int, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     spark = pages.sparkSession
     kind = pages.schema[page_id].dataType.simpleString()
     urls = pages.select(pages[page_id].alias("page_id"), host_of(pages[url]).alias("host"), path_of(pages[url]).alias("path"), F.lit(False).alias("listed"))
@@ -196,7 +201,7 @@ def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, page_id: str =
 
         urls = urls.mapInArrow(mark, f"page_id {kind}, host string, path string, listed boolean")
         if len(parts) > 1:
-            urls = stored(urls, "marked")
+            urls = keep(urls, "marked")
     shapes = sorted({shape(r.key) for r in rules})
     corpus = stored(corpus_keys(urls, shapes), "keys")
     cascades = {v: compiled(spark.createDataFrame([(r.key,) for r in rules if r.verdict == v], "key string"), corpus) for v in ("block", "allow")}

@@ -31,7 +31,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 from urllib.parse import quote
 
@@ -40,7 +40,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import shared_dir, stored
+from weftline.llm.common import scratch, shared_dir, stored
+from weftline.operators.graph import removed
 
 #: Compressed bytes after which a new archive is begun; rows of payloads of at least LEAST bytes can be revisits.
 ARCHIVE_BYTES = 16 << 20
@@ -280,7 +281,13 @@ def read_archives(spark: SparkSession, paths: str | list[str], with_payload: boo
 
 
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
-    """Write the pages as archives into the shared folder, and read those back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    """Write the pages as archives into the shared folder, and read those back: page_id, payload_bytes, payload_digest, record_type, refers_to.
+    Only that table stays; the archives are removed once it is written."""
+    with scratch(pages.sparkSession) as keep:
+        return _round_trip(pages, page_id, url, payload, keep)
+
+
+def _round_trip(pages: DataFrame, page_id: str, url: str, payload: str, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     spark = pages.sparkSession
     folder = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     kind = pages.schema[page_id].dataType.simpleString()
@@ -289,7 +296,9 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", pay
         return spark.createDataFrame([], f"page_id {kind}, payload_bytes long, payload_digest string, record_type string, refers_to {kind}")
     back = read_archives(spark, folder, with_payload=False).filter("gap IS NULL")
     number = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(.*)>$", 1), F.lit("")).cast(kind)
-    return back.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+    out = keep(back.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to")), "warc-records")
+    removed(spark, folder)
+    return out
 
 
 #: Base32 of a SHA-1: 5 hexadecimal digits make 4 characters.
