@@ -84,12 +84,6 @@ def plural_aliases_removed(aliases: Column) -> Column:
     return F.filter(aliases, lambda a: ~(a.endswith("s") & F.array_contains(aliases, F.substring(a, F.lit(1), F.length(a) - 1))))
 
 
-def ensured(nodes: DataFrame, asked: DataFrame, mapping: DataFrame, name: str = "name", gender: str = "gender") -> DataFrame:
-    """Nodes (key, name, gender) with a row for each asked name whose key isn't there, by alias or its own; the first gender that is known."""
-    own = resolved(asked, name, mapping).groupBy("key").agg(F.min(name).alias(name), F.coalesce(F.min(F.when(F.col(gender) != "Unknown", F.col(gender))), F.lit("Unknown")).alias(gender))
-    return nodes.select("key", name, gender).unionByName(own.join(nodes.select("key"), "key", "left_anti").select("key", name, gender))
-
-
 def first_known(members: DataFrame, index: DataFrame, key: str, names: str) -> DataFrame:
     """key and id of each member: the id of the first of its names (an array, the name before its aliases) that the index (word,
     id, ord) has; of several ids of one word the first one. Null if it has none."""

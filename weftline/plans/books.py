@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from weftline.functions import text as T
-from weftline.operators import assemble, docparse, entities, extract, footnotes, fuzzy, graph, mentions, search, segments
+from weftline.operators import assemble, docparse, entities, extract, footnotes, fuzzy, graph, mentions, people, search, segments
 from weftline.plans.catalogue import _KM, _LINES, _NAMES, _POINTS, _REF_RUNS, _RUNS, _TREE, _counted, _groups, _lines, _names, _tree, long, query
 from weftline.session import table
 from weftline.sources import books
@@ -450,15 +450,23 @@ def type_counts(spark, sf):
 
 
 @query(
-    """WITH n AS (SELECT lower(n_name) AS key, n_name AS name, 'Unknown' AS gender FROM nation WHERE n_nationkey < 10), a AS (SELECT lower(n_name) AS key, n_name AS name, CASE n_nationkey % 3 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' ELSE 'Unknown' END AS gender FROM nation)
-SELECT * FROM n UNION ALL SELECT * FROM a WHERE key NOT IN (SELECT key FROM n)"""
+    """WITH n AS (SELECT lower(n_name) AS key, n_name AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'Unknown' ELSE 'Female' END AS gender FROM nation WHERE n_nationkey < 10),
+m AS (SELECT 'nation_' || n_nationkey AS alias_key, lower(n_name) AS key FROM nation WHERE n_nationkey < 10),
+a AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'Nation ' || c_nationkey ELSE n_name END AS name, CASE c_custkey % 5 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' ELSE 'Unknown' END AS gender, c_custkey AS ord FROM customer JOIN nation ON c_nationkey = n_nationkey),
+r AS (SELECT coalesce(m.key, replace(lower(name), ' ', '_')) AS key, a.*, m.key IS NOT NULL AS by_alias FROM a LEFT JOIN m ON m.alias_key = replace(lower(name), ' ', '_')),
+g AS (SELECT key, arg_min(gender, ord) FILTER (gender <> 'Unknown') AS gender, arg_min(name, ord) FILTER (NOT by_alias) AS name FROM r GROUP BY key)
+SELECT coalesce(n.key, g.key) AS key, coalesce(n.name, g.name) AS name, CASE WHEN n.gender <> 'Unknown' THEN n.gender ELSE coalesce(g.gender, 'Unknown') END AS gender
+FROM n FULL JOIN g ON n.key = g.key WHERE coalesce(n.name, g.name) IS NOT NULL"""
 )
 def ensured_nodes(spark, sf):
-    k, name = F.col("n_nationkey"), F.col("n_name").alias("name")
-    nation = table(spark, sf, "nation")
-    nodes = nation.filter("n_nationkey < 10").select(F.lower("n_name").alias("key"), name, F.lit("Unknown").alias("gender"))
-    asked = nation.select(name, F.when(k % 3 == 0, "Male").when(k % 3 == 1, "Female").otherwise("Unknown").alias("gender"))
-    return entities.ensured(nodes, asked, spark.createDataFrame([], "alias_key string, key string"))
+    key, nation = F.col("n_nationkey"), table(spark, sf, "nation")
+    first = nation.filter("n_nationkey < 10")
+    nodes = first.select(F.lower("n_name").alias("key"), F.col("n_name").alias("name"), F.when(key % 2 == 0, "Unknown").otherwise("Female").alias("gender"))
+    mapping = first.select(F.concat(F.lit("nation_"), key.cast("string")).alias("alias_key"), F.lower("n_name").alias("key"))
+    k, rows = F.col("c_custkey"), table(spark, sf, "customer").join(nation, F.col("c_nationkey") == key)
+    name = F.when(k % 2 == 0, F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string"))).otherwise(F.col("n_name"))
+    asked = rows.select(name.alias("name"), F.when(k % 5 == 0, "Male").when(k % 5 == 1, "Female").otherwise("Unknown").alias("gender"), k.alias("ord"))
+    return people.ensured(nodes, asked, mapping)
 
 
 @query(f"SELECT key, CASE WHEN father IS NULL THEN '' WHEN father = key % 10 THEN father::VARCHAR ELSE father || ',' || key % 10 END AS spouses FROM ({_TREE})")
