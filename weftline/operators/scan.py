@@ -59,3 +59,21 @@ def with_previous(df: DataFrame, group: Sequence[str], order: Sequence[str], col
     rows = rows.withColumn("_before_", F.lag(F.struct(column)).over(inside))
     out = rows.join(edge, _same(rows, edge, group))
     return out.select(*df.columns, F.coalesce("_before_", "_edge_")[column].alias(previous))
+
+
+def out_of_order(df: DataFrame, group: Sequence[str], order: Sequence[str], number: str) -> DataFrame:
+    """Rows whose number isn't their place (from 1) in the group; expected has the place."""
+    out = ranked(df, group, order, "expected", "_size").drop("_size")
+    return out.withColumn("expected", F.col("expected") + 1).filter(F.col(number) != F.col("expected"))
+
+
+def steps_back(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+    """Rows whose value is below that of the row before; previous has that."""
+    return with_previous(df, group, order, value).filter(F.col(value) < F.col("previous"))
+
+
+def zipped(left: DataFrame, right: DataFrame, group: Sequence[str], left_order: Sequence[str], right_order: Sequence[str]) -> DataFrame:
+    """Row by row: the n-th of a group with the n-th of the other's (groups aren't null); the left one's rows all stay. position counts from 1."""
+    place = (F.col("position") + 1).alias("position")
+    a, b = (ranked(df, group, order).drop("size").withColumn("position", place) for df, order in ((left, left_order), (right, right_order)))
+    return a.join(b, [*group, "position"], "left")

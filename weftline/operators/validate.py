@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import text as T
-from weftline.operators import segments
+from weftline.operators import scan
 
 
 def missing_refs(check: str, rows: DataFrame, source_id: str, ref: str, targets: DataFrame, key: str) -> DataFrame:
@@ -18,14 +18,15 @@ def missing_refs(check: str, rows: DataFrame, source_id: str, ref: str, targets:
 
 
 def not_continuous(check: str, rows: DataFrame, source_id: str, order: str, number: str) -> DataFrame:
-    """One violation if the numbers, in order, aren't 1, 2, 3 and so on. Orders are timelines of one book."""
-    bad = segments.out_of_order(rows.withColumn("_all", F.lit(0)), ["_all"], [order], number)
+    """One violation if the numbers, in order, aren't 1, 2, 3 and so on. The order is that of the whole table, by a prefix scan."""
+    bad = scan.out_of_order(rows, [], [order], number)
     first = bad.agg(F.min(F.struct(F.col(order), F.col(source_id).cast("string").alias("i"), F.col(number).cast("string").alias("n"))).alias("x")).filter("x IS NOT NULL")
     return first.select(F.lit(check).alias("check"), F.col("x.i").alias("source_id"), F.col("x.n").alias("ref"))
 
 
 def not_monotonic(check: str, rows: DataFrame, source_id: str, order: str, value: str) -> DataFrame:
-    bad = segments.steps_back(rows.withColumn("_all", F.lit(0)), ["_all"], [order], value)
+    """A violation for each row whose value is below that of the row before, in the order of the whole table, by a prefix scan."""
+    bad = scan.steps_back(rows, [], [order], value)
     return bad.select(F.lit(check).alias("check"), F.col(source_id).cast("string").alias("source_id"), F.col(value).cast("string").alias("ref"))
 
 

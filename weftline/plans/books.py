@@ -4,6 +4,7 @@ no book, so texts and blocks are made of their keys, in the same way by Spark an
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from weftline.functions import text as T
 from weftline.operators import assemble, docparse, entities, extract, footnotes, fuzzy, graph, mentions, people, search, segments
 from weftline.plans.catalogue import _KM, _LINES, _NAMES, _POINTS, _REF_RUNS, _RUNS, _TREE, _counted, _groups, _lines, _names, _tree, long, query
 from weftline.session import table
-from weftline.sources import books
+from weftline.sources import books, json_object
 
 #: Names in templates: letters of a key, for four remainders of it.
 _PARTS = {"A": "k % 97", "B": "k * 7 % 31", "C": "k % 13", "D": "k * 3 % 53"}
@@ -489,3 +490,15 @@ def character_documents(spark, sf):
     return out.select("key", text.alias("children"), "grandfather", "great_grandfather")
 
 
+
+
+@query("SELECT '@' || c_custkey AS id, c_name, c_nationkey, c_mktsegment FROM customer")
+def json_written(spark, sf):
+    """The customers written as one JSON object, in parts by ranges of ids, and read back."""
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    path = f"{graph.shared_folder(spark).rstrip('/')}/object-{uuid.uuid4().hex}"
+    json_object.write(assemble.as_json(rows, "c_custkey"), path)
+    with graph.scratch(spark) as keep:
+        out = keep(json_object.read(spark, path, "struct<c_name:string,c_nationkey:bigint,c_mktsegment:string>").select("id", "record.*"), "customers")
+    graph.removed(spark, path)
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from weftline.functions import text as T
-from weftline.operators import assemble, entities, footnotes, fuzzy, graph, mentions, search, segments, validate
+from weftline.operators import assemble, entities, footnotes, fuzzy, graph, mentions, scan, search, segments, validate
 from weftline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -314,12 +314,22 @@ SELECT o.part, o.position, o_orderkey, c_name FROM o LEFT JOIN c ON o.part = c.p
 def positional_zip(spark, sf):
     o = table(spark, sf, "orders").select((F.col("o_custkey") % 10).alias("part"), "o_orderkey")
     c = table(spark, sf, "customer").select((F.col("c_custkey") % 10).alias("part"), "c_custkey", "c_name")
-    return segments.positional_zip(o, c, ["part"], ["o_orderkey"], ["c_custkey"]).select("part", "position", "o_orderkey", "c_name")
+    return scan.zipped(o, c, ["part"], ["o_orderkey"], ["c_custkey"]).select("part", "position", "o_orderkey", "c_name")
 
 
 @query("SELECT event_type, event_id, expected FROM (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS expected FROM events) WHERE event_id <> expected")
 def order_continuity(spark, sf):
-    return segments.out_of_order(table(spark, sf, "events"), ["event_type"], ["ts", "event_id"], "event_id").select("event_type", "event_id", "expected")
+    return scan.out_of_order(table(spark, sf, "events"), ["event_type"], ["ts", "event_id"], "event_id").select("event_type", "event_id", "expected")
+
+
+@query(
+    """WITH v AS (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS place, value, lag(value) OVER (ORDER BY ts, event_id) AS previous FROM events)
+SELECT 'monotonic' AS "check", event_id::VARCHAR AS source_id, value::VARCHAR AS ref FROM v WHERE value < previous
+UNION ALL (SELECT 'continuous', event_id::VARCHAR, event_id::VARCHAR FROM v WHERE event_id <> place ORDER BY place LIMIT 1)"""
+)
+def timeline_order(spark, sf):
+    events = table(spark, sf, "events").withColumn("at", F.struct("ts", "event_id"))
+    return validate.not_monotonic("monotonic", events, "event_id", "at", "value").unionByName(validate.not_continuous("continuous", events, "event_id", "at", "event_id"))
 
 
 @query("SELECT user_id, event_id, value, previous FROM (SELECT user_id, event_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events) WHERE value < previous")
