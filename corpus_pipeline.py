@@ -14,6 +14,10 @@ from weftline.llm import decontamination, ngram_join, packing, quality_rules, to
 from weftline.llm.common import scratch, table
 
 
+#: Arcs of a generation of the token machine: executors still hold what earlier stages took, so fewer than in a job of its own.
+ARCS_HELD = 100_000
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.clean(docs)
 
@@ -31,7 +35,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, arcs_held=ARCS_HELD)
 
 
 STAGES = [

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,14 +66,19 @@ _kept: dict[object, object] = {}
 def kept(key: object, make: Callable[[], object]) -> object:
     """In tasks: what make() gives, kept in the Python worker for its next task. A worker keeps one thing at a time."""
     if key not in _kept:
-        _kept.clear()
+        keep_nothing()
         _kept[key] = make()
     return _kept[key]
 
 
 def keep_nothing() -> None:
-    """In tasks that keep nothing: lets go of what the worker still holds for another operator."""
+    """In tasks that keep nothing: lets go of what the worker still holds for another operator, and gives free memory back
+    to the system, which other processes of the executor need."""
     _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 @contextlib.contextmanager

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.segments import arcs, as_bytes, default_tokenizer
+from weftline.llm.segments import GENERATION, arcs, as_bytes, default_tokenizer
 
 #: Limits of a sequence, and pieces that are at hand at once.
 MAX_TOKENS = 2048
@@ -141,15 +141,16 @@ class Packer:
         return taken
 
 
-def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, tokens: int = MAX_TOKENS, segments: int = MAX_SEGMENTS, loss: int = MAX_LOSS, loss_share: Column | None = None, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, tokens: int = MAX_TOKENS, segments: int = MAX_SEGMENTS, loss: int = MAX_LOSS, loss_share: Column | None = None, with_ids: bool = False, arcs_held: int = GENERATION) -> DataFrame:
     """One row for each piece of each document: where it comes from, where it lies, and how many of its tokens bear loss;
-    with_ids adds its token ids. loss_share is the share of each example's tokens that bear loss, from its end (null: none)."""
+    with_ids adds its token ids. loss_share is the share of each example's tokens that bear loss, from its end (null: none).
+    arcs_held bounds what a worker keeps of the token machine; fewer take less memory and more time."""
     path = tokenizer or default_tokenizer()
     kind = docs.schema[doc_id].dataType.simpleString()
     fields = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long" + ", ids binary" * with_ids
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, packer = arcs(path, as_bytes), Packer(tokens, segments, loss)
+        machine, packer = arcs(path, as_bytes, arcs_held), Packer(tokens, segments, loss)
         number = TaskContext.get().partitionId() << 36
         end, rows = as_bytes([END]), []
 

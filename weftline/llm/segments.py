@@ -112,16 +112,16 @@ class Tokens:
         return out
 
 
-def arcs(path: str, emit: Callable[[list[int]], object]) -> Arcs:
-    """The machine of a tokenizer, kept in the worker process from one task to the next."""
+def arcs(path: str, emit: Callable[[list[int]], object], size: int = GENERATION) -> Arcs:
+    """The machine of a tokenizer, kept in the worker process from one task to the next; size bounds the arcs of a generation."""
 
     def compiled() -> Arcs:
         tokens = Tokens(path)
-        machine = Arcs(tokens.ids, emit, tokens.runs)
+        machine = Arcs(tokens.ids, emit, tokens.runs, size)
         machine.splits = tokens.splits
         return machine
 
-    return kept(("arcs", path, emit.__name__), compiled)
+    return kept(("arcs", path, emit.__name__, size), compiled)
 
 
 class Arcs:
