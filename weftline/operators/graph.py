@@ -29,13 +29,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
-def stored(df: DataFrame, what: str = "graph") -> DataFrame:
+def stored(df: DataFrame, what: str = "graph", write: Callable[[DataFrame, str], None] | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: it cuts the lineage and outlives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
     if open_ := _SCRATCH.get():
         open_[-1].append(path)
-    df.write.parquet(path)
+    (write or (lambda d, to: d.write.parquet(to)))(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -117,14 +117,20 @@ LEFT JOIN (SELECT c.key, string_agg(DISTINCT alias, ',' ORDER BY alias) AS alias
 LEFT JOIN duty d ON d.key = g.key LEFT JOIN kings q ON q.key = g.key"""
 
 
-@query(_SQL)
-def knowledge_graph(spark, sf):
+def people_of(spark, sf) -> DataFrame:
+    """The records of the woven texts."""
     with graph.scratch(spark) as keep:
         woven = graph.stored(texts(spark, sf), "texts")
         volume = (F.col("doc_id") % 10).alias("volume")
         chapters = woven.filter("doc_id % 2 = 1").select(volume, F.col("doc_id").alias("chapter"), "text")
         entries = woven.filter("doc_id % 2 = 0").select(volume, F.col("doc_id").alias("entry"), F.col("text").alias("body"))
-        out = knowledge.build(entries, chapters, spark.createDataFrame([], _NONE_KNOWN[0]), spark.createDataFrame([], _NONE_KNOWN[1]), None, _NOISE, _SKIP)
+        return keep(knowledge.build(entries, chapters, spark.createDataFrame([], _NONE_KNOWN[0]), spark.createDataFrame([], _NONE_KNOWN[1]), None, _NOISE, _SKIP), "people")
+
+
+@query(_SQL)
+def knowledge_graph(spark, sf):
+    with graph.scratch(spark) as keep:
         joined = lambda c: F.array_join(F.array_sort(c), ",")
         spouses = joined(F.transform("spouses", lambda s: F.concat_ws(":", s["key"], s["relation"])))
+        out = people_of(spark, sf)
         return keep(out.select("key", "name", "gender", "father", "mother", spouses.alias("spouses"), joined("siblings").alias("siblings"), joined("aliases").alias("aliases"), "duty", "caste", "dynasty"), "knowledge")
