@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from weftline.functions import text as T
 from weftline.operators import docparse, documents, graph, records, rules, scan
@@ -78,6 +79,40 @@ def volume_boundaries(spark, sf):
         return keep(docparse.boundaries(own, blocks, volumes), "boundaries")
 
 
+# numbers of notes: a document is a volume, its sentences are lines, some of them with numbers or headings (both dialects)
+
+_NOTED = r"""CASE c WHEN 0 THEN 'Chapter ' || i WHEN 1 THEN 'Section ' || i WHEN 2 THEN 'Adi Parva' WHEN 3 THEN 'Footnotes'
+ WHEN 4 THEN n || ' Ab ' || p WHEN 5 THEN n || 'Ab ' || p WHEN 6 THEN n || ' Ab ' || p WHEN 7 THEN n || ' (' || p WHEN 8 THEN n || ' (' || p WHEN 9 THEN 'x ' || p || '. ' || n || ' Tail ' || p
+ WHEN 10 THEN n || ' Ab ' || p || '! ' || (n + 1) || ' Next' WHEN 11 THEN '1 Again ' || p WHEN 12 THEN (n + 60) || ' Years ' || p WHEN 13 THEN 'y? ' || n || ' z. ' || (n + 1) || ' z' ELSE p END"""
+_SENTENCE_PARTS = ("replace(p, chr(10), ' ') AS p", "i", "(doc_id * 5 + i * 3 + length(p)) % 17 AS c", "cast(floor(i * 2 / 3) AS BIGINT) + length(p) % 3 AS n")
+_SENTENCE = ", ".join(_SENTENCE_PARTS)
+
+
+@query(
+    rf"""WITH RECURSIVE s AS (SELECT doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) - 1 AS i FROM (SELECT doc_id, string_split(text, '. ') AS ps FROM documents)),
+w AS (SELECT doc_id AS volume, i, trim({_NOTED}) AS line FROM (SELECT doc_id, {_SENTENCE} FROM s)),
+h AS (SELECT volume, row_number() OVER (PARTITION BY volume ORDER BY i) AS seq, line, CASE WHEN regexp_matches(line, '^Chapter\s+[0-9]+(\([0-9]+\))?\s*$') THEN 'chapter' WHEN regexp_matches(line, '^Section\s+') AND length(line) < 80 THEN 'section'
+  WHEN regexp_matches(line, '^[A-Z].*[Pp]arva') AND length(line) < 80 THEN 'parva' WHEN line IN ('Footnotes', 'Introduction') THEN 'skip' END AS head FROM w WHERE line <> ''),
+l AS MATERIALIZED (SELECT *, nullif(regexp_extract(line, '^([0-9]+)\s*[A-Za-z]', 1), '')::BIGINT AS lead, nullif(regexp_extract(line, '^([0-9]+)\s', 1), '')::BIGINT AS bare FROM h),
+r AS (SELECT volume, 0::BIGINT AS seq, 0::BIGINT AS last, false AS is_open, NULL::VARCHAR AS kind, NULL::BOOLEAN AS again, NULL::VARCHAR AS line, false AS cut, 0::BIGINT AS upto FROM (SELECT DISTINCT volume FROM l)
+  UNION ALL
+  SELECT volume, seq, CASE WHEN head = 'chapter' THEN 0 ELSE now + cut::INT END, CASE WHEN head IS NULL THEN is_open OR begins ELSE is_open AND head IN ('parva', 'skip') END,
+    CASE WHEN head IS NULL THEN CASE WHEN begins THEN 'note' WHEN is_open THEN 'more' ELSE 'loose' END END, again, line, cut, now + 1
+  FROM (SELECT *, head IS NULL AND ((lead IS NOT NULL AND begins) OR (is_open AND lead IS NULL AND NOT begins)) AND regexp_matches(line, '[.!?]\s+' || (now + 1) || '\s+\S') AS cut
+    FROM (SELECT *, CASE WHEN begins THEN coalesce(lead, bare) ELSE last END AS now
+      FROM (SELECT *, head IS NULL AND (first OR (is_open AND lead IS NULL AND coalesce(bare = last + 1, false))) AS begins, first AND lead = 1 AND last > 1 AS again
+        FROM (SELECT l.*, r.last, r.is_open, head IS NULL AND lead IS NOT NULL AND (r.last = 0 OR lead = 1 OR lead - r.last BETWEEN 0 AND 50) AS first FROM r JOIN l ON l.volume = r.volume AND l.seq = r.seq + 1))))),
+o AS (SELECT * FROM r WHERE kind IS NOT NULL)
+SELECT volume, seq, 0 AS part, kind, again, trim(CASE WHEN cut THEN regexp_extract(line, '^(.*?[.!?])\s+' || upto || '\s+\S', 1) ELSE line END) AS text FROM o
+UNION ALL SELECT volume, seq, 1, 'note', false, trim(regexp_extract(line, '^.*?[.!?]\s+(' || upto || '\s+\S.*)$', 1)) FROM o WHERE cut"""
+)
+def note_numbers(spark, sf):
+    own = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", r"\. ")).alias("i", "p")).withColumn("i", F.col("i").cast("long"))
+    lines = own.selectExpr("doc_id", *_SENTENCE_PARTS).selectExpr("doc_id AS volume", "i", f"trim({_NOTED}) AS line").filter("line <> ''")
+    lines = lines.withColumn("seq", F.row_number().over(W.partitionBy("volume").orderBy("i"))).select("volume", "seq", F.col("line").alias("whole"), "line")
+    return docparse.note_parts(lines)
+
+
 # entries: words of documents, records named by the items of the benchmark
 
 @query(
