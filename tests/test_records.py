@@ -3,7 +3,7 @@
 import random
 import re
 
-from weftline.operators import docparse, documents, people, records
+from weftline.operators import docparse, documents, mentions, people, records, segments
 
 PAGES = (
     "Section One\nx", "x\n Chapter 3(4): y", "Acknowledgements\nto all", "a\nb\nc\nAcknowledgements", "Footnotes", "Footnotes\n1 a\n2 b\n3 c", "Section 4\n1 x\n22x", "Section 4\n1 x",
@@ -198,3 +198,51 @@ def test_no_documents(spark):
     docs = documents.documents(none, spark.createDataFrame([("a", 1, "e")], "key string, ord int, event string"))
     out, row = documents.read_figures(docs)
     assert out.count() == 0 and set(row.collect()[0]) == {0}
+
+
+def headed(lines, heads):
+    """Lines with the headers of their runs, with a state carried along."""
+    out, run, top, started, done = [], 0, 0, False, set()
+    for line in lines:
+        if line.startswith("---"):
+            continue
+        m = re.match(r"(\d+)\s", line.strip())
+        if m:
+            d = int(m[1])
+            if d == 1 and top >= 10 and started:
+                run, top = run + 1, 0
+            if run < len(heads) and run not in done:
+                if out and out[-1].strip():
+                    out.append("")
+                out += [x for x in heads[run] if x]
+                done.add(run)
+            started, top = True, max(top, d)
+        out.append(line)
+    return out
+
+
+def test_section_headers(spark):
+    rng = random.Random(6)
+    lines, heads, want = [], [], {}
+    for v in range(60):
+        own, n = [], 0
+        for _ in range(rng.randint(0, 80)):
+            n = rng.choice((n + 1, n + 3, 1, n))
+            own.append(rng.choice((f"{n} a", f" {n}  b", "--- x ---", "", "more", f"{n}", f"{n} ")))
+        of = [(f"s{i}", rng.choice(("", f"c{i}"))) for i in range(rng.randint(0, 4))]
+        lines += [(v, i * 2, x, "x") for i, x in enumerate(own)]
+        heads += [(v, i, *x) for i, x in enumerate(of)]
+        if [x for x in own if not x.startswith("---")]:
+            want[v] = headed(own, of)
+    out = segments.section_headers(spark.createDataFrame(lines, "volume int, at int, said string, line string"), spark.createDataFrame(heads, "volume int, idx long, section string, chapters string"), ["volume"], "at", "said")
+    got = {}
+    for r in out.orderBy("volume", "ord").collect():
+        got.setdefault(r.volume, []).append(r.line)
+    assert got == want and sum("s1" in x for x in want.values()) > 3
+
+
+def test_mentions_of_records(spark):
+    words = [("Bhima", "1", 10), ("Bhima", "1", 9), ("Bhima", "1", 9), ("Bhima", "2", None), ("Vira", "2", 3), ("Vira", None, None), ("Else", "1", 1)]
+    index = [("Bhima", "b"), ("Vira", "b"), ("Vira", "v"), ("Vira", "v"), ("None", "n")]
+    out = mentions.of_records(spark.createDataFrame(words, "word string, volume string, chapter int"), spark.createDataFrame(index, "word string, id string"))
+    assert sorted(tuple(r) for r in out.collect()) == [("b", 6, 3, "Vol1:ch9,10 Vol2:ch3"), ("n", 0, 0, ""), ("v", 2, 1, "Vol2:ch3")]

@@ -33,3 +33,19 @@ def appearances(rows: DataFrame, word: str, volume: str, chapter: str) -> DataFr
     each = F.struct(F.col(volume).alias("volume"), T.appearance(F.col(volume).cast("string"), F.col("chapters")).alias("at"))
     done = volumes.groupBy(word).agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(each)).alias("each"))
     return done.select(word, F.col("n").alias("n_mentions"), F.array_join(F.transform("each", lambda x: x["at"]), " ").alias("appearance"))
+
+
+def of_records(words: DataFrame, index: DataFrame) -> DataFrame:
+    """id, n_mentions, n_places and appearance of each record of the index (word, id): a word counts for all records that it names.
+
+    words: word, volume, chapter, and null chapters in notes, which count as mentions but aren't places. What is frequent is
+    summed up before it meets the index, by word and place.
+    """
+    named = index.select("word", "id").distinct()
+    places = words.groupBy("word", "volume", "chapter").agg(F.count(F.lit(1)).alias("n")).join(named, "word").groupBy("id", "volume", "chapter").agg(F.sum("n").alias("n"))
+    volumes = places.groupBy("id", "volume").agg(F.sum("n").alias("n"), F.collect_list("chapter").alias("chapters"))
+    at = F.when(F.size("chapters") > 0, F.struct("volume", T.appearance(F.col("volume").cast("string"), F.col("chapters")).alias("at")))
+    done = volumes.groupBy("id").agg(F.sum("n").alias("n"), F.sum(F.size("chapters")).alias("n_places"), F.array_sort(F.collect_list(at)).alias("each"))
+    out = named.select("id").distinct().join(done, "id", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return out.select("id", zero("n").alias("n_mentions"), zero("n_places").alias("n_places"), F.array_join(F.transform(F.coalesce("each", F.array().cast(done.schema["each"].dataType)), lambda x: x["at"]), " ").alias("appearance"))

@@ -91,6 +91,24 @@ def with_headers(lines: DataFrame, headers: DataFrame, by: Sequence[str], order:
     return every.withColumn("ord", F.row_number().over(W.partitionBy(*by).orderBy("_at", "_part"))).select(*by, "ord", "line")
 
 
+def section_headers(lines: DataFrame, headers: DataFrame, by: Sequence[str], order: str, line: str, threshold: int = 10) -> DataFrame:
+    """Lines of notes with the headers of their runs: by, ord (from 0) and line. headers: by, idx (from 0), section, chapters.
+
+    Old marker lines (---) go. The header with a run's number comes before the run's first numbered line, after an empty line
+    if the line before has text; empty chapters are left out. Runs beyond the last header get none, as it stands already.
+    """
+    kept = lines.select(*by, F.col(order).alias("_at"), F.coalesce(line, F.lit("")).alias("line")).filter(~F.col("line").startswith("---"))
+    kept = kept.withColumn("_n", F.nullif(F.regexp_extract("line", r"^\s*([0-9]+)\s+\S", 1), F.lit("")).cast("long"))
+    firsts = runs(kept.filter("_n IS NOT NULL"), by, ["_at"], "_n", threshold, "idx").groupBy(*by, "idx").agg(F.min("_at").alias("_at"))
+    heads = firsts.join(headers.select(*by, "idx", F.array("section", "chapters").alias("_head")), [*by, "idx"]).drop("idx")
+    before = F.lag("line").over(_w(by, ["_at"]))
+    own = kept.withColumn("_gap", F.coalesce(before.rlike(r"\S"), F.lit(False))).join(heads, [*by, "_at"], "left")
+    gap = F.when(F.col("_gap"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    head = F.when(F.col("_head").isNotNull(), F.concat(gap, F.filter("_head", lambda h: F.coalesce(h, F.lit("")) != ""))).otherwise(F.array().cast("array<string>"))
+    rows = own.select(*by, "_at", F.posexplode(F.concat(head, F.array("line"))).alias("_k", "line"))
+    return rows.select(*by, (F.row_number().over(_w(by, ["_at", "_k"])) - 1).cast("long").alias("ord"), "line")
+
+
 def out_of_order(df: DataFrame, by: Sequence[str], order: Sequence[str], number: str) -> DataFrame:
     """Rows whose number isn't their place in the sequence; expected has the place."""
     return df.withColumn("expected", F.row_number().over(_w(by, order)).cast("long")).filter(F.col(number) != F.col("expected"))

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from weftline.functions import text as T
-from weftline.operators import docparse, documents, graph, records, rules, scan
+from weftline.operators import docparse, documents, graph, mentions, records, rules, scan, segments
 from weftline.plans import knowledge as graph_plan
-from weftline.plans.catalogue import _NAMES, _counted, query
+from weftline.plans.catalogue import _LINES, _NAMES, _counted, _lines, query
 from weftline.session import table
 
 # fixes: rules are the words of the benchmark, by the remainder of their length; what one puts in can be the next one's word
@@ -113,6 +113,12 @@ def note_numbers(spark, sf):
     return docparse.note_parts(lines)
 
 
+def _index(spark, sf) -> DataFrame:
+    """Names and aliases of records: the names in each item of the benchmark, the first one its name."""
+    words = table(spark, sf, "benchmark").select("item_id", F.posexplode(T.names(F.col("text"))).alias("at", "word"))
+    return words.select("word", F.concat(F.lit("r"), "item_id").alias("id"), (F.col("at") == 0).alias("is_name"), F.col("item_id").alias("ord"))
+
+
 # entries: words of documents, records named by the items of the benchmark
 
 @query(
@@ -135,13 +141,43 @@ v AS (SELECT d.key, string_agg(d.word, ',' ORDER BY d.word) AS names FROM d JOIN
 SELECT y.key, y.name, coalesce(v.names, '') AS alias_names, y.n, y.n_clusters, y.known FROM y LEFT JOIN v ON v.key = y.key"""
 )
 def word_entries(spark, sf):
-    words = table(spark, sf, "benchmark").select("item_id", F.posexplode(T.names(F.col("text"))).alias("at", "word"))
-    index = words.select("word", F.concat(F.lit("r"), "item_id").alias("id"), (F.col("at") == 0).alias("is_name"), F.col("item_id").alias("ord"))
     with graph.scratch(spark) as keep:
-        out = records.entries(graph.stored(records.clustered(_counted(spark, sf)), "clusters"), graph.stored(index, "index"))
+        out = records.entries(graph.stored(records.clustered(_counted(spark, sf)), "clusters"), graph.stored(_index(spark, sf), "index"))
         return keep(out.withColumn("alias_names", F.array_join("alias_names", ",")), "entries")
 
 
+@query(
+    f"""WITH x AS (SELECT DISTINCT 'r' || item_id AS id, unnest(list_filter(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+'), lambda y: regexp_matches(y, '^[A-Z][a-z][a-z]+$'))) AS word FROM benchmark),
+w AS (SELECT x.id, n.source AS volume, CASE WHEN doc_id % 3 > 0 THEN doc_id END AS chapter FROM ({_NAMES}) n JOIN x ON x.word = n.word),
+p AS (SELECT id, volume, count(DISTINCT chapter) AS n, 'Vol' || volume || ':ch' || array_to_string(list_sort(list(DISTINCT chapter)), ',') AS spot FROM w GROUP BY id, volume)
+SELECT i.id, coalesce(c.n, 0)::BIGINT AS n_mentions, coalesce(v.n, 0)::BIGINT AS n_places, coalesce(v.appearance, '') AS appearance FROM (SELECT DISTINCT id FROM x) i
+LEFT JOIN (SELECT id, count(*) AS n FROM w GROUP BY id) c ON c.id = i.id LEFT JOIN (SELECT id, sum(n) AS n, string_agg(spot, ' ' ORDER BY volume) FILTER (n > 0) AS appearance FROM p GROUP BY id) v ON v.id = i.id"""
+)
+def record_appearances(spark, sf):
+    """Two documents of three are chapters of their source, the others are notes."""
+    own = table(spark, sf, "documents").select(F.col("source").alias("volume"), F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")).alias("chapter"), F.explode(T.names(F.col("text"))).alias("word"))
+    return mentions.of_records(own, _index(spark, sf))
+
+
+_HEADED_LINES = "CASE WHEN ord % 11 = 5 THEN '--- old ---' WHEN ord % 7 = 3 THEN ' ' WHEN ord % 5 = 2 THEN 'more' ELSE l_linenumber || ' note' END"
+
+
+@query(
+    rf"""WITH k AS (SELECT l_suppkey, ord, {_HEADED_LINES} AS line FROM ({_LINES})), o AS (SELECT *, nullif(regexp_extract(line, '^\s*([0-9]+)\s+\S', 1), '')::BIGINT AS n, coalesce(regexp_matches(lag(line) OVER (PARTITION BY l_suppkey ORDER BY ord), '\S'), false) AS gap FROM k WHERE NOT starts_with(line, '---')),
+t AS (SELECT *, sum((n = 1)::INT) OVER (PARTITION BY l_suppkey ORDER BY ord) AS seg FROM o WHERE n IS NOT NULL), g AS (SELECT l_suppkey, seg, max(n) AS top, min(ord) AS start FROM t GROUP BY ALL),
+u AS (SELECT *, (coalesce(lag(top) OVER (PARTITION BY l_suppkey ORDER BY seg), 0) >= 7)::INT AS cut FROM g), r AS (SELECT l_suppkey, start, sum(cut) OVER (PARTITION BY l_suppkey ORDER BY seg) AS idx FROM u),
+f AS (SELECT l_suppkey, idx, min(start) AS ord FROM r GROUP BY ALL), h AS (SELECT s_suppkey AS l_suppkey, unnest(range(0, s_suppkey % 30 + 1)) AS idx FROM supplier),
+q AS (SELECT f.l_suppkey, f.ord, f.idx FROM f JOIN h ON h.l_suppkey = f.l_suppkey AND h.idx = f.idx),
+e AS (SELECT l_suppkey, ord, 3 AS k, line FROM o UNION ALL SELECT q.l_suppkey, q.ord, 0, '' FROM q JOIN o ON o.l_suppkey = q.l_suppkey AND o.ord = q.ord WHERE gap UNION ALL SELECT l_suppkey, ord, 1, '--- Section ' || idx || ' ---' FROM q UNION ALL SELECT l_suppkey, ord, 2, '--- Chapters to ' || idx || ' ---' FROM q WHERE idx % 3 < 2)
+SELECT l_suppkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY ord, k) - 1 AS ord, line FROM e"""
+)
+def section_headers(spark, sf):
+    own = _lines(spark, sf).select("l_suppkey", "ord", F.expr(_HEADED_LINES).alias("line"))
+    heads = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("s_suppkey") % 30)).alias("idx"))
+    heads = heads.select("*", F.concat(F.lit("--- Section "), "idx", F.lit(" ---")).alias("section"), F.when(F.col("idx") % 3 < 2, F.concat(F.lit("--- Chapters to "), "idx", F.lit(" ---"))).alias("chapters"))
+    return segments.section_headers(own, heads, ["l_suppkey"], "ord", "line", 7)
+
+
 # documents of the people of the knowledge graph, with more fields (expressions of both dialects), and their figures
 
 _MORE = {
