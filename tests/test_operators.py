@@ -280,3 +280,24 @@ def test_notes_with_headings(spark):
     lines = spark.createDataFrame([(1, i, t, t) for i, t in enumerate(texts)], "volume int, seq int, whole string, line string")
     got = [r.line for r in docparse.notes(lines).orderBy("ord").collect()]
     assert got == ["--- Chapter 1 ---", "[Adi Parva]", "1 First still first", "", "[Section II]", "loose words", "2 Second.", "3 Third", "4 is bare 99 years", "--- Chapter 2 ---", "1 Anew", "7 Seven", "7a on", "8 Eight"]
+
+
+def test_nearby_of_shared_places(spark):
+    random.seed(7)
+    spots = [(random.uniform(10, 20), random.uniform(70, 80)) for _ in range(9)]
+    points = [(i, *spots[0 if i < 600 else random.randrange(9)]) for i in range(700)] + [(None, *spots[0]), (900, None, 71.0)]
+    df = spark.createDataFrame(points, "k long, lat double, lng double")
+    from weftline.functions import geo
+
+    near = df.crossJoin(df.toDF("j", "lat2", "lng2")).filter("k <> j").withColumn("km", geo.haversine_km(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2"))).filter("km <= 400")
+    want = sorted((r.k, r.j, r.km) for r in near.select("k", "j", geo.rounded_km(F.col("km")).alias("km")).collect())
+    pairs = assemble.nearby(df, "k", "lat", "lng", 400)
+    assert sorted((r.a, r.b, r.km) for r in pairs.collect()) == want and len(want) > 600 * 599
+    # pairs of one cell are dealt out to several tasks, with and without lists
+    sizes = [n for (n,) in pairs.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) > 3 and max(sizes) < len(want) * 0.6
+    lists = assemble.nearby_of_places(df, "k", "lat", "lng", 400, -F.col("k")).collect()
+    assert max(len(r["keys"]) for r in lists) == assemble.BLOCK
+    got = {k: [(x.km, -x.other) for x in r["neighbours"] if x.other != k] for r in lists for k in r["keys"]}
+    assert all(x == sorted(x) for x in got.values())
+    assert sorted((k, -o, km) for k, x in got.items() for km, o in x) == want

@@ -26,12 +26,26 @@ def histogram(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
-def nearby(points: DataFrame, key: str, lat: str, lng: str, km: float) -> DataFrame:
-    """Ordered pairs of points no more than km apart: key, other, km.
+#: Keys of a place that one row holds at most, and tasks that share a cell of the map.
+BLOCK, SLICES = 256, 16
+
+
+def _places(points: DataFrame, key: str, lat: str, lng: str, order: Column | None) -> DataFrame:
+    """lat, lng, block and keys: each place once, with its keys in blocks; with an order they are structs (ord, key)."""
+    own = points.filter(F.col(key).isNotNull() & F.col(lat).isNotNull() & F.col(lng).isNotNull())
+    own = own.select(F.col(lat).alias("lat"), F.col(lng).alias("lng"), (F.col(key) if order is None else F.struct(order.alias("ord"), F.col(key).alias("key"))).alias("_k"))
+    one = own.groupBy("lat", "lng").agg(F.sort_array(F.collect_list("_k")).alias("_all"))
+    starts = F.sequence(F.lit(1), F.size("_all"), F.lit(BLOCK))
+    return one.select("lat", "lng", F.posexplode(F.transform(starts, lambda i: F.slice("_all", i, BLOCK))).alias("block", "keys"))
+
 
-    Points are put into cells of latitude as high as the distance, and there into cells of longitude as wide as the distance
+def _near_places(points: DataFrame, key: str, lat: str, lng: str, km: float, order: Column | None = None) -> DataFrame:
+    """Ordered pairs of places no more than km apart, each with itself too: keys_a, keys_b, km, and a's cell, slice, lat, lng, block.
+
+    Places are put into cells of latitude as high as the distance, and there into cells of longitude as wide as the distance
     can be at the end of the neighbouring cell that is nearer to a pole: a partner lies in the same cell or next to it. All
-    longitudes are one cell where the distance reaches around the pole.
+    longitudes are one cell where the distance reaches around the pole. A cell is dealt out in slices that each meet all that
+    is around it, so neither few cells nor a small file of points leave the pairs to few tasks.
     """
     height = math.degrees(km / geo.RADIUS_KM)
     half = math.sin(min(km / geo.RADIUS_KM, math.pi) / 2)
@@ -44,14 +58,36 @@ def nearby(points: DataFrame, key: str, lat: str, lng: str, km: float) -> DataFr
     def column(x: str, row: Column) -> Column:
         return F.floor(F.pmod(F.col(x), F.lit(360.0)) * n_cells(row) / 360.0).cast("long")
 
-    own = points.select(F.col(key).alias("a"), F.col(lat).alias("lat_a"), F.col(lng).alias("lng_a")).withColumn("_row", F.floor(F.col("lat_a") / height))
-    own = own.withColumn("_column", column("lng_a", F.col("_row")))
-    other = points.select(F.col(key).alias("b"), F.col(lat).alias("lat_b"), F.col(lng).alias("lng_b"))
+    spark = points.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    cell = ["_row", "_column", "_slice"]
+    places = _places(points, key, lat, lng, order)
+    own = places.select(F.col("lat").alias("lat_a"), F.col("lng").alias("lng_a"), F.col("block").alias("block_a"), F.col("keys").alias("keys_a"))
+    own = own.withColumn("_row", F.floor(F.col("lat_a") / height)).withColumn("_column", column("lng_a", F.col("_row")))
+    own = own.withColumn("_slice", F.pmod(F.xxhash64("lat_a", "lng_a", "block_a"), F.lit(SLICES)))
+    other = places.select(F.col("lat").alias("lat_b"), F.col("lng").alias("lng_b"), F.col("keys").alias("keys_b"))
     other = other.withColumn("_row", F.explode(F.array(*(F.floor(F.col("lat_b") / height) + d for d in (-1, 0, 1)))))
     around = F.array_distinct(F.array(*(F.pmod(column("lng_b", F.col("_row")) + d, n_cells(F.col("_row"))) for d in (-1, 0, 1))))
-    pairs = own.join(other.withColumn("_column", F.explode(around)), ["_row", "_column"]).filter("a <> b")
+    other = other.withColumn("_column", F.explode(around)).withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))))
+    pairs = own.repartition(tasks, *cell).hint("merge").join(other.repartition(tasks, *cell), cell)
     pairs = pairs.withColumn("_km", geo.haversine_km(F.col("lat_a"), F.col("lng_a"), F.col("lat_b"), F.col("lng_b")))
-    return pairs.filter(F.col("_km") <= km).select("a", "b", geo.rounded_km(F.col("_km")).alias("km"))
+    return pairs.filter(F.col("_km") <= km).select(*cell, "lat_a", "lng_a", "block_a", "keys_a", "keys_b", geo.rounded_km(F.col("_km")).alias("km"))
+
+
+def nearby(points: DataFrame, key: str, lat: str, lng: str, km: float) -> DataFrame:
+    """Ordered pairs of points no more than km apart: key, other, km. Distances are those of places; points of one place share them."""
+    near = _near_places(points, key, lat, lng, km)
+    return near.select(F.explode("keys_a").alias("a"), "keys_b", "km").select("a", F.explode("keys_b").alias("b"), "km").filter("a <> b")
+
+
+def nearby_of_places(points: DataFrame, key: str, lat: str, lng: str, km: float, order: Column) -> DataFrame:
+    """keys and neighbours (other, km): the keys (distinct ones) of a place, at most BLOCK in a row, and all keys no more than km
+    away, themselves included, by distance, equal ones by `order`. A key's own list is that of its place without itself."""
+    near = _near_places(points, key, lat, lng, km, order)
+    # the tasks of the pairs hold all of a place, so there is no shuffle here
+    met = near.groupBy("_row", "_column", "_slice", "lat_a", "lng_a", "block_a").agg(F.first("keys_a").alias("keys_a"), F.collect_list(F.struct("km", "keys_b")).alias("_met"))
+    each = F.sort_array(F.flatten(F.transform("_met", lambda x: F.transform(x["keys_b"], lambda k: F.struct(x["km"].alias("km"), k["ord"].alias("ord"), k["key"].alias("key"))))))
+    return met.select(F.transform("keys_a", lambda k: k["key"]).alias("keys"), F.transform(each, lambda x: F.struct(x["key"].alias("other"), x["km"].alias("km"))).alias("neighbours"))
 
 
 def nearby_lists(pairs: DataFrame, order: DataFrame) -> DataFrame:
