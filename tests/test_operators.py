@@ -301,3 +301,12 @@ def test_nearby_of_shared_places(spark):
     got = {k: [(x.km, -x.other) for x in r["neighbours"] if x.other != k] for r in lists for k in r["keys"]}
     assert all(x == sorted(x) for x in got.values())
     assert sorted((k, -o, km) for k, x in got.items() for km, o in x) == want
+
+
+def test_texts_of_keys_are_dealt_out(spark, tmp_path):
+    from weftline.plans import books
+
+    spark.range(300).withColumnRenamed("id", "c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    for texts in (books._chapters(spark, tmp_path), books._notes(spark, tmp_path)):
+        sizes = [n for (n,) in texts.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(sizes) == 300 and len(sizes) > 8 and max(sizes) < 60

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import geo
+from weftline.session import tasks
 
 
 def events_by(events: DataFrame, key: str, order: str, event: str) -> DataFrame:
@@ -58,8 +59,7 @@ def _near_places(points: DataFrame, key: str, lat: str, lng: str, km: float, ord
     def column(x: str, row: Column) -> Column:
         return F.floor(F.pmod(F.col(x), F.lit(360.0)) * n_cells(row) / 360.0).cast("long")
 
-    spark = points.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    n = tasks(points.sparkSession)
     cell = ["_row", "_column", "_slice"]
     places = _places(points, key, lat, lng, order)
     own = places.select(F.col("lat").alias("lat_a"), F.col("lng").alias("lng_a"), F.col("block").alias("block_a"), F.col("keys").alias("keys_a"))
@@ -69,7 +69,7 @@ def _near_places(points: DataFrame, key: str, lat: str, lng: str, km: float, ord
     other = other.withColumn("_row", F.explode(F.array(*(F.floor(F.col("lat_b") / height) + d for d in (-1, 0, 1)))))
     around = F.array_distinct(F.array(*(F.pmod(column("lng_b", F.col("_row")) + d, n_cells(F.col("_row"))) for d in (-1, 0, 1))))
     other = other.withColumn("_column", F.explode(around)).withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))))
-    pairs = own.repartition(tasks, *cell).hint("merge").join(other.repartition(tasks, *cell), cell)
+    pairs = own.repartition(n, *cell).hint("merge").join(other.repartition(n, *cell), cell)
     pairs = pairs.withColumn("_km", geo.haversine_km(F.col("lat_a"), F.col("lng_a"), F.col("lat_b"), F.col("lng_b")))
     return pairs.filter(F.col("_km") <= km).select(*cell, "lat_a", "lng_a", "block_a", "keys_a", "keys_b", geo.rounded_km(F.col("_km")).alias("km"))
 

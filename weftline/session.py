@@ -24,3 +24,8 @@ def get_spark(app: str = "weftline", master: str | None = None, shuffle_partitio
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the Parquet tables of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tasks(spark: SparkSession) -> int:
+    """Tasks for work that is much larger than the rows it is made of, which one task would read: four for each core, or as shuffles have."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
