@@ -51,3 +51,19 @@ def test_nothing(spark):
     assert [(r.text, r.hits) for r in rules.fixed(texts, none, ["volume", "kind"]).collect()] == [("ab", [])]
     one = spark.createDataFrame([(1, "notes", 0, "a", "b")], SCHEMA)
     assert rules.fixed(texts.filter("false"), one, ["volume", "kind"]).count() == 0
+
+
+def test_texts_are_taken_a_few_at_a_time(spark):
+    import pyarrow as pa
+
+    told = {(1,): [(7, "a", "b"), (8, "bb", "c")]}
+    batch = pa.RecordBatch.from_pydict({"volume": [1] * 1000, "text": ["aab" if i % 2 else None for i in range(1000)], "hits": pa.array([[]] * 1000, pa.list_(pa.int64()))})
+    out = list(rules._pass(told, ["volume"], "text", ["volume", "text", "hits"])(iter([batch])))
+    assert max(b.num_rows for b in out) == rules.HELD and sum(b.num_rows for b in out) == 1000
+    assert [r["text"] for b in out for r in b.to_pylist()] == ["cb" if i % 2 else None for i in range(1000)]
+    df = spark.createDataFrame([(1, i, "aab") for i in range(20)] + [(2, 0, "aab"), (1, 0, None)], "volume int, line int, text string")
+    own = spark.createDataFrame([(1, None, 7, "a", "b"), (1, None, 8, "bb", "c")], SCHEMA).drop("kind")
+    for at_once in (1, 10):
+        hits = rules.fixed(df, own, ["volume"], at_once=at_once, hits_only=True)
+        assert hits.columns == ["volume", "hits"] and hits.count() == 22
+        assert sorted(rules.counted(hits, ["volume"]).collect()) == [(1, 7, 20), (1, 8, 20)]

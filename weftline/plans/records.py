@@ -21,7 +21,7 @@ f AS (SELECT doc_id, doc_id % 5 AS volume, list_reduce(list_prepend({{'old': tex
   FROM documents d LEFT JOIN l ON l.volume = d.doc_id % 5)"""
 
 
-def _fixed(spark, sf) -> DataFrame:
+def _fixed(spark, sf, hits_only: bool = False) -> DataFrame:
     own = table(spark, sf, "documents").select("doc_id", (F.col("doc_id") % 5).alias("volume"), "text")
     words = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]{7,}"), F.lit(0))).alias("w")).distinct()
     new = F.concat(F.translate("w", "eaih", "aeht"), F.when(F.length("w") % 3 == 0, "\n").otherwise(""))
@@ -29,7 +29,7 @@ def _fixed(spark, sf) -> DataFrame:
     # the number of a rule in its volume only orders it
     numbered = words.select(volume, F.col("w").alias("old"), new.alias("new"))
     numbered = scan.ranked(numbered, ["volume"], ["old"], "_at", "_n").select("volume", (F.col("_at") + 1).alias("ord"), "old", "new")
-    return rules.fixed(own, numbered, ["volume"])
+    return rules.fixed(own, numbered, ["volume"], hits_only=hits_only)
 
 
 @query(f"{_FIXED} SELECT doc_id, volume, x.old AS text, x.hits AS hits FROM f")
@@ -42,7 +42,7 @@ def fixes_by_rules(spark, sf):
 @query(f"{_FIXED} SELECT volume, ord, count(*)::BIGINT AS n_texts FROM (SELECT volume, unnest(string_split(rtrim(x.hits, ','), ','))::BIGINT AS ord FROM f WHERE x.hits <> '') GROUP BY volume, ord")
 def fixes_counted(spark, sf):
     with graph.scratch(spark) as keep:
-        return keep(rules.counted(_fixed(spark, sf), ["volume"]), "counts")
+        return keep(rules.counted(_fixed(spark, sf, True), ["volume"]), "counts")
 
 
 # boundaries: pages are documents, twelve volumes of them, with headings by volume and page (an expression of both dialects)
