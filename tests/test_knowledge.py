@@ -1,6 +1,6 @@
 """The whole plan over a few notes and chapters, by hand."""
 
-from weftline.operators import knowledge, people
+from weftline.operators import extract, knowledge, people
 
 ENTRIES = [
     (1, 1, "Arjuna. He was the son of Pandu. Arjuna is also known as Partha."),
@@ -38,3 +38,10 @@ def test_nothing(spark):
     chapters = spark.createDataFrame(CHAPTERS, "volume int, chapter int, text string").filter("false")
     out = knowledge.build(entries, chapters, spark.createDataFrame([], "key string, name string, gender string"), spark.createDataFrame([], "alias_key string, key string"), None, (), ())
     assert out.count() == 0 and out.columns == [x.split()[0] for x in knowledge._fields(people.RECORD)]
+
+
+def test_texts_are_read_once_for_a_log(spark):
+    chapters = spark.createDataFrame(CHAPTERS, "volume int, chapter int, text string")
+    rows = knowledge.relation_log(chapters, extract.CHAPTER_RELATIONS, "text", 2, ("rule", "volume", "chapter", "place"))
+    assert rows._jdf.queryExecution().sparkPlan().toString().count("Scan ExistingRDD") == 1
+    assert sorted((r.sub, r.a, r.b, r.other) for r in rows.filter("p1 = 3").collect()) == [(0, "Arjuna", None, "Bhima"), (1, "Bhima", None, "Arjuna"), (2, "Arjuna", "Bhima", None)]

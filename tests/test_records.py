@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -195,6 +196,23 @@ def test_documents(spark):
     assert len([x for x in plan.splitlines() if "Aggregate [key" in x and "collect_list(m" in x]) == 1
 
 
+def test_documents_of_a_person_with_many_spouses(spark):
+    n = 20_000
+    wife = "named_struct('key', concat('w', id), 'relation', '')"
+    hub = spark.range(1).selectExpr("'hub' AS key", "'Hub' AS name", "'Male' AS gender", f"transform(sequence(0, {n - 1}), id -> {wife}) AS spouses")
+    wives = spark.range(n).selectExpr("concat('w', id) AS key", "'Wife' AS name", "'Female' AS gender")
+    kids = spark.range(n).selectExpr("concat('k', id) AS key", "'Kid' AS name", "'hub' AS father", "concat('w', id + 1) AS mother")
+    rows = hub.unionByName(wives, allowMissingColumns=True).unionByName(kids, allowMissingColumns=True)
+    kinds = spark.createDataFrame([], people.RECORD).schema
+    rows = rows.select(*(F.coalesce(c.name, F.array().cast(c.dataType)).alias(c.name) if c.name == "spouses" else (F.col(c.name) if c.name in rows.columns else F.lit(None)).cast(c.dataType).alias(c.name) for c in kinds))
+    began = time.time()
+    got = documents.documents(rows, spark.createDataFrame([], "key string, ord int, event string")).filter("key = 'hub'").first()
+    # looking through all spouses and children for each spouse takes minutes
+    assert time.time() - began < 30
+    assert len(got.spouse) == n and got.children == [f"@k{n - 1}"]
+    assert [tuple(s) for s in got.spouse[:2]] == [("@w0", "Wife", []), ("@w1", "Wife", ["@k0"])]
+
+
 def test_no_documents(spark):
     none = spark.createDataFrame([], people.RECORD)
     docs = documents.documents(none, spark.createDataFrame([("a", 1, "e")], "key string, ord int, event string"))

@@ -69,3 +69,17 @@ def test_distance(spark):
     km = lambda *c: geo.rounded_km(geo.haversine_km(*c))
     assert one(spark, km, 29.1604, 78.0180, 29.0700, 77.3800) == 63
     assert one(spark, km, 29.1604, 78.0180, 28.6095, 77.2425) == 97
+
+
+def test_names_in_one_pass(spark):
+    # a run of letters and digits of any script is a name in whole or not at all; 𐐀 is a letter of two 16-bit units, 😀 none
+    words = ["Bob", "BobBob", "éBob", "Bobé", "Bob1", "1Bob", "_Bob", "Bob_", "\U00010400Bob", "Bob\U00010400", "\U0001F600Bob", "Bob\U0001F600", "Bo", "BOb", "x-Bob-Ann", "Bob’s\nAnn"]
+    texts = [*words, " ".join(words), ". ".join(reversed(words)), "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    runs = F.filter(F.regexp_extract_all("text", F.lit(T.RUN), 0), lambda w: w.rlike(T.NAME))
+    pair = F.filter(T.first_names(F.col("text"), 2), lambda w: w != "")
+    for r in df.select("text", runs.alias("runs"), T.names(F.col("text")).alias("names"), pair.alias("pair")).collect():
+        assert r.names == r.runs, r.text
+        assert r.pair == (r.runs or [])[:2], r.text
+    plan = df.select(T.names(F.col("text")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan

@@ -13,6 +13,8 @@ CLOSERS = ".!?’”'\"):"
 #: A run of letters and digits; a name is a run of one capital and two or more small letters.
 RUN = r"[\p{L}\p{N}_]+"
 NAME = r"^[A-Z][a-z]{2,}$"
+#: A run that is a name. The letter beyond 16 bits, which \p{L} has too, makes Java look back by whole characters.
+NAME_RUN = r"[A-Z](?<![\p{L}\p{N}_" "\U00010400" r"][A-Z])[a-z]{2,}+(?![\p{L}\p{N}_])"
 
 
 def squeeze(text: Column) -> Column:
@@ -153,4 +155,12 @@ def default_relation(relation: Column, gender: Column) -> Column:
 
 def names(text: Column) -> Column:
     """All names in a text, in order."""
-    return F.filter(F.regexp_extract_all(text, F.lit(RUN), 0), lambda w: w.rlike(NAME))
+    return F.regexp_extract_all(text, F.lit(NAME_RUN), 0)
+
+
+def first_names(text: Column, n: int) -> Column:
+    """The first n names in a text, which is read no further; empty where there are fewer."""
+    pattern = f"({NAME_RUN})"
+    for _ in range(n - 1):
+        pattern = f"({NAME_RUN})(?:.*?{pattern})?"
+    return F.array(*(F.regexp_extract(text, f"(?s){pattern}", i + 1) for i in range(n)))

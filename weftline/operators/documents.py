@@ -1,6 +1,7 @@
-"""Documents of people: all that a record says, and what others say about it, in one shuffle.
+"""Documents of people: all that a record says, and what others say about it.
 
-Children, events, lineage and the genders of spouses are sent to the person as rows of one shape. They meet the record
+Spouses, their genders and children meet in one aggregation by person and spouse, so a person with many of both costs no
+more than their number. What comes of it, events and lineage are sent to the person as rows of one shape, and meet the record
 in one aggregation by key, instead of a join for each part.
 """
 
@@ -13,8 +14,29 @@ from weftline.functions import text as T
 from weftline.operators import graph
 
 
+def _message(kind: Column, ord: Column, a: Column, b: Column, kids: Column | None = None) -> Column:
+    none = F.lit(None).cast("array<string>")
+    return F.struct(kind.alias("kind"), ord.cast("long").alias("ord"), a.cast("string").alias("a"), b.cast("string").alias("b"), (none if kids is None else kids).alias("kids"))
+
+
 def _sent(df: DataFrame, key: str, kind: str, ord: Column, a: Column, b: Column) -> DataFrame:
-    return df.select(F.col(key).alias("key"), F.struct(F.lit(kind).alias("kind"), ord.cast("long").alias("ord"), a.cast("string").alias("a"), b.cast("string").alias("b")).alias("m"))
+    return df.select(F.col(key).alias("key"), _message(F.lit(kind), ord, a, b).alias("m"))
+
+
+def _families(records: DataFrame, born: Column) -> DataFrame:
+    """Messages of kind spouse (in their order, with relation and children) and child (of no spouse), for each person."""
+    parents = F.array_distinct(F.array("father", "mother"))
+    other = F.when(F.col("_p") == F.col("father"), F.col("mother")).otherwise(F.col("father"))
+    kids = records.withColumn("_p", F.explode(parents)).filter("_p IS NOT NULL").select(F.col("_p").alias("key"), other.alias("s"), F.struct(born.cast("long").alias("ord"), F.col("key").alias("a")).alias("kid"))
+    wed = records.select("key", F.posexplode("spouses").alias("at", "s")).select("key", F.col("s.key").alias("s"), "at", F.nullif("s.relation", F.lit("")).alias("relation")).filter("s IS NOT NULL")
+    asks = wed.filter("relation IS NULL").select("key", "s").distinct()
+    genders = asks.join(records.select(F.col("key").alias("s"), "gender"), "s").select("key", "s", "gender")
+    rows = wed.unionByName(kids, allowMissingColumns=True).unionByName(genders, allowMissingColumns=True)
+    # the relation is that of the first of several equal spouses; struct: it may be null
+    met = rows.groupBy("key", "s").agg(F.min("at").alias("at"), F.min_by(F.struct("relation"), "at")["relation"].alias("relation"), F.max("gender").alias("gender"), F.array_sort(F.collect_list("kid")).alias("kids"))
+    spouse = _message(F.lit("spouse"), F.col("at"), F.col("s"), T.default_relation(F.col("relation"), F.col("gender")), F.transform("kids", lambda k: T.ref(k["a"])))
+    alone = F.transform("kids", lambda k: _message(F.lit("child"), k["ord"], k["a"], F.col("s")))
+    return met.select("key", F.explode(F.when(F.col("at").isNotNull(), F.array(spouse)).otherwise(alone)).alias("m"))
 
 
 def _lineage(records: DataFrame) -> DataFrame:
@@ -36,15 +58,9 @@ def documents(records: DataFrame, events: DataFrame, order: str | None = None) -
     """
     none = F.lit(None)
     born = F.lit(0) if order is None else F.col(order)
-    parents = F.array_distinct(F.array("father", "mother"))
-    kids = records.withColumn("_p", F.explode(parents)).filter("_p IS NOT NULL")
-    other = F.when(F.col("_p") == F.col("father"), F.col("mother")).otherwise(F.col("father"))
-    asks = records.select("key", F.explode(F.filter("spouses", lambda s: F.coalesce(s["relation"], F.lit("")) == "")).alias("_s")).select("key", F.col("_s.key").alias("_s"))
-    genders = asks.distinct().join(records.select(F.col("key").alias("_s"), "gender"), "_s")
     said = (
-        _sent(kids, "_p", "child", born, F.col("key"), other)
+        _families(records, born)
         .unionByName(_sent(events, "key", "event", F.col("ord"), F.col("event"), none))
-        .unionByName(_sent(genders, "key", "gender", F.lit(0), F.col("_s"), F.col("gender")))
         .unionByName(_sent(_lineage(records), "key", "lineage", F.lit(0), F.col("gf"), F.col("ggf")))
     )
     fields = [c for c in records.columns if c not in ("key", order)]
@@ -55,21 +71,14 @@ def documents(records: DataFrame, events: DataFrame, order: str | None = None) -
     of = lambda kind: F.filter("m", lambda x: x["kind"] == kind)
     filled = lambda c: F.when(F.size(c) > 0, c)
     refs = lambda c: F.transform(c, T.ref)
-    met = met.withColumns({"_kids": of("child"), "_genders": of("gender"), "_line": F.get(of("lineage"), F.lit(0)), "_wed": F.array_distinct(F.transform(F.coalesce("spouses", F.array().cast(records.schema["spouses"].dataType)), lambda s: s["key"]))})
-
-    def spouse(k: Column) -> Column:
-        relation = F.nullif(F.get(F.filter("spouses", lambda s: s["key"] == k), F.lit(0))["relation"], F.lit(""))
-        gender = F.get(F.filter("_genders", lambda g: g["a"] == k), F.lit(0))["b"]
-        mine = F.filter("_kids", lambda x: x["b"].eqNullSafe(k))
-        return F.struct(T.ref(k).alias("key"), T.default_relation(relation, gender).alias("relation"), F.transform(mine, lambda x: T.ref(x["a"])).alias("children"))
-
-    alone = F.filter("_kids", lambda x: x["b"].isNull() | ~F.array_contains("_wed", x["b"]))
+    met = met.withColumns({"_wed": of("spouse"), "_kids": of("child"), "_line": F.get(of("lineage"), F.lit(0))})
+    spouse = lambda x: F.struct(T.ref(x["a"]).alias("key"), x["b"].alias("relation"), x["kids"].alias("children"))
     line = F.when(F.col("_line").isNotNull(), F.struct(T.ref(F.col("_line.a")).alias("grandfather"), T.ref(F.col("_line.b")).alias("great_grandfather")))
     text = lambda c: F.nullif(F.col(c), F.lit("")).alias(c)
     return met.select(
         "key", "name", F.array_sort(F.coalesce("aliases", F.array().cast("array<string>"))).alias("alias_names"), "gender",
         T.ref(F.nullif("father", F.lit(""))).alias("father"), T.ref(F.nullif("mother", F.lit(""))).alias("mother"),
-        filled(F.transform("_wed", spouse)).alias("spouse"), filled(F.transform(alone, lambda x: T.ref(x["a"]))).alias("children"),
+        filled(F.transform("_wed", spouse)).alias("spouse"), filled(F.transform("_kids", lambda x: T.ref(x["a"]))).alias("children"),
         text("caste"), text("duty"), text("dynasty"), text("status"), T.ref(F.nullif("kingdom", F.lit(""))).alias("kingdom"), text("political_role"),
         *(filled(F.col(c)).alias(c) for c in ("skills", "divine_weapons", "titles", "traits", "character_arc")),
         filled(F.col("relationships")).alias("key_relationships"), filled(refs("important_locations")).alias("important_locations"),
@@ -101,4 +110,4 @@ def read_figures(docs: DataFrame, what: str = "documents") -> tuple[DataFrame, D
     spark = docs.sparkSession
     found: dict[str, int] = {}
     out = graph.stored(docs, what, lambda df, path: found.update(written(df, path)))
-    return out, spark.createDataFrame([tuple(found[n] for n in figures())], ", ".join(f"{n} long" for n in figures()))
+    return out, spark.range(1).select(*(F.lit(found[n]).cast("long").alias(n) for n in figures()))

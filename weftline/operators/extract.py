@@ -38,7 +38,7 @@ CHAPTER_NAMES = (
     Rule("vocative", rf"O\s+{_N}!", least=5),
     Rule("titled", rf"(?:King|Prince|Sage|Rishi|Queen|Princess|Maharaja)\s+{_N}", least=3),
     Rule("kin", rf"{_N}’s\s+{_KIN}", least=3),
-    Rule("frequent", r"(?<![\p{L}\p{N}_])([A-Z][a-z]{3,})(?![\p{L}\p{N}_])", least=50),
+    Rule("frequent", r"([A-Z](?<![\p{L}\p{N}_][A-Z])[a-z]{3,}+)(?![\p{L}\p{N}_])", least=50),
 )
 #: Relations in chapters.
 CHAPTER_RELATIONS = (
@@ -106,7 +106,9 @@ def facts(rows: DataFrame, rules: tuple[Rule, ...], text: str, *keep: str) -> Da
 
 def frequent_names(rows: DataFrame, text: str, rules: tuple[Rule, ...] = CHAPTER_NAMES) -> DataFrame:
     """rule, word and n of names that are found often enough for the rule that finds them."""
-    found = facts(rows, rules, text).groupBy("rule", F.col("a").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    by = lambda number: lambda w: F.struct(F.lit(number).alias("rule"), w.alias("word"))
+    each = (F.transform(F.regexp_extract_all(F.col(text), F.lit(r.pattern), r.a), by(number)) for number, r in enumerate(rules))
+    found = rows.select(F.inline(F.concat(*each))).groupBy("rule", "word").agg(F.count(F.lit(1)).alias("n"))
     least = F.element_at(F.array(*(F.lit(r.least) for r in rules)), F.col("rule") + 1)
     return found.filter(F.col("n") >= least).select(F.element_at(F.array(*(F.lit(r.name) for r in rules)), F.col("rule") + 1).alias("rule"), "word", "n")
 

@@ -46,7 +46,7 @@ def note_log(entries: DataFrame) -> DataFrame:
 
 def name_log(chapters: DataFrame) -> DataFrame:
     """Names in chapters (column text) that are found often enough, each once for its rule; titles give a gender."""
-    found = extract.frequent_names(chapters, "text")
+    found = graph.stored(extract.frequent_names(chapters, "text"), "names")
     titled = extract.title_genders(chapters, "text", found.filter("rule = 'titled'").select("word"))
     rank = F.array_position(F.array(*(F.lit(r.name) for r in extract.CHAPTER_NAMES)), F.col("rule"))
     rows = found.join(titled.withColumn("rule", F.lit("titled")), ["rule", "word"], "left")
@@ -57,12 +57,13 @@ def relation_log(rows: DataFrame, rules: tuple[extract.Rule, ...], text: str, ph
     """For each relation the two names that it asks for, and the relation; places has the columns that order it, `rule` and `place` among them."""
     found = extract.facts(rows, rules, text, *(p for p in places if p not in ("rule", "place")))
     at = [F.col(p) for p in places]
-    a, b = F.col("a"), F.col("b")
-    return (
-        found.select(*_row(phase, at, 0, "name", a, gender=F.col("gender_a")), b.alias("other"))
-        .unionByName(found.select(*_row(phase, at, 1, "name", b, gender=F.col("gender_b")), a.alias("other")))
-        .unionByName(found.select(*_row(phase, at, 2, "relation", a, b, attr=F.col("attr")), F.lit(None).cast("string").alias("other")))
-    )
+    a, b, none = F.col("a"), F.col("b"), F.lit(None).cast("string")
+    three = [
+        F.struct(*_row(phase, at, 0, "name", a, gender=F.col("gender_a")), b.alias("other")),
+        F.struct(*_row(phase, at, 1, "name", b, gender=F.col("gender_b")), a.alias("other")),
+        F.struct(*_row(phase, at, 2, "relation", a, b, attr=F.col("attr")), none.alias("other")),
+    ]
+    return found.select(F.inline(F.array(*three)))
 
 
 def log(entries: DataFrame, chapters: DataFrame, noise: Sequence[str], skip: Sequence[str]) -> DataFrame:
@@ -79,16 +80,14 @@ def log(entries: DataFrame, chapters: DataFrame, noise: Sequence[str], skip: Seq
         every = every.unionByName(p)
     good = lambda c: T.name_shape(F.col(c)) & ~F.col(c).isin(*noise) & ~F.lower(c).isin(*skip)
     every = every.filter(good("a") & (F.col("b").isNull() | good("b")) & (F.col("other").isNull() | good("other"))).select(*_LOG)
-    return scan.ranked(every, [], _ORDER, "ord", "n_facts").select("ord", "kind", "a", "b", "gender", "attr")
+    # stored, as ranges are drawn from a first pass over the rows: texts are read once
+    return scan.ranked(graph.stored(every, "unordered"), [], _ORDER, "ord", "n_facts").select("ord", "kind", "a", "b", "gender", "attr")
 
 
 def facts(log: DataFrame, seeds: DataFrame, mapping: DataFrame) -> DataFrame:
     """The log as facts (people.FACT) of resolved keys: who is created and when, aliases, and relations, in their order."""
     nodes, aliases = people.united_aliases(log.filter("kind = 'name'"), seeds, mapping)
-    to = mapping.select(F.col("alias_key").alias("_k"), F.col("key").alias("_to"))
-    rel = log.filter("kind = 'relation'").select("ord", "attr", "a", "b")
-    for c in ("a", "b"):
-        rel = rel.withColumn("_k", T.key_of(F.col(c))).join(to, "_k", "left").withColumn(f"k{c}", F.coalesce("_to", "_k")).drop("_k", "_to")
+    rel = people.keyed(log.filter("kind = 'relation'").select("ord", "attr", "a", "b"), mapping, ka="a", kb="b")
     ord_ = lambda more: (F.col("ord") * 4 + more).alias("ord")
     spouse = lambda other, relation: F.array(F.struct(F.col(other).alias("key"), F.lit(relation).alias("relation"))).alias("spouses")
     wives, siblings = rel.filter("attr = 'wife'"), rel.filter("attr = 'sibling'")
@@ -151,11 +150,7 @@ def cleaned(records: DataFrame, created: DataFrame, noise: Sequence[str], skip:
 def titled(records: DataFrame, chapters: DataFrame, mapping: DataFrame, noise: Sequence[str], skip: Sequence[str]) -> DataFrame:
     """Records with duty and caste by the first title in the order of extract.DUTIES, and the first valid place that they are
     king of, where none is set; only of those who are there, by alias or name."""
-    to = mapping.select(F.col("alias_key").alias("_k"), F.col("key").alias("_to"))
-
-    def by_key(words: DataFrame) -> DataFrame:
-        return words.withColumn("_k", T.key_of(F.col("a"))).join(to, "_k", "left").withColumn("key", F.coalesce("_to", "_k"))
-
+    by_key = lambda words: people.keyed(words, mapping, key="a")
     rules = tuple(extract.Rule(title, rf"\b{title}\s+{extract._N}") for title, _, _ in extract.DUTIES)
     first = by_key(extract.facts(chapters, rules, "text")).groupBy("key").agg(F.min("rule").alias("_rule"))
     king = extract.facts(chapters, (extract.Rule("king of", extract.KING_OF, 1, 2),), "text", "volume", "chapter")

@@ -46,6 +46,14 @@ def creations(asked: DataFrame, also: DataFrame) -> DataFrame:
         return keep(bounds.filter(F.col("low") < NEVER).select("key", F.col("low").alias("created")), "created")
 
 
+def keyed(df: DataFrame, mapping: DataFrame, **names: str) -> DataFrame:
+    """The rows with the keys (new columns) of the names in other columns: by alias (mapping: alias_key, key), else their own."""
+    to = mapping.select(F.col("alias_key").alias("_k"), F.col("key").alias("_to"))
+    for out, name in names.items():
+        df = df.withColumn("_k", T.key_of(F.col(name))).join(to, "_k", "left").withColumn(out, F.coalesce("_to", "_k")).drop("_k", "_to")
+    return df
+
+
 def united_aliases(log: DataFrame, seeds: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes (key, name, gender, created) and aliases (key, alias, ord) after a log.
 
@@ -54,12 +62,7 @@ def united_aliases(log: DataFrame, seeds: DataFrame, mapping: DataFrame) -> tupl
     is created, with the alias b. seeds (key, name, gender) are there before; mapping (alias_key, key) is their alias map,
     by which names are resolved.
     """
-    to = mapping.select(F.col("alias_key").alias("_k"), F.col("key").alias("_to"))
-
-    def keyed(df: DataFrame, name: str, out: str) -> DataFrame:
-        return df.withColumn("_k", T.key_of(F.col(name))).join(to, "_k", "left").withColumn(out, F.coalesce("_to", "_k")).drop("_k", "_to")
-
-    rows = stored(keyed(keyed(log.select("ord", "a", "b", "gender"), "a", "key"), "b", "key_b"), "log")
+    rows = stored(keyed(log.select("ord", "a", "b", "gender"), mapping, key="a", key_b="b"), "log")
     first = seeds.select("key", F.lit(-1).cast("long").alias("ord"), F.col("name").alias("a"), "gender")
     asked = rows.filter("b IS NULL").select("key", "ord", "a", "gender").unionByName(first)
     also = rows.filter("b IS NOT NULL")
@@ -106,8 +109,9 @@ def _items(facts: DataFrame) -> DataFrame:
     return rows.filter("i.id <> ''").select("key", "i.*", F.struct("ord", "place").alias("at"))
 
 
-def upserted(facts: DataFrame) -> DataFrame:
-    """A record for each key, after all of its facts (columns of FACT).
+def upserted(facts: DataFrame, moved: DataFrame | None = None) -> DataFrame:
+    """A record for each key, after all of its facts (columns of FACT). moved (key, to): other keys for those of siblings and
+    spouses, of which none is the record's own then.
 
     The name is that of the first fact. A strong fact sets gender, father and mother; another one does so where nothing is
     set yet. The lasting fields keep their first value. Lists get each item once, in the order in which they came; the
@@ -119,7 +123,12 @@ def upserted(facts: DataFrame) -> DataFrame:
     changing = [F.coalesce(F.max_by(_said(c), when(_said(c), strong)), F.min_by(_said(c), when(_said(c), ~strong))).alias(c) for c in CHANGING]
     lasting = [F.min_by(_said(c), when(_said(c))).alias(c) for c in LASTING]
     one = own.groupBy("key").agg(F.min_by(F.trim("name"), "ord").alias("name"), *changing, *lasting).withColumn("gender", F.coalesce("gender", F.lit("Unknown")))
-    each = _items(own).groupBy("key", "field", "id").agg(F.min("at").alias("at"), F.min_by(F.struct("a", "b", "c"), "at").alias("x"), F.min_by("b", F.when(F.col("b").isNotNull(), F.col("at"))).alias("relation"))
+    items = _items(own)
+    if moved is not None:
+        ref = F.when(F.col("field").isin("siblings", "spouses"), F.col("a"))
+        items = items.withColumn("_ref", ref).join(moved.select(F.col("key").alias("_ref"), F.col("to").alias("_to")), "_ref", "left")
+        items = items.withColumns({"id": F.coalesce("_to", "id"), "a": F.coalesce("_to", "a")}).filter(F.col("_ref").isNull() | (F.col("a") != F.col("key"))).drop("_ref", "_to")
+    each = items.groupBy("key", "field", "id").agg(F.min("at").alias("at"), F.min_by(F.struct("a", "b", "c"), "at").alias("x"), F.min_by("b", F.when(F.col("b").isNotNull(), F.col("at"))).alias("relation"))
     mine = lambda f: F.array_sort(F.collect_list(F.when(F.col("field") == f, F.struct("at", "x", "relation"))))
     lists = [F.transform(mine(f), lambda i: i["x"]["a"]).alias(f) for f in SETS]
     lists.append(F.transform(mine("spouses"), lambda i: F.struct(i["x"]["a"].alias("key"), i["relation"].alias("relation"))).alias("spouses"))
@@ -164,8 +173,8 @@ def merged_records(records: DataFrame, rules: DataFrame) -> DataFrame:
         done = applied(rules, records)
         moved = graph.roots(done.select(F.col("old_key").alias("key"), F.col("new_key").alias("parent")).unionByName(done.select(F.col("new_key").alias("key"), F.lit(None).cast("string").alias("parent")).join(done.select(F.col("old_key").alias("key")), "key", "left_anti").distinct()))
         moved = stored(moved.join(done.select(F.col("old_key").alias("key"), "ord"), "key").select("key", F.col("root").alias("to"), "ord"), "moved")
-        # references: one row for each, joined once, and put back into their records
-        refs = records.select("key", F.explode(F.concat(F.array(F.col("father"), F.col("mother")), F.coalesce("siblings", F.array()), F.transform(F.coalesce("spouses", F.array()), lambda s: s["key"]))).alias("ref")).filter("ref IS NOT NULL").distinct()
+        # parents are joined as rows and put back into their records; the references in lists are renamed as items of upserted()
+        refs = records.select("key", F.explode(F.array("father", "mother")).alias("ref")).filter("ref IS NOT NULL").distinct()
         new = refs.join(moved.select(F.col("key").alias("ref"), "to"), "ref").groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("ref", "to"))).alias("_new"))
         own = records.join(new, "key", "left").join(moved, "key", "left")
         at = lambda c: F.coalesce(F.try_element_at("_new", c), c)
@@ -173,14 +182,12 @@ def merged_records(records: DataFrame, rules: DataFrame) -> DataFrame:
         apart = lambda c: F.when(c != self_, c)
         gone = F.col("to").isNotNull()
         fields = {c: apart(at(F.col(c))) for c in ("father", "mother")}
-        fields["siblings"] = F.filter(F.transform("siblings", at), lambda s: s != self_)
-        fields["spouses"] = F.filter(F.transform("spouses", lambda s: F.struct(at(s["key"]).alias("key"), s["relation"].alias("relation"))), lambda s: s["key"] != self_)
         fields["aliases"] = F.when(gone, F.concat(F.array("name"), "aliases")).otherwise(F.col("aliases"))
         lost = [c for c in (*CHANGING, *LASTING, *SETS, *PAIRS) if c not in (*FILLS, *ADDS)]
         fields |= {c: F.when(~gone, F.col(c)) for c in lost}
         facts = own.withColumns(fields | {"key": self_, "ord": F.coalesce(F.col("ord") + 1, F.lit(0)).cast("long"), "strong": F.lit(False)})
         # only the record that stays gives its name: it comes first
-        return keep(upserted(facts.select("key", "ord", "name", "strong", *CHANGING, *LASTING, *SETS, *PAIRS)), "merged")
+        return keep(upserted(facts.select("key", "ord", "name", "strong", *CHANGING, *LASTING, *SETS, *PAIRS), moved), "merged")
 
 
 def ensured(nodes: DataFrame, asked: DataFrame, mapping: DataFrame, name: str = "name", gender: str = "gender", order: str = "ord") -> DataFrame:

@@ -45,6 +45,7 @@ def ranked(df: DataFrame, group: Sequence[str], order: Sequence[str], position:
     whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))  # a row for each partition at most
     before = F.coalesce(F.sum("_n_").over(whole.orderBy("_part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     each = each.select(*(F.col(g).alias(f"_{g}_") for g in group), F.col("_part_").alias("_at_"), (before - F.col("_first_")).alias("_shift_"), F.sum("_n_").over(whole).alias("_size_"))
+    each = each if group else F.broadcast(each)
     out = rows.join(each, _same(rows, each, group))
     return out.select(*df.columns, (F.col("_row_") + F.col("_shift_")).alias(position), F.col("_size_").alias(size))
 

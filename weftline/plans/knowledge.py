@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions import text as T
 from weftline.operators import extract, graph, knowledge
 from weftline.plans.books import _matches, _quoted
 from weftline.plans.catalogue import query
@@ -21,19 +22,17 @@ _SENTENCES = (
 )
 _OPENINGS = ("{a}. She was here.", "{a}. He was here.", "{a}, the king of {b}.", "{a}. The one.")
 _NOISE, _SKIP = ("Eriner", "License"), ("the", "one", "nicht")
-_NONE_KNOWN = "key string, name string, gender string", "alias_key string, key string"
+#: Nobody is known before; as SQL, so that Spark sees that it is empty and leaves joins with it out.
+_NONE_KNOWN = "SELECT '' AS key, '' AS name, '' AS gender WHERE false", "SELECT '' AS alias_key, '' AS key WHERE false"
 
 
 def texts(spark, sf) -> DataFrame:
     """doc_id and text: an opening, and a sentence for each two neighbouring names of a document."""
-    words = F.filter(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)), lambda w: w.rlike("^[A-Z][a-z][a-z]+$"))
-    rows = table(spark, sf, "documents").select("doc_id", words.alias("ns")).filter(F.size("ns") > 1)
+    rows = table(spark, sf, "documents").select("doc_id", T.names(F.col("text")).alias("ns")).filter(F.size("ns") > 1)
 
     def said(templates, number, a, b):
-        whole = F.lit("")
-        for i, t in enumerate(templates):
-            whole = F.when(number == i, F.replace(F.replace(F.lit(t), F.lit("{a}"), a), F.lit("{b}"), b)).otherwise(whole)
-        return whole
+        template = F.get(F.array(*(F.lit(t) for t in templates)), number.cast("int"))
+        return F.coalesce(F.replace(F.replace(template, F.lit("{a}"), a), F.lit("{b}"), b), F.lit(""))
 
     n = F.col("ns")
     opening = said(_OPENINGS, F.col("doc_id") % (len(_OPENINGS) + 1), n[0], n[1])
@@ -124,7 +123,7 @@ def people_of(spark, sf) -> DataFrame:
         volume = (F.col("doc_id") % 10).alias("volume")
         chapters = woven.filter("doc_id % 2 = 1").select(volume, F.col("doc_id").alias("chapter"), "text")
         entries = woven.filter("doc_id % 2 = 0").select(volume, F.col("doc_id").alias("entry"), F.col("text").alias("body"))
-        return keep(knowledge.build(entries, chapters, spark.createDataFrame([], _NONE_KNOWN[0]), spark.createDataFrame([], _NONE_KNOWN[1]), None, _NOISE, _SKIP), "people")
+        return keep(knowledge.build(entries, chapters, *(spark.sql(x) for x in _NONE_KNOWN), None, _NOISE, _SKIP), "people")
 
 
 @query(_SQL)

@@ -210,7 +210,7 @@ def _documents(spark, sf) -> DataFrame:
         "status": F.col("_status"), "kingdom": F.col("_kingdom"), "political_role": F.col("_political_role"), "skills": many("skill"), "divine_weapons": many("weapon"), "titles": many("title"),
         "traits": many("trait"), "character_arc": many("arc"), "important_locations": many("place"), "relationships": friend, "spouses": wed,
     }).select(*people.columns)
-    pair = F.slice(T.names(F.col("text")), 1, 2)
+    pair = F.filter(T.first_names(F.col("text"), 2), lambda w: w != "")
     events = table(spark, sf, "documents").select(F.explode(pair).alias("key"), F.col("doc_id").alias("ord")).select(F.lower("key").alias("key"), "ord", F.concat(F.lit("e"), "ord").alias("event"))
     return documents.documents(own, events)
 
