@@ -165,7 +165,7 @@ def build(entries: DataFrame, chapters: DataFrame, seeds: DataFrame, mapping: Da
     rules (old_key, new_key, ord) merge records; without them, a person whose name is an alias of another, by the earliest
     such alias, is merged into that one."""
     with graph.scratch(entries.sparkSession) as keep:
-        facts_ = graph.stored(facts(graph.stored(log(entries, chapters, noise, skip), "log"), seeds, mapping), "facts")
+        facts_ = graph.stored(facts(log(entries, chapters, noise, skip), seeds, mapping), "facts")
         created = facts_.filter("name IS NOT NULL").groupBy("key").agg(F.min("ord").alias("created"))
         records = graph.stored(people.upserted(facts_), "records")
         if rules is None:

@@ -62,10 +62,12 @@ def united_aliases(log: DataFrame, seeds: DataFrame, mapping: DataFrame) -> tupl
     is created, with the alias b. seeds (key, name, gender) are there before; mapping (alias_key, key) is their alias map,
     by which names are resolved.
     """
-    rows = stored(keyed(log.select("ord", "a", "b", "gender"), mapping, key="a", key_b="b"), "log")
+    rows = keyed(log.select("ord", "a", "b", "gender"), mapping, key="a", key_b="b")
     first = seeds.select("key", F.lit(-1).cast("long").alias("ord"), F.col("name").alias("a"), "gender")
-    asked = rows.filter("b IS NULL").select("key", "ord", "a", "gender").unionByName(first)
-    also = rows.filter("b IS NOT NULL")
+    # of rows that ask for the same, the first one decides: a key is created when it is first asked for, if not before
+    asked = rows.filter("b IS NULL").groupBy("key", "a", "gender").agg(F.min("ord").alias("ord"))
+    asked = stored(asked.select("key", "ord", "a", "gender"), "asked").unionByName(first)
+    also = stored(rows.filter("b IS NOT NULL"), "also")
     created = creations(asked, also.select(F.col("key").alias("a"), F.col("key_b").alias("b"), "ord"))
     known = F.when(F.col("gender") != "Unknown", F.col("ord"))
     says = asked.unionByName(also.select("key", "ord", "a", F.lit(None).cast("string").alias("gender")))
